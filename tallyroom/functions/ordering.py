@@ -21,42 +21,48 @@ from tallyroom.functions.durable import durable
 _STEP = 16
 
 
-def _ranges(df: DataFrame, ranges: int) -> DataFrame:
-    """Add ``_range``: how many cut points lie before the row's (value, key)."""
-    cuts = (
-        df.select(F.struct("_v", "_k").alias("p"))
-        .orderBy(F.xxhash64("p"), "p")
-        .limit(ranges - 1)
-        .agg(F.array_sort(F.collect_list("p")).alias("all"))
-        .select(
-            F.struct("all", F.filter("all", lambda _, i: i % _STEP == _STEP - 1).alias("coarse"))
-        )
-        .scalar()
+def _cuts(df: DataFrame, ranges: int) -> Column:
+    """Up to ``ranges - 1`` sampled (value, key) pairs in order, and every 16th of them."""
+    sample = (
+        df.select(F.struct("_v", "_k").alias("p")).orderBy(F.xxhash64("p"), "p").limit(ranges - 1)
     )
+    ordered = sample.agg(F.array_sort(F.collect_list("p")).alias("all"))
+    coarse = F.filter("all", lambda _, i: i % _STEP == _STEP - 1)
+    return ordered.select(F.struct("all", coarse.alias("coarse"))).scalar()
+
+
+def _ranges(df: DataFrame, cuts: Column) -> DataFrame:
+    """Add ``_range``: how many cut points lie before the row's (value, key)."""
     here = F.struct("_v", "_k")
+    block = F.slice("_cuts.all", F.col("_coarse") * _STEP + 1, _STEP)
     return (
         df.withColumn("_cuts", cuts)
         .withColumn("_coarse", F.size(F.filter("_cuts.coarse", lambda c: c < here)))
-        .withColumn(
-            "_range",
-            F.col("_coarse") * _STEP
-            + F.size(
-                F.filter(
-                    F.slice("_cuts.all", F.col("_coarse") * _STEP + 1, _STEP),
-                    lambda c: c < here,
-                )
-            ),
-        )
+        .withColumn("_range", F.col("_coarse") * _STEP + F.size(F.filter(block, lambda c: c < here)))
         .drop("_cuts", "_coarse")
     )
 
 
-def _offsets(df: DataFrame, amount: str | None) -> DataFrame:
+def _offsets(df: DataFrame, amount: str | None, ranked: bool) -> DataFrame:
     """One row per range: rows, distinct values and amounts before it, rank of its first value."""
     add = F.sum(amount) if amount else F.lit(0)
+    rows = F.count(F.lit(1))
+    # At most ``ranges`` rows after the grouping, so the windows without partitions are small.
+    w = Window.orderBy("_range")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    zero = F.lit(0)
+    shared = [
+        F.coalesce(F.sum("rows").over(before), zero).alias("_rows_before"),
+        F.coalesce(F.sum("amount").over(before), zero).alias("_amount_before"),
+        F.sum("rows").over(whole).alias("_n"),
+        F.sum("amount").over(whole).alias("_total"),
+    ]
+    if not ranked:
+        return df.groupBy("_range").agg(rows.alias("rows"), add.alias("amount")).select("_range", *shared)
     per_range = (
         df.groupBy("_range", "_v")
-        .agg(F.count(F.lit(1)).alias("c"), add.alias("s"))
+        .agg(rows.alias("c"), add.alias("s"))
         .groupBy("_range")
         .agg(
             F.sum("c").alias("rows"),
@@ -67,14 +73,9 @@ def _offsets(df: DataFrame, amount: str | None) -> DataFrame:
             F.sum("s").alias("amount"),
         )
     )
-    # At most ``ranges`` rows from here on, so the windows without partitions are small.
-    w = Window.orderBy("_range")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy()
-    zero = F.lit(0)
     return (
-        per_range.withColumn("_rows_before", F.coalesce(F.sum("rows").over(before), zero))
+        per_range.select("*", *shared)
         .withColumn("tied", F.coalesce(F.col("_lo") == F.lag("hi").over(w), F.lit(False)))
         .withColumn("hi_start", F.col("_rows_before") + F.col("rows") - F.col("hi_rows") + 1)
         .withColumn("anchor", F.when(~(F.col("tied") & (F.col("_lo") == F.col("hi"))), F.col("hi_start")))
@@ -82,6 +83,9 @@ def _offsets(df: DataFrame, amount: str | None) -> DataFrame:
             "_range",
             "_lo",
             "_rows_before",
+            "_amount_before",
+            "_n",
+            "_total",
             F.when(F.col("tied"), F.last("anchor", ignorenulls=True).over(before))
             .otherwise(F.col("_rows_before") + 1)
             .alias("_lo_rank"),
@@ -89,9 +93,6 @@ def _offsets(df: DataFrame, amount: str | None) -> DataFrame:
                 F.coalesce(F.sum("values").over(before), zero)
                 - F.sum(F.col("tied").cast("int")).over(so_far)
             ).alias("_values_before"),
-            F.coalesce(F.sum("amount").over(before), zero).alias("_amount_before"),
-            F.sum("rows").over(whole).alias("_n"),
-            F.sum("amount").over(whole).alias("_total"),
         )
     )
 
@@ -109,6 +110,7 @@ def order_globally(
     running: str | None = None,
     total: str | None = None,
     n: str | None = None,
+    source: DataFrame | None = None,
     ranges: int = 256,
 ) -> DataFrame:
     """Add whole-table ordering columns; each keyword names the output column.
@@ -116,15 +118,17 @@ def order_globally(
     ``value`` is numeric and not NULL, ``key`` identifies the row and breaks ties
     in ascending order.  ``running`` is the sum of the ``amount`` column up to and
     including the row, ``total`` its grand total and ``n`` the row count.
-    ``df`` is read three times, so pass a stored or checkpointed table.
+    Cut points and offsets take two more passes over ``source``, which defaults to
+    ``df``: a stored or checkpointed table with the same rows.
     """
     kept = df.columns
-    v = F.col(value)
-    base = df.withColumns({"_v": -v if descending else v, "_k": F.col(key)})
-    base = _ranges(base, max(ranges, 2))
+    v = -F.col(value) if descending else F.col(value)
+    extra = {"_v": v, "_k": F.col(key)}
+    stored = (df if source is None else source).withColumns(extra)
+    cuts = _cuts(stored, max(ranges, 2))
     # The offsets have at most ``ranges`` rows by construction: safe to broadcast.
-    offsets = F.broadcast(_offsets(base, amount))
-    joined = base.join(offsets.drop("_lo"), "_range") if rank is None else base.join(offsets, "_range")
+    offsets = F.broadcast(_offsets(_ranges(stored, cuts), amount, bool(rank or dense_rank)))
+    joined = _ranges(df.withColumns(extra), cuts).join(offsets, "_range")
     within = Window.partitionBy("_range").orderBy("_v", "_k")
     by_value = Window.partitionBy("_range").orderBy("_v")
     out: dict[str, Column] = {}
@@ -186,6 +190,6 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *, range
         below = F.floor(at)
         lo = F.min(F.when(F.col("upto") > below, F.col("x")))
         hi = F.min(F.when(F.col("upto") > F.least(below + 1, F.col("n") - 1), F.col("x")))
-        frac = F.max(at - below)
-        out.append((lo + (hi - lo) * frac).alias(f"q{i}"))
+        part = F.max(at - below)
+        out.append(F.when(part > 0, lo * (1 - part) + hi * part).otherwise(lo).alias(f"q{i}"))
     return ladder.agg(*out)

@@ -114,15 +114,23 @@ def _positions(base: DataFrame, best_last: bool, ranges: int) -> DataFrame:
 
     ``best_last`` numbers the worst customer 1, so that high tiles are good.
     """
-    out = order_globally(
-        base, "recency_days", "customer_id", descending=best_last, row_number="rn_r", n="n", ranges=ranges
-    )
-    out = order_globally(
-        out, "frequency", "customer_id", descending=not best_last, row_number="rn_f", ranges=ranges
-    )
-    return order_globally(
-        out, "monetary", "customer_id", descending=not best_last, row_number="rn_m", ranges=ranges
-    )
+    out = base
+    for value, name, descending in (
+        ("recency_days", "rn_r", best_last),
+        ("frequency", "rn_f", not best_last),
+        ("monetary", "rn_m", not best_last),
+    ):
+        out = order_globally(
+            out,
+            value,
+            "customer_id",
+            descending=descending,
+            row_number=name,
+            n="n" if value == "recency_days" else None,
+            source=base,
+            ranges=ranges,
+        )
+    return out
 
 
 def _scored(scored: DataFrame, customers: DataFrame | None) -> DataFrame:
@@ -173,7 +181,9 @@ def rfm_scores_quantile(txn: DataFrame, ranges: int = 256) -> DataFrame:
     # recency is a day count, so the exact percentile keeps at most one counter per calendar day
     edges = base.agg(F.percentile("recency_days", F.array(*[F.lit(p) for p in fifths])).alias("e"))
     placed = order_globally(base, "frequency", "customer_id", descending=False, row_number="rn_f", n="n", ranges=ranges)
-    placed = order_globally(placed, "monetary", "customer_id", descending=False, row_number="rn_m", ranges=ranges)
+    placed = order_globally(
+        placed, "monetary", "customer_id", descending=False, row_number="rn_m", source=base, ranges=ranges
+    )
     placed = placed.withColumn("edges", edges.scalar())
 
     def above(x: Column, cuts: Sequence[Column]) -> Column:
@@ -335,8 +345,8 @@ def ltv_histogram(txn: DataFrame, customers: DataFrame, bins: int = 20) -> DataF
     return m.withColumn("marks", marks).select(
         "segment",
         F.col("bin").cast("bigint").alias("bin"),
-        rounded((F.col("span.lo") + width * (F.col("bin") - 1)) / 100).alias("bin_from"),
-        rounded((F.col("span.lo") + width * F.col("bin")) / 100).alias("bin_to"),
+        rounded((F.col("span.lo") + width * (F.col("bin") - 1)) / 100, 4).alias("bin_from"),
+        rounded((F.col("span.lo") + width * F.col("bin")) / 100, 4).alias("bin_to"),
         F.col("customers").alias("customer_count"),
         rounded(F.col("marks.q0") / 100).alias("median_ltv"),
         rounded(F.col("marks.q1") / 100).alias("p90_ltv"),

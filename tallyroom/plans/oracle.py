@@ -105,7 +105,7 @@ def _clean(source: str, order: str, ids: str = "transaction_id") -> str:
   SELECT {ids} AS transaction_id, customer_id, product_id, CAST(order_date AS DATE) AS order_date,
     CASE WHEN CAST(ship_date AS DATE) < CAST(order_date AS DATE) THEN CAST(order_date AS DATE)
          ELSE CAST(ship_date AS DATE) END AS ship_date,
-    q AS quantity, p AS unit_price, COALESCE(GREATEST(LEAST(d, 1.0), 0.0), 0.0) AS discount, region
+    q AS quantity, p AS unit_price, CASE WHEN d IS NULL OR d < 0 THEN 0.0::DOUBLE WHEN d > 1 THEN 1.0::DOUBLE ELSE d END AS discount, region
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {ids} ORDER BY {order}) AS nth FROM {source})
   WHERE nth = 1 AND q > 0 AND p IS NOT NULL AND TRY_CAST(order_date AS DATE) IS NOT NULL)"""
 
@@ -414,8 +414,8 @@ GROUP BY t.region, t.year, t.month""",
     "normalise_email": _q("SELECT seq AS order_key, lower(trim(email)) AS email FROM rawc", raw=True),
     "drop_bad_prices": _q("SELECT product_id, unit_cost, unit_price FROM pricedp", raw=True),
     "cap_outliers": _q(
-        """SELECT product_id, LEAST(unit_cost, (SELECT quantile_cont(unit_cost, 0.999) FROM pricedp)) AS unit_cost,
-  LEAST(unit_price, (SELECT quantile_cont(unit_price, 0.999) FROM pricedp)) AS unit_price FROM pricedp""",
+        """SELECT product_id, round(LEAST(unit_cost, (SELECT quantile_cont(unit_cost, 0.999) FROM pricedp)), 6) AS unit_cost,
+  round(LEAST(unit_price, (SELECT quantile_cont(unit_price, 0.999) FROM pricedp)), 6) AS unit_price FROM pricedp""",
         raw=True,
     ),
     "derive_margin_pct": _q("SELECT product_id, margin_pct FROM prod"),
@@ -440,8 +440,8 @@ WHERE category IN ('PROMO', 'SMALL') AND segment IN {_SEG3}"""
     "derive_partitions": _q("SELECT transaction_id, year, month FROM txn"),
     "clean_customers": _q("SELECT * FROM cleanc", raw=True),
     "clean_products": _q(
-        f"""SELECT product_id, product_name, category, sub_category, unit_cost, unit_price, brand,
-  {_R('(unit_price - unit_cost) / unit_price * 100')} AS margin_pct FROM cappedp""",
+        f"""SELECT product_id, product_name, category, sub_category, round(unit_cost, 6) AS unit_cost,
+  round(unit_price, 6) AS unit_price, brand, {_R('(unit_price - unit_cost) / unit_price * 100')} AS margin_pct FROM cappedp""",
         raw=True,
     ),
     "clean_transactions": _q(
@@ -937,11 +937,11 @@ FROM txn JOIN cust USING (customer_id) GROUP BY segment"""
         pc=_PER_CUSTOMER,
         rfm0=_RFM0,
         edges="SELECT quantile_cont(CAST(recency_days AS DOUBLE), [0.2, 0.4, 0.6, 0.8]) AS e, COUNT(*) AS n FROM rfm0",
-        placed="""SELECT rfm0.*, e, n AS customers, ROW_NUMBER() OVER (ORDER BY orders, customer_id) AS rf,
+        placed="""SELECT rfm0.*, e, edges.n AS customers, ROW_NUMBER() OVER (ORDER BY orders, customer_id) AS rf,
     ROW_NUMBER() OVER (ORDER BY rev, customer_id) AS rm FROM rfm0, edges""",
-        rfm1="""SELECT *, CAST(5 - len(list_filter(e, x -> recency_days > x)) AS BIGINT) AS r_score,
-    CAST(1 + len(list_filter([0.2, 0.4, 0.6, 0.8], p -> rf > 1 + CAST(p AS DOUBLE) * (customers - 1))) AS BIGINT) AS f_score,
-    CAST(1 + len(list_filter([0.2, 0.4, 0.6, 0.8], p -> rm > 1 + CAST(p AS DOUBLE) * (customers - 1))) AS BIGINT) AS m_score
+        rfm1="""SELECT *, CAST(5 - len(list_filter(e, lambda x: recency_days > x)) AS BIGINT) AS r_score,
+    CAST(1 + len(list_filter([0.2, 0.4, 0.6, 0.8], lambda p: rf > 1 + CAST(p AS DOUBLE) * (customers - 1))) AS BIGINT) AS f_score,
+    CAST(1 + len(list_filter([0.2, 0.4, 0.6, 0.8], lambda p: rm > 1 + CAST(p AS DOUBLE) * (customers - 1))) AS BIGINT) AS m_score
   FROM placed""",
         rfm=f"SELECT *, r_score + f_score + m_score AS rfm_total, {_LABEL} AS rfm_segment FROM rfm1",
     ),
@@ -986,8 +986,8 @@ FROM rfm GROUP BY r_score, f_score, rfm_segment""",
         **_rfm(True),
     ),
     "ltv_histogram": _q(
-        f"""SELECT segment, bin, {_R('(lo + (hi - lo) / CAST(20 AS DOUBLE) * (bin - 1)) / 100')} AS bin_from,
-  {_R('(lo + (hi - lo) / CAST(20 AS DOUBLE) * bin) / 100')} AS bin_to, COUNT(*) AS customer_count,
+        f"""SELECT segment, bin, {_R('(lo + (hi - lo) / CAST(20 AS DOUBLE) * (bin - 1)) / 100', 4)} AS bin_from,
+  {_R('(lo + (hi - lo) / CAST(20 AS DOUBLE) * bin) / 100', 4)} AS bin_to, COUNT(*) AS customer_count,
   {_R('mid / 100')} AS median_ltv, {_R('p90 / 100')} AS p90_ltv
 FROM (SELECT segment, lo, hi, mid, p90,
   LEAST(CAST(FLOOR(20 * (c - lo) / (hi - lo)) AS BIGINT) + 1, 20) AS bin FROM v, s)

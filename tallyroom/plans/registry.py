@@ -239,6 +239,11 @@ def _priced_products(s: Star) -> DataFrame:
     return cleaning.drop_bad_prices(cleaning.coerce_numbers(s.raw_products(), ["unit_cost", "unit_price"]))
 
 
+def _shown(products: DataFrame) -> DataFrame:
+    """Capped amounts to six digits: interpolation differs between engines in the last bit."""
+    return products.withColumns({c: F.round(c, 6) for c in ("unit_cost", "unit_price")})
+
+
 def _drop_orphans(s: Star) -> DataFrame:
     known_customers = s.customers(signup=False).where(F.col("segment").isin(*ALLOWED_SEGMENTS))
     known_products = s.products().where(F.col("category").isin("PROMO", "SMALL"))
@@ -303,7 +308,9 @@ QUERIES: dict[str, Q] = {
     "standardise_segment": _standardise_segment,
     "normalise_email": _normalise_email,
     "drop_bad_prices": lambda s: _priced_products(s).select("product_id", "unit_cost", "unit_price"),
-    "cap_outliers": lambda s: cleaning.cap_outliers(_priced_products(s)).select("product_id", "unit_cost", "unit_price"),
+    "cap_outliers": lambda s: _shown(cleaning.cap_outliers(_priced_products(s))).select(
+        "product_id", "unit_cost", "unit_price"
+    ),
     "derive_margin_pct": lambda s: cleaning.derive_margin_pct(s.products().drop("margin_pct")).select(
         "product_id", "margin_pct"
     ),
@@ -322,7 +329,7 @@ QUERIES: dict[str, Q] = {
         "transaction_id", "year", "month"
     ),
     "clean_customers": lambda s: _clean_parents(s)[0],
-    "clean_products": lambda s: cleaning.clean_products(s.raw_products()),
+    "clean_products": lambda s: _shown(cleaning.clean_products(s.raw_products())),
     "clean_transactions": _clean_transactions,
     "cleaning_audit": _cleaning_audit,
     # audits
