@@ -128,7 +128,8 @@ def order_globally(
     cuts = _cuts(stored, max(ranges, 2))
     # The offsets have at most ``ranges`` rows by construction: safe to broadcast.
     offsets = F.broadcast(_offsets(_ranges(stored, cuts), amount, bool(rank or dense_rank)))
-    joined = _ranges(df.withColumns(extra), cuts).join(offsets, "_range")
+    # every range has its offsets row; a left join spares the NULL test of the range expression
+    joined = _ranges(df.withColumns(extra), cuts).join(offsets, "_range", "left")
     within = Window.partitionBy("_range").orderBy("_v", "_k")
     by_value = Window.partitionBy("_range").orderBy("_v")
     out: dict[str, Column] = {}
@@ -191,5 +192,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *, range
         lo = F.min(F.when(F.col("upto") > below, F.col("x")))
         hi = F.min(F.when(F.col("upto") > F.least(below + 1, F.col("n") - 1), F.col("x")))
         part = F.max(at - below)
-        out.append(F.when(part > 0, lo * (1 - part) + hi * part).otherwise(lo).alias(f"q{i}"))
+        # from the nearer end, so that equal neighbours give exactly their value
+        from_lo, from_hi = lo + (hi - lo) * part, hi - (hi - lo) * (1 - part)
+        out.append(F.when(part < 0.5, from_lo).otherwise(from_hi).alias(f"q{i}"))
     return ladder.agg(*out)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyroom.functions.durable import durable
 from tallyroom.functions.money import rounded
 from tallyroom.functions.ordering import exact_quantiles
 from tallyroom.schemas import DEFAULT_SEGMENT, REGIONS, SEGMENTS, UNKNOWN_REGION
@@ -70,7 +71,11 @@ def drop_bad_prices(df: DataFrame) -> DataFrame:
 def cap_outliers(
     df: DataFrame, columns: Sequence[str] = ("unit_cost", "unit_price"), quantile: float = 0.999
 ) -> DataFrame:
-    """Cut each column at its exact upper quantile (linear interpolation)."""
+    """Cut each column at its exact upper quantile (linear interpolation).
+
+    The table is stored first: it is read once per column and once for the result.
+    """
+    df = durable(df)
     caps = {c: exact_quantiles(df, c, [quantile]).scalar() for c in columns}
     return df.withColumns({c: F.when(F.col(c) > cap, cap).otherwise(F.col(c)) for c, cap in caps.items()})
 
@@ -226,6 +231,7 @@ def cleaning_audit(
     p = dedupe_by_key(raw_products, "product_id", ["ingest_seq"]).transform(
         coerce_numbers, ["unit_cost", "unit_price"]
     )
+    p = durable(p)
     priced = drop_bad_prices(drop_missing(p, ["product_id", "product_name"]))
     caps = {col: exact_quantiles(priced, col, [cap_quantile]).scalar() for col in ("unit_cost", "unit_price")}
     named = F.col("product_id").isNotNull() & F.col("product_name").isNotNull()

@@ -89,13 +89,20 @@ def enrich_transactions(txn: DataFrame, customers: DataFrame, products: DataFram
     )
 
 
-def _cells(txn: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Additive totals per year, region, product and segment.
+_SUMS = ("n", "revenue", "priced", "profit", "disc", "disc_n")
 
-    The fact is combined per year, region, product and customer before the joins,
-    and the result is stored, because several reports are read off it.
+
+def _totals() -> list[Column]:
+    return [*[F.sum(c).alias(c) for c in _SUMS], F.min("lo").alias("lo"), F.max("hi").alias("hi")]
+
+
+def _cells(txn: DataFrame, products: DataFrame) -> DataFrame:
+    """Additive totals per year, region and product.
+
+    The fact is combined before it meets the products, and the result is stored
+    because the breakdowns and the best products are both read off it.
     """
-    per_pair = txn.groupBy("year", "region", "product_id", "customer_id").agg(
+    per_product = txn.groupBy("year", "region", "product_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(cents("net_revenue")).alias("revenue"),
         F.count("net_revenue").alias("priced"),
@@ -105,35 +112,30 @@ def _cells(txn: DataFrame, customers: DataFrame, products: DataFrame) -> DataFra
         F.min("order_date").alias("lo"),
         F.max("order_date").alias("hi"),
     )
-    joined = (
-        per_pair.join(products.select("product_id", "category", "unit_cost"), "product_id", "left")
-        .join(customers.select("customer_id", "segment"), "customer_id", "left")
-        .withColumn("profit", F.col("revenue") - cents("unit_cost") * F.col("units"))
-    )
-    sums = [F.sum(c).alias(c) for c in ("n", "revenue", "priced", "profit", "disc", "disc_n")]
-    return durable(
-        joined.groupBy("year", "region", "category", "product_id", "segment").agg(
-            *sums, F.min("lo").alias("lo"), F.max("hi").alias("hi")
-        )
-    )
+    joined = per_product.join(products.select("product_id", "category", "unit_cost"), "product_id", "left")
+    return durable(joined.withColumn("profit", F.col("revenue") - cents("unit_cost") * F.col("units")))
 
 
 _BREAKDOWNS = {
     "revenue_by_year": "year",
     "revenue_by_region": "region",
     "revenue_by_category": "category",
-    "revenue_by_segment": "segment",
 }
 
 
-def _transaction_metrics(cells: DataFrame, top: int) -> DataFrame:
+def transaction_summary(
+    txn: DataFrame, customers: DataFrame, products: DataFrame, top: int = 5
+) -> DataFrame:
+    """Totals, breakdowns and best products: ``(metric, key, value, text)``.
+
+    Two passes over the fact, one combined per product and one per customer, so
+    neither dimension join sees fact rows.
+    """
+    cells = _cells(txn, products)
     dims = list(_BREAKDOWNS.values())
-    sums = [F.sum(c).alias(c) for c in ("n", "revenue", "priced", "profit", "disc", "disc_n")]
-    small = cells.groupBy(*dims).agg(*sums, F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    small = cells.groupBy(*dims).agg(*_totals())
     sets = [[], *[[F.col(d)] for d in dims]]
-    m = small.groupingSets(sets, *[F.col(d) for d in dims]).agg(
-        *sums, F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.grouping_id().alias("g")
-    )
+    m = small.groupingSets(sets, *[F.col(d) for d in dims]).agg(*_totals(), F.grouping_id().alias("g"))
     nothing = F.lit(None).cast("double")
     rows = F.array(
         _row("total_transactions", F.col("n")),
@@ -160,14 +162,17 @@ def _transaction_metrics(cells: DataFrame, top: int) -> DataFrame:
         .limit(top)
     )
     top_rows = best.select(F.inline(F.array(_row(f"top_{top}_products_by_revenue", usd("revenue"), F.col("product_id")))))
-    return m.select(F.inline(picked)).where(F.col("key").isNotNull()).unionByName(top_rows)
-
-
-def transaction_summary(
-    txn: DataFrame, customers: DataFrame, products: DataFrame, top: int = 5
-) -> DataFrame:
-    """Totals, breakdowns and best products: ``(metric, key, value, text)``."""
-    return _transaction_metrics(_cells(txn, customers, products), top)
+    by_segment = (
+        measure(txn, ["customer_id"], "revenue")
+        .join(customers.select("customer_id", "segment"), "customer_id")
+        .groupBy("segment")
+        .agg(F.sum("revenue").alias("revenue"))
+        .select(F.inline(F.array(_row("revenue_by_segment", usd("revenue"), F.col("segment")))))
+    )
+    # a missing region, category or segment is not a value of its breakdown
+    return (
+        m.select(F.inline(picked)).unionByName(by_segment).where(F.col("key").isNotNull()).unionByName(top_rows)
+    )
 
 
 def _nest(long: DataFrame, name: str) -> Column:

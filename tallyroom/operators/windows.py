@@ -85,6 +85,7 @@ def order_gaps(txn: DataFrame, with_next: bool = False, limit: int | None = None
     distinct order days (at most one row per calendar day); within a day the
     transaction with the lowest id looks back to the previous day and the one
     with the highest id looks ahead, all others have neighbours on the day itself.
+    Rows are sorted only for a ``limit``; sorting the whole fact table serves no report.
     """
     per_day = txn.groupBy("customer_id", "order_date").agg(
         F.min("transaction_id").alias("first_id"), F.max("transaction_id").alias("last_id")
@@ -103,10 +104,9 @@ def order_gaps(txn: DataFrame, with_next: bool = False, limit: int | None = None
     if with_next:
         closes_day = F.col("transaction_id") == F.col("last_id")
         extra = [F.when(closes_day, F.col("day_after")).otherwise(F.col("order_date")).alias("next_order_date")]
-    out = kept.orderBy("customer_id", "order_date", "transaction_id")
     if limit is not None:
-        out = out.limit(limit)
-    return out.select(
+        kept = kept.orderBy("customer_id", "order_date", "transaction_id").limit(limit)
+    return kept.select(
         "customer_id",
         "order_date",
         "prev_order_date",

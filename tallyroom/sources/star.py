@@ -12,8 +12,15 @@ from pyspark.sql import functions as F
 NO_ORDER_SIGNUP = "1995-01-01"
 
 
-def _discount() -> Column:
-    return F.col("l_discount").cast("decimal(4,2)") * F.lit(3)
+def _percent() -> Column:
+    """Discount in whole percent: three times the wholesale discount."""
+    return F.rint(F.col("l_discount") * 100).cast("bigint") * 3
+
+
+def _net_cents() -> Column:
+    """Discounted line price in whole cents, half up, in integer arithmetic."""
+    hundredths = F.rint(F.col("l_extendedprice") * 100).cast("bigint") * (100 - _percent())
+    return F.floor((hundredths + 50) / 100)
 
 
 def _text_number(c: str) -> Column:
@@ -100,7 +107,6 @@ class Star:
     def transactions(self, region: bool = True) -> DataFrame:
         """Transactions; without ``region`` the customer join is left out."""
         order_date = F.col("o_orderdate").cast("date")
-        net = F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - _discount())
         joined = self.table("lineitem").join(
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )
@@ -119,8 +125,8 @@ class Star:
             F.col("l_shipdate").cast("date").alias("ship_date"),
             F.col("l_quantity").cast("int").alias("quantity"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-            _discount().cast("double").alias("discount"),
-            F.round(net, 2).cast("double").alias("net_revenue"),
+            (_percent() / F.lit(100.0)).alias("discount"),
+            (_net_cents() / F.lit(100.0)).alias("net_revenue"),
         ]
         if region:
             home = (

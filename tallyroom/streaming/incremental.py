@@ -15,6 +15,9 @@ from tallyroom.operators.cleaning import clean_transactions
 from tallyroom.schemas import RAW, REGIONS, SALES_TRANSACTIONS
 from tallyroom.sinks.writers import write_partitioned
 
+# Ids of a batch up to this number are broadcast (about 100 MB of text keys).
+BROADCAST_IDS = 1_000_000
+
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -60,13 +63,15 @@ def incremental_load(
     stored = _existing(spark, path)
     fresh = batch
     if stored is not None:
-        lookup = stored
         if only_touched:
-            months = batch.select("year", "month").distinct()
-            lookup = stored.join(months, ["year", "month"], "left_semi")
-        # find the repeats among the stored ids first: their number is bounded by the batch,
-        # so the large side is only scanned for one column
-        repeats = lookup.select("transaction_id").join(batch.select("transaction_id"), "transaction_id", "left_semi")
+            # at most one row per calendar month; a test on partition columns prunes folders
+            months = [r.year * 100 + r.month for r in batch.select("year", "month").distinct().collect()]
+            stored = stored.where((F.col("year") * 100 + F.col("month")).isin(*months))
+        ids = batch.select("transaction_id")
+        if batch.count() <= BROADCAST_IDS:
+            # the stored side is then only scanned, one column of it; a larger batch is joined by shuffle
+            ids = F.broadcast(ids)
+        repeats = stored.select("transaction_id").join(ids, "transaction_id", "left_semi")
         fresh = durable(batch.join(repeats, "transaction_id", "left_anti"))
     added = fresh.count()
     if added:
