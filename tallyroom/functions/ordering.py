@@ -11,6 +11,7 @@ after a lost executor gives the same ranges.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,27 +19,42 @@ from pyspark.sql import functions as F
 
 from tallyroom.functions.durable import durable
 
-_STEP = 16
+MAX_RANGES = 4096
+
+
+def _range_count(df: DataFrame, ranges: int | None) -> int:
+    """As many ranges as the session has shuffle partitions, within 256 and 4096."""
+    if ranges is None:
+        ranges = max(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return min(max(ranges, 2), MAX_RANGES)
+
+
+def _step(ranges: int) -> int:
+    return max(math.isqrt(ranges), 2)
 
 
 def _cuts(df: DataFrame, ranges: int) -> Column:
-    """Up to ``ranges - 1`` sampled (value, key) pairs in order, and every 16th of them."""
+    """Up to ``ranges - 1`` sampled (value, key) pairs in order, and every ``_step``-th of them."""
     sample = (
         df.select(F.struct("_v", "_k").alias("p")).orderBy(F.xxhash64("p"), "p").limit(ranges - 1)
     )
     ordered = sample.agg(F.array_sort(F.collect_list("p")).alias("all"))
-    coarse = F.filter("all", lambda _, i: i % _STEP == _STEP - 1)
+    step = _step(ranges)
+    coarse = F.filter("all", lambda _, i: i % step == step - 1)
     return ordered.select(F.struct("all", coarse.alias("coarse"))).scalar()
 
 
-def _ranges(df: DataFrame, cuts: Column) -> DataFrame:
-    """Add ``_range``: how many cut points lie before the row's (value, key)."""
+def _ranges(df: DataFrame, cuts: Column, step: int) -> DataFrame:
+    """Add ``_range``: how many cut points lie before the row's (value, key).
+
+    Every ``step``-th cut point first, then the ``step`` points of that stretch.
+    """
     here = F.struct("_v", "_k")
-    block = F.slice("_cuts.all", F.col("_coarse") * _STEP + 1, _STEP)
+    block = F.slice("_cuts.all", F.col("_coarse") * step + 1, step)
     return (
         df.withColumn("_cuts", cuts)
         .withColumn("_coarse", F.size(F.filter("_cuts.coarse", lambda c: c < here)))
-        .withColumn("_range", F.col("_coarse") * _STEP + F.size(F.filter(block, lambda c: c < here)))
+        .withColumn("_range", F.col("_coarse") * step + F.size(F.filter(block, lambda c: c < here)))
         .drop("_cuts", "_coarse")
     )
 
@@ -111,7 +127,7 @@ def order_globally(
     total: str | None = None,
     n: str | None = None,
     source: DataFrame | None = None,
-    ranges: int = 256,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add whole-table ordering columns; each keyword names the output column.
 
@@ -125,11 +141,12 @@ def order_globally(
     v = -F.col(value) if descending else F.col(value)
     extra = {"_v": v, "_k": F.col(key)}
     stored = (df if source is None else source).withColumns(extra)
-    cuts = _cuts(stored, max(ranges, 2))
+    ranges = _range_count(df, ranges)
+    cuts, step = _cuts(stored, ranges), _step(ranges)
     # The offsets have at most ``ranges`` rows by construction: safe to broadcast.
-    offsets = F.broadcast(_offsets(_ranges(stored, cuts), amount, bool(rank or dense_rank)))
+    offsets = F.broadcast(_offsets(_ranges(stored, cuts, step), amount, bool(rank or dense_rank)))
     # every range has its offsets row; a left join spares the NULL test of the range expression
-    joined = _ranges(df.withColumns(extra), cuts).join(offsets, "_range", "left")
+    joined = _ranges(df.withColumns(extra), cuts, step).join(offsets, "_range", "left")
     within = Window.partitionBy("_range").orderBy("_v", "_k")
     by_value = Window.partitionBy("_range").orderBy("_v")
     out: dict[str, Column] = {}
@@ -171,7 +188,7 @@ def percent_rank(rank: str, n: str) -> Column:
     return F.coalesce(F.try_divide((F.col(rank) - 1).cast("double"), (F.col(n) - 1).cast("double")), F.lit(0.0))
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *, ranges: int = 256) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *, ranges: int | None = None) -> DataFrame:
     """One row ``q0, q1, ...``: linearly interpolated quantiles of a numeric column.
 
     Equal values are counted first, then the counts are accumulated in value

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.functions.durable import durable
-from tallyroom.functions.measures import measure
+from tallyroom.functions.measures import key_count, measure
 from tallyroom.functions.money import (
     cents,
     fine_sum,
@@ -31,7 +31,7 @@ def customer_totals(txn: DataFrame) -> DataFrame:
     return txn.groupBy("customer_id").agg(
         F.sum(cents("net_revenue")).alias("revenue"),
         F.count("net_revenue").alias("priced"),
-        F.countDistinct("transaction_id").alias("orders"),
+        key_count(txn).alias("orders"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
     )
@@ -109,7 +109,7 @@ def rfm_base(txn: DataFrame) -> DataFrame:
     )
 
 
-def _positions(base: DataFrame, best_last: bool, ranges: int) -> DataFrame:
+def _positions(base: DataFrame, best_last: bool, ranges: int | None) -> DataFrame:
     """Row numbers ``rn_r``, ``rn_f``, ``rn_m`` and the count ``n``; ties go by customer_id.
 
     ``best_last`` numbers the worst customer 1, so that high tiles are good.
@@ -158,19 +158,19 @@ def _tiles(placed: DataFrame) -> DataFrame:
     return placed.withColumns({f"{x}_score": ntile(5, f"rn_{x}", "n") for x in ("r", "f", "m")})
 
 
-def rfm_scores(txn: DataFrame, customers: DataFrame, ranges: int = 256) -> DataFrame:
+def rfm_scores(txn: DataFrame, customers: DataFrame, ranges: int | None = None) -> DataFrame:
     """RFM quintiles as the KPI definitions have them: 5 is the best score."""
     placed = _positions(rfm_base(txn), best_last=True, ranges=ranges)
     return _scored(_tiles(placed), customers)
 
 
-def rfm_scores_sql(txn: DataFrame, customers: DataFrame, ranges: int = 256) -> DataFrame:
+def rfm_scores_sql(txn: DataFrame, customers: DataFrame, ranges: int | None = None) -> DataFrame:
     """RFM quintiles with the query's literal direction: tile 1 is the best, labels unchanged."""
     placed = _positions(rfm_base(txn), best_last=False, ranges=ranges)
     return _scored(_tiles(placed), customers)
 
 
-def rfm_scores_quantile(txn: DataFrame, ranges: int = 256) -> DataFrame:
+def rfm_scores_quantile(txn: DataFrame, ranges: int | None = None) -> DataFrame:
     """RFM by interpolated quantile edges, right-closed; 5 is the best.
 
     Recency keeps equal values together.  Frequency and monetary cut the row
@@ -387,7 +387,7 @@ def customer_geography(txn: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def customer_cards(txn: DataFrame, ranges: int = 256) -> DataFrame:
+def customer_cards(txn: DataFrame, ranges: int | None = None) -> DataFrame:
     """Six figures over all buying customers; days between orders need a second order."""
     base = rfm_base(txn)
     scored = _tiles(_positions(base, best_last=True, ranges=ranges)).withColumn("rfm_segment", rfm_label())

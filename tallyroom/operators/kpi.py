@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.functions.durable import durable
-from tallyroom.functions.measures import add_up, discount_pct, measure, profit_cells, with_products
+from tallyroom.functions.measures import add_up, discount_pct, key_count, measure, profit_cells, with_products
 from tallyroom.functions.money import (
     cents,
     discount_bucket,
@@ -224,7 +224,7 @@ def predicted_ltv(txn: DataFrame, lifespan_years: float = 3.0) -> DataFrame:
     """
     c = txn.groupBy("customer_id").agg(
         F.sum(cents("net_revenue")).alias("revenue"),
-        F.countDistinct("transaction_id").alias("orders"),
+        key_count(txn).alias("orders"),
         F.datediff(F.max("order_date"), F.min("order_date")).alias("span"),
     )
     aov = ratio(usd("revenue"), "orders")

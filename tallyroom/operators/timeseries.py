@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tallyroom.functions.measures import discount_pct, measure
+from tallyroom.functions.measures import discount_pct, key_count, measure
 from tallyroom.functions.money import (
     cents,
     fine_sum,
@@ -31,7 +31,7 @@ def _months() -> WindowSpec:
 def monthly_sales(txn: DataFrame) -> DataFrame:
     m = txn.groupBy("year", "month").agg(
         F.sum(cents("net_revenue")).alias("revenue"),
-        F.countDistinct("transaction_id").alias("orders"),
+        key_count(txn).alias("orders"),
         F.countDistinct("customer_id").alias("customers"),
         F.sum(F.col("quantity").cast("bigint")).alias("units"),
         F.count("quantity").alias("units_n"),
@@ -92,7 +92,7 @@ def monthly_revenue_simple(txn: DataFrame) -> DataFrame:
         txn.groupBy(F.date_format("order_date", "yyyy-MM").alias("month"))
         .agg(
             from_fine(fine_sum(net)).alias("net_revenue"),
-            F.countDistinct("transaction_id").alias("order_count"),
+            key_count(txn).alias("order_count"),
         )
         .orderBy("month")
     )

@@ -39,7 +39,7 @@ def moving_average_3m(txn: DataFrame, months: int = 3) -> DataFrame:
     ).orderBy("year", "month")
 
 
-def customer_ranking(txn: DataFrame, ranges: int = 256) -> DataFrame:
+def customer_ranking(txn: DataFrame, ranges: int | None = None) -> DataFrame:
     """Five rankings of all customers by lifetime value."""
     ltv = durable(measure(txn, ["customer_id"], "revenue"))
     placed = order_globally(

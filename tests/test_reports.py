@@ -149,3 +149,19 @@ def test_histogram_with_one_value(spark, txn_of):
     c = spark.createDataFrame([("c1", "s")], "customer_id string, segment string")
     row = customer.ltv_histogram(txn_of({"order_date": D(2020, 1, 1)}), c).first()
     assert (row.bin, row.customer_count, row.median_ltv) == (1, 1, 10.0)
+
+
+def test_declared_unique_keys_are_counted_without_a_shuffle(spark):
+    from conftest import SMALL
+
+    from tallyroom.functions.measures import declare_unique
+    from tallyroom.sources.star import Star
+
+    star = Star(spark, SMALL)
+    txn, products = star.transactions(), star.products()
+    marked = declare_unique(txn)
+    for report in (region.regional_monthly, timeseries.monthly_sales, customer.customer_features):
+        assert sorted(report(marked).collect()) == sorted(report(txn).collect())
+    plain = region.regional_summary(marked, products)
+    assert sorted(plain.collect()) == sorted(region.regional_summary(txn, products).collect())
+    assert "transaction_id" not in kpi.kpi_totals(marked, products)._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
