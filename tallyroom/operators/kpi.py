@@ -24,14 +24,17 @@ from tallyroom.functions.ordering import order_globally
 
 
 def prior_year(df: DataFrame, on: list[str], *values: str) -> DataFrame:
-    """Left join of ``df`` to itself one year earlier; ``values`` come back as ``prior_<name>``.
+    """Add ``prior_<value>``: the value of the year before, NULL when that very year is missing.
 
-    A year that is missing gives NULL, unlike LAG, which would take the one before it.
+    ``df`` is an aggregate with one row per year and ``on``.  A look at the row
+    before replaces the self-join on ``year - 1``, which would read the fact twice;
+    testing that row's year keeps the join's meaning.  NULL keys never match.
     """
-    earlier = df.select(
-        (F.col("year") + 1).alias("year"), *on, *[F.col(v).alias(f"prior_{v}") for v in values]
-    )
-    return df.join(earlier, ["year", *on], "left")
+    w = Window.partitionBy(*on).orderBy("year")
+    follows = F.lag("year").over(w) == F.col("year") - 1
+    for c in on:
+        follows = follows & F.col(c).isNotNull()
+    return df.withColumns({f"prior_{v}": F.when(follows, F.lag(v).over(w)) for v in values})
 
 
 def kpi_totals(txn: DataFrame, products: DataFrame) -> DataFrame:

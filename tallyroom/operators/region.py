@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from tallyroom.functions.measures import discount_pct, measure, profit_cells, with_products
 from tallyroom.functions.money import (
     band,
+    cents,
     growth_pct,
     month_label,
     pct_usd,
     per_usd,
+    ratio,
     rounded,
     usd,
 )
-from tallyroom.operators.kpi import cagr, days_to_ship, prior_year
+from tallyroom.operators.kpi import cagr, prior_year
 
 
 def _whole(c: str) -> Column:
@@ -181,24 +183,30 @@ def region_growth_table(txn: DataFrame, years: Sequence[int]) -> DataFrame:
 
 def region_cards(txn: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
     """Six cards per region: revenue, orders, revenue per customer, ship days, share and last YoY."""
-    m = measure(txn, ["region"], "revenue", "orders", "customers").withColumn("whole", _whole("revenue"))
-    yearly = prior_year(measure(txn, ["region", "year"], "revenue"), ["region"], "revenue")
-    latest = yearly.groupBy("region").agg(
-        F.max_by(growth_pct("revenue", "prior_revenue"), "year").alias("yoy_growth_pct")
+    days = F.datediff("ship_date", "order_date")
+    yearly = txn.groupBy("region", "year").agg(
+        F.sum(cents("net_revenue")).alias("revenue"),
+        F.sum(days.cast("bigint")).alias("days"),
+        F.count(days).alias("days_n"),
     )
-    ship = days_to_ship(txn).select("region", "avg_days_to_ship")
-    out = (
-        m.join(ship, "region", "left")
-        .join(latest, "region", "left")
-        .select(
-            "region",
-            usd("revenue").alias("revenue"),
-            "orders",
-            per_usd("revenue", "customers").alias("revenue_per_customer"),
-            "avg_days_to_ship",
-            pct_usd("revenue", "whole").alias("market_share_pct"),
-            "yoy_growth_pct",
+    m = (
+        prior_year(yearly, ["region"], "revenue")
+        .groupBy("region")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("revenue", "days", "days_n")],
+            F.max_by(growth_pct("revenue", "prior_revenue"), "year").alias("yoy_growth_pct"),
         )
+        .withColumn("whole", _whole("revenue"))
+    )
+    counts = measure(txn, ["region"], "orders", "customers")
+    out = m.join(counts, "region").select(
+        "region",
+        usd("revenue").alias("revenue"),
+        "orders",
+        per_usd("revenue", "customers").alias("revenue_per_customer"),
+        rounded(ratio("days", "days_n")).alias("avg_days_to_ship"),
+        pct_usd("revenue", "whole").alias("market_share_pct"),
+        "yoy_growth_pct",
     )
     if regions is not None:
         out = out.where(F.col("region").isin(*regions))

@@ -126,3 +126,10 @@ def test_hot_customer_join_is_split_at_run_time(spark):
             spark.conf.unset(k)
     assert total == 60000
     assert "isSkewJoin=true" in plan or "skew=true" in plan or "skewed" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["yoy_revenue", "kpi_year_cards", "yoy_same_month", "regional_yoy", "quarter_by_year", "region_growth_table"]
+)
+def test_year_over_year_reads_the_fact_once(spark, name):
+    assert _plan(build(name, spark, SMALL)).count("lineitem.parquet") == 1
