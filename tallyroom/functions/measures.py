@@ -49,11 +49,6 @@ def measure(df: DataFrame, keys: Sequence[str | Column], *names: str) -> DataFra
     return df.groupBy(*keys).agg(*made)
 
 
-def add_up(df: DataFrame, keys: Sequence[str | Column], *names: str) -> DataFrame:
-    """Re-group partial results of additive measures."""
-    return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
-
-
 def discount_pct(digits: int = 2) -> Column:
     """Average discount in percent from the ``disc`` and ``disc_n`` measures."""
     mean = ratio(F.col("disc").cast("double") / F.lit(1_000_000.0), "disc_n")
@@ -78,14 +73,11 @@ def profit_cells(
 ) -> DataFrame:
     """Additive measures per ``by`` (transaction columns) and ``dims`` (product columns).
 
-    The fact table is combined per product before it meets the product table, so
-    the join input is at most products x ``by`` and a hot product is one row.
+    Rows meet their product first and are then combined map-side into few groups.
+    With a product table small enough to broadcast no fact row is shuffled; with a
+    larger one each is shuffled once, and AQE splits a hot product.  Grouping per
+    product beforehand would shuffle nearly every row as soon as ``by`` is fine.
     With ``how="left"`` sales of unknown products keep their revenue, without profit.
     """
-    per_product = measure(
-        txn, [*by, "product_id"], "revenue", "units", "lines", "priced", "disc", "disc_n"
-    )
-    joined = per_product.join(
-        products.select("product_id", "unit_cost", *dims), "product_id", how
-    ).withColumn("profit", F.col("revenue") - cents("unit_cost") * F.col("units"))
-    return add_up(joined, [*by, *dims], *ADDITIVE)
+    joined = txn.join(products.select("product_id", "unit_cost", *dims), "product_id", how)
+    return measure(joined, [*by, *dims], *ADDITIVE)

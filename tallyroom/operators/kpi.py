@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.functions.durable import durable
-from tallyroom.functions.measures import add_up, discount_pct, key_count, measure, profit_cells, with_products
+from tallyroom.functions.measures import discount_pct, key_count, measure, profit_cells, with_products
 from tallyroom.functions.money import (
     cents,
     discount_bucket,
     growth_pct,
+    micros,
     pct,
     pct_usd,
     per_usd,
@@ -132,28 +133,22 @@ def kpi_alerts(
 ) -> DataFrame:
     """Threshold flags per region: low margin, slow shipping, heavy discounting.
 
-    One pass over the fact (combined per region and product before the join)
-    serves all three alerts.
+    One pass over the fact serves all three alerts.
     """
     days = F.datediff("ship_date", "order_date")
-    per_product = txn.groupBy("region", "product_id").agg(
+    m = with_products(txn, products).groupBy("region").agg(
         F.sum(cents("net_revenue")).alias("revenue"),
-        F.sum(F.col("quantity").cast("bigint")).alias("units"),
-        F.sum(F.rint(F.col("discount") * 1_000_000).cast("bigint")).alias("disc"),
+        F.sum(profit_cents()).alias("profit"),
+        F.sum(micros("discount")).alias("disc"),
         F.count("discount").alias("disc_n"),
         F.sum(days.cast("bigint")).alias("days"),
         F.count(days).alias("days_n"),
     )
-    region = (
-        per_product.join(products.select("product_id", "unit_cost"), "product_id")
-        .withColumn("profit", F.col("revenue") - cents("unit_cost") * F.col("units"))
-        .transform(add_up, ["region"], "revenue", "profit", "disc", "disc_n", "days", "days_n")
-        .select(
-            "region",
-            pct_usd("profit", "revenue").alias("margin"),
-            rounded(ratio("days", "days_n")).alias("ship"),
-            discount_pct().alias("discount"),
-        )
+    region = m.select(
+        "region",
+        pct_usd("profit", "revenue").alias("margin"),
+        rounded(ratio("days", "days_n")).alias("ship"),
+        discount_pct().alias("discount"),
     )
 
     def alert(metric: str, value: str, limit: float, below: bool) -> Column:

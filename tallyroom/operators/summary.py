@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.functions.durable import durable
 from tallyroom.functions.measures import measure
-from tallyroom.functions.money import cents, micros, pct_usd, per_usd, ratio, rounded, usd
+from tallyroom.functions.money import cents, micros, pct_usd, per_usd, profit_cents, ratio, rounded, usd
 from tallyroom.functions.ordering import exact_quantiles
 
 
@@ -97,23 +96,18 @@ def _totals() -> list[Column]:
 
 
 def _cells(txn: DataFrame, products: DataFrame) -> DataFrame:
-    """Additive totals per year, region and product.
-
-    The fact is combined before it meets the products, and the result is stored
-    because the breakdowns and the best products are both read off it.
-    """
-    per_product = txn.groupBy("year", "region", "product_id").agg(
+    """Additive totals per year, region and category."""
+    joined = txn.join(products.select("product_id", "category", "unit_cost"), "product_id", "left")
+    return joined.groupBy("year", "region", "category").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(cents("net_revenue")).alias("revenue"),
         F.count("net_revenue").alias("priced"),
-        F.sum(F.col("quantity").cast("bigint")).alias("units"),
+        F.sum(profit_cents()).alias("profit"),
         F.sum(micros("discount")).alias("disc"),
         F.count("discount").alias("disc_n"),
         F.min("order_date").alias("lo"),
         F.max("order_date").alias("hi"),
     )
-    joined = per_product.join(products.select("product_id", "category", "unit_cost"), "product_id", "left")
-    return durable(joined.withColumn("profit", F.col("revenue") - cents("unit_cost") * F.col("units")))
 
 
 _BREAKDOWNS = {
@@ -128,12 +122,11 @@ def transaction_summary(
 ) -> DataFrame:
     """Totals, breakdowns and best products: ``(metric, key, value, text)``.
 
-    Two passes over the fact, one combined per product and one per customer, so
-    neither dimension join sees fact rows.
+    Three passes over a few columns of the fact each: the cells all totals are
+    added up from, revenue per product, and revenue per customer.
     """
-    cells = _cells(txn, products)
     dims = list(_BREAKDOWNS.values())
-    small = cells.groupBy(*dims).agg(*_totals())
+    small = _cells(txn, products)
     sets = [[], *[[F.col(d)] for d in dims]]
     m = small.groupingSets(sets, *[F.col(d) for d in dims]).agg(*_totals(), F.grouping_id().alias("g"))
     nothing = F.lit(None).cast("double")
@@ -155,8 +148,7 @@ def transaction_summary(
             F.col("g") == only, F.array(_row(metric, usd("revenue"), F.col(dim).cast("string")))
         )
     best = (
-        cells.groupBy("product_id")
-        .agg(F.sum("revenue").alias("revenue"))
+        measure(txn, ["product_id"], "revenue")
         .where(F.col("product_id").isNotNull())
         .orderBy(F.desc("revenue"), "product_id")
         .limit(top)

@@ -44,6 +44,19 @@ class Star:
             "n_nationkey", F.col("r_name").alias("region"), F.col("n_name").alias("country")
         )
 
+    def _with_region(self, orders: DataFrame) -> DataFrame:
+        """Add the buyer's region, one lookup at a time.
+
+        Every right side is a plain table, whose size Catalyst knows; the size of
+        tables joined beforehand would be estimated as a product.
+        """
+        return (
+            orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+            .withColumnRenamed("r_name", "region")
+        )
+
     def customers(self, signup: bool = True) -> DataFrame:
         """Customers; without ``signup`` the pass over the orders is left out."""
         number = F.substring("c_name", 10, 100)
@@ -129,12 +142,7 @@ class Star:
             (_net_cents() / F.lit(100.0)).alias("net_revenue"),
         ]
         if region:
-            home = (
-                self.table("customer")
-                .join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-                .select("c_custkey", "region")
-            )
-            joined = joined.join(home, F.col("o_custkey") == F.col("c_custkey"), "left")
+            joined = self._with_region(joined)
             cols.append(F.col("region"))
         return joined.select(
             *cols, F.year(order_date).alias("year"), F.month(order_date).alias("month")
@@ -199,15 +207,9 @@ class Star:
         order_day = F.date_format("o_orderdate", "yyyy-MM-dd")
         unit_price = F.round((F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(28,10)"), 2)
         odd_discount = F.col("l_discount").cast("decimal(4,2)") * 15 - F.lit(0.1).cast("decimal(4,2)")
-        home = (
-            self.table("customer")
-            .join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select("c_custkey", "region")
-        )
+        lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return (
-            self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(home, F.col("o_custkey") == F.col("c_custkey"), "left")
+            self._with_region(lines)
             .select(
                 F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
                     "transaction_id"

@@ -60,15 +60,13 @@ def test_scans_read_only_needed_columns(spark):
     assert read == {"l_orderkey", "l_extendedprice", "l_discount", "o_orderkey", "o_orderdate"}
 
 
-def test_profit_reports_combine_before_joining_products(spark):
-    """Without a broadcast the join input is the per-product aggregate, not the fact."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = _plan(build("profit_by_subcategory", spark, SMALL))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    top = plan[plan.index("SortMergeJoin [product_id") :]
-    assert top.index("HashAggregate(keys=[product_id") < top.index("FileScan")
+@pytest.mark.parametrize("name", ["profit_by_subcategory", "discount_buckets", "profit_matrix_bands", "kpi_alerts"])
+def test_profit_reports_shuffle_groups_only(spark, name):
+    """With a small product table every shuffle carries partial aggregates, no fact rows."""
+    lines = _plan(build(name, spark, SMALL)).splitlines()
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert shuffles and all("partial_" in lines[i + 1] for i in shuffles)
+    assert not any("product_id" in lines[i] for i in shuffles)
 
 
 def test_hot_customer_gives_right_results(spark):
