@@ -10,8 +10,10 @@ from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash, substring
+from . import packing, quality, secrets, simhash, substring, tokenfile, toxicity
+from .store import Scratch
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -20,6 +22,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file; the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Scratch(spark, 'tokenfile').root}/ids"
+    tokenfile.write(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return tokenfile.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,7 +68,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_OPERATORS = (op7_simhash, op8_substring_dedup)
+_OPERATORS = (
+    op2_secrets,
+    op3_quality,
+    op4_packing,
+    op5_token_files,
+    op6_toxicity,
+    op7_simhash,
+    op8_substring_dedup,
+)
 
 
 def ship(spark: SparkSession) -> None:
