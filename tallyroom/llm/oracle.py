@@ -2,4 +2,81 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_ASSIGN = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+    "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+#: kind, order, pattern, group with the value, its least length
+_KINDS = (
+    ("assign", 0, _ASSIGN, 2, 12),
+    ("access", 1, "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", 2, "[0-9a-f]+", 0, 16),
+    ("github", 3, "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("slack", 4, "xox[abprs]-[A-Za-z0-9-]+", 0, 20),
+    ("google", 5, "AIza[A-Za-z0-9_-]+", 0, 39),
+    ("jwt", 6, "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 40),
+    ("pem", 7, "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27),
+)
+
+
+def _spans(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    return f"""
+    SELECT r, '{kind}' AS kind, {rank} AS rank,
+           CAST(before AS BIGINT) AS s, CAST(before + length(m) AS BIGINT) AS e
+    FROM (
+        SELECT r, ms[i] AS m, vs[i] AS v,
+               list_sum(list_transform(ps[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0) AS before
+        FROM (
+            SELECT *, unnest(range(1, len(ms) + 1)) AS i
+            FROM (
+                SELECT r, regexp_extract_all(t, '{pattern}') AS ms, regexp_extract_all(t, '{pattern}', {group}) AS vs,
+                       string_split_regex(t, '{pattern}') AS ps
+                FROM docs WHERE regexp_matches(t, '{pattern}')
+            )
+        )
+    )
+    WHERE length(v) >= {least}"""
+
+
+_BASE = "kind IN ('assign', 'access', 'hex')"
+_SECRETS = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS MATERIALIZED ({" UNION ALL ".join(_spans(*k) for k in _KINDS)}),
+per_doc AS (
+    SELECT r,
+           count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c,
+           count(*) FILTER (kind = 'hex') AS h,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER ({_BASE}) AS base,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS everything
+    FROM spans GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(c, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(h, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(everything, '') AS spans
+FROM docs LEFT JOIN per_doc USING (r)
+"""
+
+_SUBSTRING = """
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+),
+windows AS MATERIALIZED (
+    SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+    FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)
+),
+owners AS (SELECT h, min(doc_id) AS owner FROM windows GROUP BY h),
+gone AS (
+    SELECT DISTINCT r, i + k AS word
+    FROM windows JOIN owners USING (h), (SELECT unnest(range(50)) AS k) WHERE doc_id > owner
+),
+lost AS (SELECT r, list(word) AS words FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(words), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN words IS NULL THEN array_to_string(w, ' ')
+              ELSE array_to_string(list_filter(w, lambda x, i: NOT list_contains(words, i)), ' ') END) AS kept_sha256
+FROM docs LEFT JOIN lost USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op2_secrets": _SECRETS, "op8_substring_dedup": _SUBSTRING}

@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, simhash, substring, tokenfile, toxicity
+from . import ann, decontaminate, packing, quality, secrets, simhash, substring, tokencount, tokenfile, toxicity
 from .store import Scratch
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -29,6 +29,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,17 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokencount.count(docs, tokencount.masks(), vocabulary("byte_bpe_50k.json"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 _OPERATORS = (
+    op1_decontaminate,
     op2_secrets,
     op3_quality,
     op4_packing,
@@ -76,6 +90,8 @@ _OPERATORS = (
     op6_toxicity,
     op7_simhash,
     op8_substring_dedup,
+    op9_token_counts,
+    op10_nearest,
 )
 
 

@@ -88,7 +88,7 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
     return met.select("doc", F.filter(F.array(*kinds), lambda k: k.isNotNull()).alias("kinds")).where("size(kinds) > 0")
 
 
-def _found(rule: Rule, rank: int) -> Column:
+def found(rule: Rule, rank: int) -> Column:
     """Array of (start, rank, end, kind): leftmost non-overlapping matches that are long enough.
 
     The pieces between matches give the positions: a match starts after all earlier pieces and
@@ -154,7 +154,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
     none = F.array().cast(_SPANS)
     parts = [
-        F.when(_looked_at(r, r.kind in narrowed), _found(r, i)).otherwise(none) for i, r in enumerate(rules)
+        F.when(_looked_at(r, r.kind in narrowed), found(r, i)).otherwise(none) for i, r in enumerate(rules)
     ]
     return joined.withColumn("secret_spans", F.array_sort(F.concat(*parts))).drop("_doc", "_kinds", "_text")
 
