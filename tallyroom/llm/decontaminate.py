@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import text_or_empty
+from .store import fresh, text_or_empty
 
 PASSAGE = 96
 STRIDE = PASSAGE // 2
@@ -307,4 +307,4 @@ def _without(docs: DataFrame, index: Index) -> DataFrame:
             keep = pa.array([not ix.leaks(t) for t in b.column(width).to_pylist()], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(i).filter(keep) for i in range(width)], names)
 
-    return docs.select("*", text_or_empty().alias("_text")).mapInArrow(clean, docs.schema)
+    return docs.select("*", text_or_empty().alias(fresh(docs, "text_"))).mapInArrow(clean, docs.schema)

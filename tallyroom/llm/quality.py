@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import held_out, sample_labelled
-from .store import text_or_empty
+from .store import fresh, text_or_empty
 
 BITS = 18
 #: Most labelled documents that the model is fitted on.
@@ -104,10 +104,10 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> np.ndarray
     return weights
 
 
-def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``docs`` with a last column ``_score``; any other columns pass through untouched."""
+def scored(docs: DataFrame, weights: np.ndarray, name: str) -> DataFrame:
+    """``docs`` with a last column ``name``; all other columns pass through untouched."""
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
-    width = len(docs.columns)
+    width, names = len(docs.columns), [*docs.columns, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value.astype(np.float64)
@@ -115,10 +115,8 @@ def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             got = pa.array([score(w, t) for t in b.column(width).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(width)), got], names)
 
-    names = [*docs.columns, "_score"]
-    given = docs.select("*", text_or_empty().alias("_text"))
-    schema = docs.select("*", F.lit(0.0).alias("_score")).schema
-    return given.mapInArrow(run, schema)
+    given = docs.select("*", text_or_empty().alias(fresh(docs, "text_")))
+    return given.mapInArrow(run, docs.withColumn(name, F.lit(0.0)).schema)
 
 
 def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -126,17 +124,20 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Only the text is looked at; null text counts as empty and gets the score of the bias. Rows that
     repeat an id are scored one by one, null ids are held out, an empty table gives no rows, and
-    without labels every score is one half.
+    without labels every score is one half. Other columns are ignored.
     """
-    out = scored(docs.select("doc_id", "text"), train(docs, labels))
-    return out.select(
+    return scored(docs.select("doc_id", "text"), train(docs, labels), "score").select(
         "doc_id",
         held_out().alias("held_out"),
-        F.col("_score").alias("score"),
-        F.when(F.col("_score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+        "score",
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` whose quality score reaches the threshold, with all their columns."""
-    return scored(docs, train(docs, labels)).where(F.col("_score") >= threshold).select(*docs.columns)
+    """``docs`` whose quality score reaches the threshold, with all their columns.
+
+    Null and empty texts are judged by the bias alone; rows that repeat an id are judged one by one.
+    """
+    name = fresh(docs, "score")
+    return scored(docs, train(docs, labels), name).where(F.col(name) >= threshold).select(*docs.columns)

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import Scratch, text_or_empty
+from .store import Scratch, fresh, text_or_empty
 from .trigram import ANY, Query, trigram_query
 
 
@@ -88,15 +88,15 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
     return met.select("doc", F.filter(F.array(*kinds), lambda k: k.isNotNull()).alias("kinds")).where("size(kinds) > 0")
 
 
-def found(rule: Rule, rank: int) -> Column:
-    """Array of (start, rank, end, kind): leftmost non-overlapping matches that are long enough.
+def found(rule: Rule, rank: int, text: str) -> Column:
+    """In the column ``text``: array of (start, rank, end, kind): leftmost non-overlapping matches that are long enough.
 
     The pieces between matches give the positions: a match starts after all earlier pieces and
     matches. Lengths are in code points.
     """
-    whole = F.regexp_extract_all("_text", F.lit(rule.pattern), F.lit(0))
-    value = F.regexp_extract_all("_text", F.lit(rule.pattern), F.lit(rule.value))
-    pieces = F.slice(F.split("_text", rule.pattern, -1), F.lit(1), F.size(whole))
+    whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.value))
+    pieces = F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(whole))
     sizes = F.zip_with(
         F.zip_with(whole, value, lambda m, v: F.struct(F.length(m).alias("m"), F.length(v).alias("v"))),
         pieces,
@@ -131,14 +131,14 @@ def found(rule: Rule, rank: int) -> Column:
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with a column ``secret_spans``: array of (start, end, rank, kind), by start, then rank.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, name: str = "secret_spans") -> DataFrame:
+    """``docs`` with a last column ``name``: array of (start, rank, end, kind), by start, then rank.
 
     Each rule's matches are leftmost and non-overlapping; those whose value is too short are dropped.
     Positions are code points, the end exclusive. Null text counts as empty and has no spans. Rows
     that repeat an id, even with another text, are judged one by one; a null id is as good as any.
     A rule whose query is empty (no certain trigram) scans every text; the others look only into the
-    candidates of the index. A ``secret_spans`` column of the input is replaced.
+    candidates of the index. No documents give no rows.
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     narrowed = {k: q for k, q in queries.items() if q != ANY}
@@ -148,22 +148,21 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     index = scratch.write(postings(keyed, grams).sortWithinPartitions("gram"), "postings")
     wanted = scratch.write(candidates(index, narrowed), "candidates")
     scratch.drop(index)
-    base = docs.drop("secret_spans", "_doc", "_kinds").withColumn("_text", text_or_empty())
-    joined = base.withColumn("_doc", F.xxhash64("doc_id", "_text")).join(
-        wanted.select(F.col("doc").alias("_doc"), F.col("kinds").alias("_kinds")), "_doc", "left"
+    text, doc, kinds = fresh(docs, "text_"), fresh(docs, "doc"), fresh(docs, "kinds")
+    base = docs.withColumn(text, text_or_empty())
+    joined = base.withColumn(doc, F.xxhash64("doc_id", text)).join(
+        wanted.select(F.col("doc").alias(doc), F.col("kinds").alias(kinds)), doc, "left"
     )
     none = F.array().cast(_SPANS)
-    parts = [
-        F.when(_looked_at(r, r.kind in narrowed), found(r, i)).otherwise(none) for i, r in enumerate(rules)
-    ]
-    return joined.withColumn("secret_spans", F.array_sort(F.concat(*parts))).drop("_doc", "_kinds", "_text")
 
+    def looked_at(rule: Rule) -> Column:
+        """Candidates of the index; for rules outside it every text that matches at all."""
+        if rule.kind in narrowed:
+            return F.coalesce(F.array_contains(kinds, rule.kind), F.lit(False))
+        return F.col(text).rlike(rule.pattern)
 
-def _looked_at(rule: Rule, narrowed: bool) -> Column:
-    """Candidates of the index; for rules outside it every text that matches at all."""
-    if narrowed:
-        return F.coalesce(F.array_contains("_kinds", rule.kind), F.lit(False))
-    return F.col("_text").rlike(rule.pattern)
+    parts = [F.when(looked_at(r), found(r, i, text)).otherwise(none) for i, r in enumerate(rules)]
+    return joined.select(*docs.columns, F.array_sort(F.concat(*parts)).alias(name))
 
 
 def listed(spans: Column) -> Column:
@@ -195,7 +194,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Overlapping spans count as one. Texts without secrets, null ones included, stay as they are.
     """
-    spans = F.col("secret_spans")
+    name = fresh(docs, "secret_spans")
+    spans = F.col(name)
     # text before the first span, then for each span what follows it up to the next later start
     kept = F.aggregate(
         spans,
@@ -209,7 +209,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["made"].alias("made"))),
         lambda acc: F.concat(acc["made"], F.substring("text", acc["at"] + 1, F.length("text"))),
     )
-    out = scan(docs, rules).withColumn("text", F.when(F.size(spans) > 0, kept).otherwise(F.col("text")))
+    out = scan(docs, rules, name).withColumn("text", F.when(F.size(spans) > 0, kept).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

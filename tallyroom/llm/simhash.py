@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .store import Scratch, text_or_empty
+from .store import Scratch, fresh, text_or_empty
 
 SHINGLE = 4
 SEED = 42
@@ -203,12 +203,13 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
         ),
         "kept",
     )
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text_or_empty()))
-    same = hashed["doc_id"].eqNullSafe(kept["_kept_id"]) & (hashed["_text_hash"] == kept["_kept_hash"])
-    once = Window.partitionBy("doc_id", "_text_hash").orderBy(F.lit(0))
+    text_hash, row = fresh(docs, "text_hash"), fresh(docs, "row_")
+    hashed = docs.withColumn(text_hash, F.xxhash64(text_or_empty()))
+    same = hashed["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (hashed[text_hash] == kept["_kept_hash"])
+    once = Window.partitionBy("doc_id", text_hash).orderBy(F.lit(0))
     return (
         hashed.join(kept, same, "left_semi")
-        .withColumn("_row", F.row_number().over(once))
-        .where("_row = 1")
+        .withColumn(row, F.row_number().over(once))
+        .where(F.col(row) == 1)
         .select(*docs.columns)
     )

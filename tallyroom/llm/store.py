@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +48,9 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[list[tuple]]:
-    """The named columns of each Arrow batch as tuples; text given as binary stays undecoded."""
-    for b in batches:
-        yield list(zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in columns), strict=True))
-
-
-def parts_for(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -75,7 +75,7 @@ class Tree:
         groups: list[tuple[int, int, list]] = []
         done, applied = 0, 0
         for start, end, new in sorted(edits):
-            if start < done or end < start or end > len(self.text) or (applied and start == end == done):
+            if start < done or end < start or end > len(self.text):
                 continue
             done, applied = end, applied + 1
             low, high = self._leaf(start - 1), self._leaf(end)
@@ -156,7 +156,7 @@ def masks() -> Column:
     each = [
         F.when(
             F.contains("_text", F.lit(sign)),
-            F.transform(found(rule, 0), _edit(new)),
+            F.transform(found(rule, 0, "_text"), _edit(new)),
         ).otherwise(F.array().cast(kind))
         for rule, sign, new in MASKS
     ]

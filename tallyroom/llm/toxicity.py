@@ -227,23 +227,8 @@ def _fit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> str:
     """The model from at most ``bound`` labelled documents, in one task; held-out rows never take part."""
     drawn = sample_labelled(docs, labels, "toxic", bound).repartition(1)
-    return drawn.mapInArrow(_fit_batches, "model string").first()["model"]
-
-
-def scored(docs: DataFrame, model: str) -> DataFrame:
-    """``docs`` with a last column ``_score``; any other columns pass through untouched."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    width = len(docs.columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model.load(shared.value)
-        for b in batches:
-            got = pa.array(m.scores(b.column(width).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(width)), got], names)
-
-    names = [*docs.columns, "_score"]
-    given = docs.select("*", text_or_empty().alias("_text"))
-    return given.mapInArrow(run, docs.select("*", F.lit(0.0).alias("_score")).schema)
+    made = drawn.mapInArrow(_fit_batches, "model string").first()
+    return made["model"] if made else Model.fit([]).dump()
 
 
 def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -251,11 +236,21 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Only the text is looked at; null text counts as empty and all texts without words get the same
     score. Rows that repeat an id are scored one by one, null ids are held out, an empty table gives
-    no rows, and without labels every score is one half.
+    no rows, and without labels every score is one half. Other columns are ignored.
     """
-    return scored(docs.select("doc_id", "text"), train(docs, labels)).select(
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model.load(shared.value)
+        for b in batches:
+            got = pa.array(model.scores(b.column(1).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([b.column(0), got], ["doc_id", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scored = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    return scored.select(
         "doc_id",
         held_out().alias("held_out"),
-        F.col("_score").alias("score"),
-        F.when(F.col("_score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+        "score",
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
     )

@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+from llm_data import ODD, docs_of, shipped  # noqa: F401
+from tallyroom.llm import secrets
+from tallyroom.llm.trigram import ANY, trigram_query
+
+
+PLAIN = {r.kind: re.compile(r.pattern) for r in secrets.RULES}
+TEXTS = [
+    'PassWord = "abcdefghijkl" token:short secret=\'0123456789abcdef01\'',
+    "token=secret:abcdefghijklmnop passwd : AAAABBBBCCCC",
+    "AKIAABCDEFGHIJKLMN AKIASHORT xAKIA" + "Z" * 30,
+    "éé 0123456789abcdef é 0123456789abcde deadbeefdeadbeefdeadbeef",
+    "api_key=aaaaaaaaaaaaaaaa apikey:bbbbbbbbbbbbbbbb api-key=cccccccccccc",
+    "ghp_" + "a1" * 20 + " xoxb-123456789012-abcdef -----BEGIN RSA PRIVATE KEY----- eyJabcdefgh.eyJijklmnop.qrstuvwxyz01234567890",
+    "ſecret=abcdefghijklmnop toKen=abcdefghijklmnop",
+]
+
+
+def brute(text):
+    spans = []
+    for rank, rule in enumerate(secrets.RULES):
+        for m in PLAIN[rule.kind].finditer(text or ""):
+            if len(m.group(rule.value)) >= rule.least:
+                spans.append((m.start(), rank, m.end(), rule.kind))
+    return sorted(spans)
+
+
+def listed(spans):
+    return ",".join(f"{k}:{s}:{e}" for s, _, e, k in spans)
+
+
+def test_report_equals_plain_matching(spark, docs_of):
+    rows = [*ODD, *((20 + i, t) for i, t in enumerate(TEXTS)), (20, TEXTS[1]), (None, TEXTS[0])]
+    want = []
+    for d, t in rows:
+        spans = brute(t)
+        counts = [sum(s[3] == k for s in spans) for k in ("assign", "access", "hex")]
+        base = hashlib.sha256(listed([s for s in spans if s[1] < 3]).encode()).hexdigest()
+        want.append((str(d), *counts, base, listed(spans)))
+    want.sort()
+    got = sorted((str(r.doc_id), r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secrets.report(docs_of(*rows)).collect())
+    assert got == want and sum(r[1] for r in want) >= 8
+    assert secrets.report(docs_of()).count() == 0
+
+
+def test_redact(spark, docs_of):
+    rows = [*ODD, *((20 + i, t) for i, t in enumerate(TEXTS))]
+    docs = docs_of(*rows)
+    out = secrets.redact(docs)
+    assert out.columns == docs.columns
+
+    def masked(t):
+        spans, made, at = brute(t), "", 0
+        if not spans:
+            return t
+        for s, _, e, _ in spans:
+            if s >= at:
+                made += t[at:s] + secrets.MASK
+            at = max(at, e)
+        return made + t[at:]
+
+    got = sorted((str(r.doc_id), str(r.text), r.n_chars) for r in out.collect())
+    assert got == sorted((str(d), str(m := masked(t)), None if m is None else len(m)) for d, t in rows)
+
+
+def test_no_python_in_the_plan(spark, docs_of):
+    plan = secrets.report(docs_of((1, "x")))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize(
+    ("pattern", "clauses"),
+    [
+        ("abcd", [{"abc", "bcd"}]),
+        ("(abc|xyz)+q", [{"abc"}, {"xyz"}]),
+        ("AB?c", None),
+        ("A[bc]D.*efg", [{"abd", "efg"}, {"acd", "efg"}]),
+        ("[0-9a-f]+", None),
+        ("(abc)?de", None),
+    ],
+)
+def test_trigram_query(pattern, clauses):
+    got = trigram_query(pattern)
+    assert got == (ANY if clauses is None else frozenset(map(frozenset, clauses)))
+
+
+def test_every_match_satisfies_its_query():
+    for rule in secrets.RULES:
+        query = trigram_query(rule.pattern)
+        for t in TEXTS:
+            for m in PLAIN[rule.kind].finditer(t):
+                assert any(all(g in m.group().lower() for g in c) for c in query)
