@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
+from tallyroom.functions.durable import clear_scratch
 from tallyroom.plans.registry import build
 
 HEADLINE = (
@@ -61,6 +63,7 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyroom-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -70,6 +73,7 @@ def main() -> None:
         start = time.perf_counter()
         build(name, spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

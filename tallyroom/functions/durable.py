@@ -1,7 +1,8 @@
-"""Reliable intermediate results, kept where the cluster says they belong."""
+"""Intermediate tables as Parquet, in the folder that ``spark.checkpoint.dir`` names."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,17 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder from ``spark.checkpoint.dir``; a fresh one only in an unconfigured local session."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if configured is None:
-        configured = sc.getCheckpointDir()
+    """The folder that driver and executors share.
+
+    Only a session that runs in one process on one machine (``local[n]``) may leave
+    it unset; it gets a temporary folder.  Any cluster without one is refused.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tallyroom-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
+        spark.conf.set("spark.checkpoint.dir", configured)
     return configured
 
 
@@ -29,6 +30,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, surviving the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write the table and read it again: computed once, pruned by column, safe from lost executors.
+
+    This runs a job.  The files stay until ``clear_scratch``, since the result may
+    be read at any later time.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables below the shared folder; call it when their readers are done."""
+    remove(spark, f"{shared_dir(spark).rstrip('/')}/tallyroom")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.functions.money import cents, micros, profit_cents, ratio, rounded
+from tallyroom.functions.money import cents, micros, profit_sum, ratio, rounded
 
 _UNIQUE = "tallyroom.unique"
 
@@ -30,7 +30,7 @@ def key_count(df: DataFrame, column: str = "transaction_id") -> Column:
 
 _MEASURES = {
     "revenue": lambda: F.sum(cents("net_revenue")),
-    "profit": lambda: F.sum(profit_cents()),
+    "profit": lambda: profit_sum(),
     "units": lambda: F.sum(F.col("quantity").cast("bigint")),
     "lines": lambda: F.count(F.lit(1)),
     "priced": lambda: F.count("net_revenue"),

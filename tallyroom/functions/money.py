@@ -1,6 +1,6 @@
 """Money, ratio and calendar expressions; the rounding rules live here and nowhere else.
 
-Money columns are DOUBLE at rest with at most two decimals.  Adding doubles in
+Revenue columns are DOUBLE at rest with at most two decimals.  Adding doubles in
 shuffle order is not reproducible, and DECIMAL sums cost about three times as
 much as integer ones, so amounts are added as whole cents in a BIGINT: exact,
 order-independent, inside whole-stage codegen.  One group may total up to 9.2e16
@@ -9,6 +9,8 @@ currency units; beyond that an ANSI session raises instead of wrapping.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,9 +74,28 @@ def per_usd(amount: str | Column, count: str | Column, digits: int = 2) -> Colum
     return rounded(ratio(usd(amount), count), digits)
 
 
+def profit_fine() -> Column:
+    """Gross profit of one transaction row that has its product's ``unit_cost``, in 1/10000 units.
+
+    The row's cost is rounded, never the unit cost: a capped or averaged unit cost
+    has more than two decimals.
+    """
+    return cents("net_revenue") * 100 - F.rint(F.col("unit_cost") * F.col("quantity") * 10_000).cast("bigint")
+
+
+def fine_cents(fine: Column) -> Column:
+    """1/10000 units as exact (decimal) cents."""
+    return fine.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+
+
 def profit_cents() -> Column:
-    """Gross profit of one transaction row that has its product's ``unit_cost``."""
-    return cents("net_revenue") - cents("unit_cost") * F.col("quantity")
+    """Exact gross profit of one row, in cents."""
+    return fine_cents(profit_fine())
+
+
+def profit_sum() -> Column:
+    """Exact gross profit of a group, in cents; up to 9.2e14 currency units a group."""
+    return fine_cents(F.sum(profit_fine()))
 
 
 def month_start() -> Column:

@@ -1,17 +1,15 @@
 """Ranks, tiles, running totals and exact quantiles over a whole table, without one-task sorts.
 
 ``OVER (ORDER BY ...)`` with no PARTITION BY sends every row to one task.  Here
-the table is cut into ranges of (value, key) first: the cut points are a bounded
-uniform sample of the table itself, so a value shared by a third of the rows is
-cut along its keys like any other stretch.  Windows then run inside the ranges,
-and a table with one row per range carries the offsets from range to range.
-Cut points depend on the data only, never on task placement, so recomputation
-after a lost executor gives the same ranges.
+the table is range-partitioned by (value, key), so a value shared by a third of
+the rows is cut along its keys like any other stretch, and written with the
+number of its range.  Writing freezes the ranges: every later step, a repeated
+one included, sees the same numbers.  Windows then run inside the ranges, and a
+table with one row per range carries the offsets from range to range.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,44 +17,16 @@ from pyspark.sql import functions as F
 
 from tallyroom.functions.durable import durable
 
-MAX_RANGES = 4096
 
+def _ranged(df: DataFrame, ranges: int | None) -> DataFrame:
+    """``df`` with ``_range``, ascending along (_v, _k); Spark samples the cut points in every partition.
 
-def _range_count(df: DataFrame, ranges: int | None) -> int:
-    """As many ranges as the session has shuffle partitions, within 256 and 4096."""
-    if ranges is None:
-        ranges = max(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return min(max(ranges, 2), MAX_RANGES)
-
-
-def _step(ranges: int) -> int:
-    return max(math.isqrt(ranges), 2)
-
-
-def _cuts(df: DataFrame, ranges: int) -> Column:
-    """Up to ``ranges - 1`` sampled (value, key) pairs in order, and every ``_step``-th of them."""
-    sample = (
-        df.select(F.struct("_v", "_k").alias("p")).orderBy(F.xxhash64("p"), "p").limit(ranges - 1)
-    )
-    ordered = sample.agg(F.array_sort(F.collect_list("p")).alias("all"))
-    step = _step(ranges)
-    coarse = F.filter("all", lambda _, i: i % step == step - 1)
-    return ordered.select(F.struct("all", coarse.alias("coarse"))).scalar()
-
-
-def _ranges(df: DataFrame, cuts: Column, step: int) -> DataFrame:
-    """Add ``_range``: how many cut points lie before the row's (value, key).
-
-    Every ``step``-th cut point first, then the ``step`` points of that stretch.
+    Without ``ranges`` there are as many as the session has shuffle partitions,
+    fewer where AQE joins small ones.
     """
-    here = F.struct("_v", "_k")
-    block = F.slice("_cuts.all", F.col("_coarse") * step + 1, step)
-    return (
-        df.withColumn("_cuts", cuts)
-        .withColumn("_coarse", F.size(F.filter("_cuts.coarse", lambda c: c < here)))
-        .withColumn("_range", F.col("_coarse") * step + F.size(F.filter(block, lambda c: c < here)))
-        .drop("_cuts", "_coarse")
-    )
+    keys = ("_v", "_k")
+    cut = df.repartitionByRange(*keys) if ranges is None else df.repartitionByRange(ranges, *keys)
+    return durable(cut.withColumn("_range", F.spark_partition_id()))
 
 
 def _offsets(df: DataFrame, amount: str | None, ranked: bool) -> DataFrame:
@@ -126,7 +96,6 @@ def order_globally(
     running: str | None = None,
     total: str | None = None,
     n: str | None = None,
-    source: DataFrame | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
     """Add whole-table ordering columns; each keyword names the output column.
@@ -134,19 +103,14 @@ def order_globally(
     ``value`` is numeric and not NULL, ``key`` identifies the row and breaks ties
     in ascending order.  ``running`` is the sum of the ``amount`` column up to and
     including the row, ``total`` its grand total and ``n`` the row count.
-    Cut points and offsets take two more passes over ``source``, which defaults to
-    ``df``: a stored or checkpointed table with the same rows.
+    The table is written once in ranges; offsets and result then read it once each.
     """
     kept = df.columns
     v = -F.col(value) if descending else F.col(value)
     extra = {"_v": v, "_k": F.col(key)}
-    stored = (df if source is None else source).withColumns(extra)
-    ranges = _range_count(df, ranges)
-    cuts, step = _cuts(stored, ranges), _step(ranges)
-    # The offsets have at most ``ranges`` rows by construction: safe to broadcast.
-    offsets = F.broadcast(_offsets(_ranges(stored, cuts, step), amount, bool(rank or dense_rank)))
-    # every range has its offsets row; a left join spares the NULL test of the range expression
-    joined = _ranges(df.withColumns(extra), cuts, step).join(offsets, "_range", "left")
+    stored = _ranged(df.withColumns(extra), ranges)
+    # one row per range
+    joined = stored.join(_offsets(stored, amount, bool(rank or dense_rank)), "_range")
     within = Window.partitionBy("_range").orderBy("_v", "_k")
     by_value = Window.partitionBy("_range").orderBy("_v")
     out: dict[str, Column] = {}
@@ -194,7 +158,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], *, range
     Equal values are counted first, then the counts are accumulated in value
     order, so neither one task nor the driver ever holds all the values.
     """
-    counted = durable(
+    counted = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("x"))
         .agg(F.count(F.lit(1)).alias("c"))

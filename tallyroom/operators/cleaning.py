@@ -29,18 +29,54 @@ def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def coerce_dates(df: DataFrame, required: Sequence[str] = (), optional: Sequence[str] = ()) -> DataFrame:
+#: What stands for "no value" in delivered text files: the tokens pandas reads as missing (fixed values).
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+#: Date texts that are read besides ISO dates and timestamps.
+DATE_FORMATS = ("yyyy/M/d", "M/d/yyyy", "d MMM yyyy")
+
+
+def mark_missing(df: DataFrame) -> DataFrame:
+    """Missing-value tokens in text columns become NULL."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    return df.withColumns({c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in texts})
+
+
+def day_of(c: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """A text as DATE, by ISO first and then by ``formats`` in turn; unreadable gives NULL."""
+    texts = F.trim(F.col(c).cast("string"))
+    others = [F.try_to_timestamp(texts, F.lit(f)).cast("date") for f in formats]
+    return F.coalesce(texts.try_cast("date"), *others)
+
+
+def number_of(c: str) -> Column:
+    """A text as DOUBLE; unreadable, NaN and infinite give NULL."""
+    x = F.trim(F.col(c).cast("string")).try_cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+
+def whole_of(c: str) -> Column:
+    """A text as INT: ``3`` and ``3.0`` are three, ``2.5`` and what is unreadable give NULL."""
+    x = number_of(c)
+    return F.when((x == F.floor(x)) & (F.abs(x) < 2**31), x.try_cast("int"))
+
+
+def coerce_dates(
+    df: DataFrame,
+    required: Sequence[str] = (),
+    optional: Sequence[str] = (),
+    formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
     """Text to DATE, unreadable to NULL; rows without a ``required`` date are dropped."""
-    dates = {c: F.expr(f"try_cast({c} AS date)") for c in (*required, *optional)}
-    out = df.withColumns(dates)
+    out = df.withColumns({c: day_of(c, formats) for c in (*required, *optional)})
     return out.dropna(subset=list(required)) if required else out
 
 
 def coerce_numbers(df: DataFrame, doubles: Sequence[str] = (), integers: Sequence[str] = ()) -> DataFrame:
-    """Text to number, unreadable to NULL."""
-    casts = {c: F.expr(f"try_cast({c} AS double)") for c in doubles}
-    casts |= {c: F.expr(f"try_cast({c} AS int)") for c in integers}
-    return df.withColumns(casts)
+    """Text to number; unreadable, NaN, infinite and, for ``integers``, fractional values become NULL."""
+    return df.withColumns({c: number_of(c) for c in doubles} | {c: whole_of(c) for c in integers})
 
 
 def standardise_region(df: DataFrame, valid: Sequence[str] = REGIONS, column: str = "region") -> DataFrame:
@@ -64,8 +100,12 @@ def normalise_email(df: DataFrame, column: str = "email") -> DataFrame:
 
 
 def drop_bad_prices(df: DataFrame) -> DataFrame:
-    """Rows whose price and cost are both present and positive."""
-    return df.where((F.col("unit_price") > 0) & (F.col("unit_cost") > 0))
+    """Rows whose price and cost are both present and positive; NaN is neither."""
+    return df.where(_positive("unit_price") & _positive("unit_cost"))
+
+
+def _positive(c: str) -> Column:
+    return (F.col(c) > 0) & ~F.isnan(c)
 
 
 def cap_outliers(
@@ -96,9 +136,10 @@ def filter_positive_quantity(df: DataFrame) -> DataFrame:
 
 
 def clip_discount(df: DataFrame) -> DataFrame:
+    """Into 0 to 1; a missing discount, NaN included, is none."""
     d = F.col("discount")
     return df.withColumn(
-        "discount", F.when(d.isNull() | (d < 0), 0.0).when(d > 1, 1.0).otherwise(d)
+        "discount", F.when(d.isNull() | F.isnan(d) | (d < 0), 0.0).when(d > 1, 1.0).otherwise(d)
     )
 
 
@@ -125,7 +166,8 @@ def clean_customers(
     default_segment: str = DEFAULT_SEGMENT,
 ) -> DataFrame:
     return (
-        raw.transform(dedupe_by_key, "customer_id", order)
+        raw.transform(mark_missing)
+        .transform(dedupe_by_key, "customer_id", order)
         .transform(drop_missing, ["customer_id", "email"])
         .transform(coerce_dates, ["signup_date"])
         .transform(standardise_region, regions)
@@ -135,14 +177,22 @@ def clean_customers(
     )
 
 
-def clean_products(
-    raw: DataFrame, order: Sequence[str | Column] = ("ingest_seq",), cap_quantile: float = 0.999
-) -> DataFrame:
+def kept_products(raw: DataFrame, order: Sequence[str | Column] = ("ingest_seq",)) -> DataFrame:
+    """The products that cleaning keeps, prices not capped yet: capping never changes a key."""
     return (
-        raw.transform(dedupe_by_key, "product_id", order)
+        raw.transform(mark_missing)
+        .transform(dedupe_by_key, "product_id", order)
         .transform(drop_missing, ["product_id", "product_name"])
         .transform(coerce_numbers, ["unit_cost", "unit_price"])
         .transform(drop_bad_prices)
+    )
+
+
+def clean_products(
+    raw: DataFrame, order: Sequence[str | Column] = ("ingest_seq",), cap_quantile: float = 0.999
+) -> DataFrame:
+    return (
+        kept_products(raw, order)
         .transform(cap_outliers, ("unit_cost", "unit_price"), cap_quantile)
         .transform(derive_margin_pct)
         .drop("ingest_seq")
@@ -175,7 +225,8 @@ def clean_transactions(
     deduplication has to come before the row rules.
     """
     return (
-        raw.transform(dedupe_by_key, "transaction_id", order)
+        raw.transform(mark_missing)
+        .transform(dedupe_by_key, "transaction_id", order)
         .transform(clean_transaction_rows)
         .transform(drop_orphans, customers, products)
         .drop("ingest_seq")
@@ -202,10 +253,11 @@ def cleaning_audit(
     segments: Sequence[str] = SEGMENTS,
     cap_quantile: float = 0.999,
 ) -> DataFrame:
-    """Rows loaded, removed and changed per cleaning step, as ``(table_name, step, rows)``.
+    """Rows loaded, removed, changed and unreadable per cleaning step, as ``(table_name, step, rows)``.
 
-    ``customers`` and ``products`` are the cleaned tables.  Each table is
-    deduplicated once and all its later steps are counted in that one pass.
+    ``customers`` and ``products`` need their keys only.  Each table is counted
+    as loaded once and deduplicated once; all later steps are counted in that
+    one pass.  ``unreadable_...`` are texts that are there but no value.
     """
     loaded = {
         "customers": raw_customers.agg(F.count(F.lit(1)).alias("loaded")),
@@ -213,9 +265,9 @@ def cleaning_audit(
         "sales_transactions": raw_transactions.agg(F.count(F.lit(1)).alias("loaded")),
     }
 
-    c = dedupe_by_key(raw_customers, "customer_id", ["ingest_seq"])
+    c = dedupe_by_key(mark_missing(raw_customers), "customer_id", ["ingest_seq"])
     keyed = F.col("customer_id").isNotNull() & F.col("email").isNotNull()
-    day = F.expr("try_cast(signup_date AS date)")
+    day = day_of("signup_date")
     kept = keyed & day.isNotNull()
     region_ok = F.coalesce(F.initcap(F.trim("region")).isin(*regions), F.lit(False))
     segment_ok = F.coalesce(F.trim("segment").isin(*segments), F.lit(False))
@@ -228,20 +280,23 @@ def cleaning_audit(
         _count(kept).alias("final"),
     )
 
-    p = dedupe_by_key(raw_products, "product_id", ["ingest_seq"]).transform(
-        coerce_numbers, ["unit_cost", "unit_price"]
+    amounts = ("unit_cost", "unit_price")
+    p = dedupe_by_key(mark_missing(raw_products), "product_id", ["ingest_seq"])
+    p = durable(
+        p.withColumns({f"{c}_unreadable": _unreadable(c, number_of(c)) for c in amounts}).transform(coerce_numbers, amounts)
     )
-    p = durable(p)
     priced = drop_bad_prices(drop_missing(p, ["product_id", "product_name"]))
-    caps = {col: exact_quantiles(priced, col, [cap_quantile]).scalar() for col in ("unit_cost", "unit_price")}
+    caps = {col: exact_quantiles(priced, col, [cap_quantile]).scalar() for col in amounts}
     named = F.col("product_id").isNotNull() & F.col("product_name").isNotNull()
-    good = named & F.coalesce((F.col("unit_price") > 0) & (F.col("unit_cost") > 0), F.lit(False))
+    good = named & F.coalesce(_positive("unit_price") & _positive("unit_cost"), F.lit(False))
     product_steps = p.select(
         named.alias("named"),
         good.alias("good"),
+        *[f"{c}_unreadable" for c in amounts],
         *[(good & (F.col(col) > cap)).alias(f"{col}_over") for col, cap in caps.items()],
     ).agg(
         F.count(F.lit(1)).alias("after_dedupe"),
+        *[_count(F.col(f"{c}_unreadable")).alias(f"unreadable_{c}") for c in amounts],
         _count(F.col("named")).alias("with_keys"),
         _count(F.col("named") & ~F.col("good")).alias("bad_price"),
         _count(F.col("unit_cost_over")).alias("unit_cost_capped"),
@@ -249,35 +304,50 @@ def cleaning_audit(
         _count(F.col("good")).alias("final"),
     )
 
-    t = dedupe_by_key(raw_transactions, "transaction_id", ["ingest_seq"]).transform(
-        coerce_numbers, ["unit_price", "discount"], ["quantity"]
+    read = {
+        "unit_price": number_of("unit_price"),
+        "discount": number_of("discount"),
+        "quantity": whole_of("quantity"),
+        "order_date": day_of("order_date"),
+        "ship_date": day_of("ship_date"),
+    }
+    t = dedupe_by_key(mark_missing(raw_transactions), "transaction_id", ["ingest_seq"]).select(
+        "transaction_id",
+        "customer_id",
+        "product_id",
+        *[_unreadable(name, value).alias(f"{name}_unreadable") for name, value in read.items()],
+        *[value.alias(name) for name, value in read.items()],
     )
-    complete = drop_missing(t, TRANSACTION_REQUIRED)
-    dated = coerce_dates(complete, ["order_date"], ["ship_date"])
-    linked = dated.join(
+    linked = t.join(
         customers.select("customer_id", F.lit(True).alias("has_customer")), "customer_id", "left"
     ).join(products.select("product_id", F.lit(True).alias("has_product")), "product_id", "left")
+    complete = F.lit(True)
+    for name in TRANSACTION_REQUIRED:
+        complete = complete & F.col(name).isNotNull()
     no_customer, no_product = F.col("has_customer").isNull(), F.col("has_product").isNull()
-    sold = ~no_customer & ~no_product & (F.col("quantity") > 0)
+    known = complete & ~no_customer & ~no_product
+    sold = known & (F.col("quantity") > 0)
     transaction_steps = linked.agg(
-        F.count(F.lit(1)).alias("with_keys_and_date"),
-        _count(no_customer).alias("unknown_customer"),
-        _count(no_product).alias("unknown_product"),
-        _count(~no_customer & ~no_product & ~(F.col("quantity") > 0)).alias("bad_quantity"),
+        F.count(F.lit(1)).alias("after_dedupe"),
+        *[_count(F.col(f"{name}_unreadable")).alias(f"unreadable_{name}") for name in read],
+        _count(complete).alias("with_keys_and_date"),
+        _count(complete & no_customer).alias("unknown_customer"),
+        _count(complete & no_product).alias("unknown_product"),
+        _count(known & ~(F.col("quantity") > 0)).alias("bad_quantity"),
         _count(sold & (F.col("ship_date") < F.col("order_date"))).alias("ship_date_fixed"),
         _count(sold).alias("final"),
     )
-    dedup_count = raw_transactions.groupBy("transaction_id").agg(F.lit(1)).agg(
-        F.count(F.lit(1)).alias("after_dedupe")
-    )
     parts = [_audit(name, df) for name, df in loaded.items()]
     parts += [
         _audit("customers", customer_steps),
         _audit("products", product_steps),
-        _audit("sales_transactions", dedup_count),
         _audit("sales_transactions", transaction_steps),
     ]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def _unreadable(c: str, value: Column) -> Column:
+    return F.col(c).isNotNull() & value.isNull()

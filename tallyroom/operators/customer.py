@@ -127,7 +127,6 @@ def _positions(base: DataFrame, best_last: bool, ranges: int | None) -> DataFram
             descending=descending,
             row_number=name,
             n="n" if value == "recency_days" else None,
-            source=base,
             ranges=ranges,
         )
     return out
@@ -182,7 +181,7 @@ def rfm_scores_quantile(txn: DataFrame, ranges: int | None = None) -> DataFrame:
     edges = base.agg(F.percentile("recency_days", F.array(*[F.lit(p) for p in fifths])).alias("e"))
     placed = order_globally(base, "frequency", "customer_id", descending=False, row_number="rn_f", n="n", ranges=ranges)
     placed = order_globally(
-        placed, "monetary", "customer_id", descending=False, row_number="rn_m", source=base, ranges=ranges
+        placed, "monetary", "customer_id", descending=False, row_number="rn_m", ranges=ranges
     )
     placed = placed.withColumn("edges", edges.scalar())
 
@@ -415,7 +414,7 @@ def customer_cards(txn: DataFrame, ranges: int | None = None) -> DataFrame:
 def customer_revenue_share(txn: DataFrame) -> DataFrame:
     """Every customer's recomputed revenue, rank and share of the total."""
     net = F.col("quantity") * F.col("unit_price") * (1 - F.col("discount"))
-    ltv = durable(txn.groupBy("customer_id").agg(fine_sum(net).alias("revenue")))
+    ltv = txn.groupBy("customer_id").agg(fine_sum(net).alias("revenue"))
     ranked = order_globally(ltv, "revenue", "customer_id", rank="ltv_rank", amount="revenue", total="whole")
     return ranked.select(
         "customer_id",

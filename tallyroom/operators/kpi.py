@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroom.functions.durable import durable
 from tallyroom.functions.measures import discount_pct, key_count, measure, profit_cells, with_products
 from tallyroom.functions.money import (
     cents,
@@ -15,7 +14,8 @@ from tallyroom.functions.money import (
     pct,
     pct_usd,
     per_usd,
-    profit_cents,
+    profit_fine,
+    profit_sum,
     quarter_of,
     ratio,
     rounded,
@@ -89,10 +89,16 @@ def days_to_ship(txn: DataFrame) -> DataFrame:
 
 def discount_buckets(txn: DataFrame, products: DataFrame) -> DataFrame:
     """Per discount band; bands come in the order of their smallest discount."""
-    banded = txn.withColumn("discount_bucket", discount_bucket())
-    cells = profit_cells(banded, products, ["discount_bucket", "discount"])
-    m = cells.groupBy("discount_bucket").agg(
-        *[F.sum(c).alias(c) for c in ("revenue", "profit", "lines", "priced")], F.min("discount").alias("from")
+    m = (
+        with_products(txn, products)
+        .groupBy(discount_bucket().alias("discount_bucket"))
+        .agg(
+            F.sum(cents("net_revenue")).alias("revenue"),
+            profit_sum().alias("profit"),
+            F.count(F.lit(1)).alias("lines"),
+            F.count("net_revenue").alias("priced"),
+            F.min("discount").alias("from"),
+        )
     )
     return m.orderBy("from").select(
         "discount_bucket",
@@ -138,7 +144,7 @@ def kpi_alerts(
     days = F.datediff("ship_date", "order_date")
     m = with_products(txn, products).groupBy("region").agg(
         F.sum(cents("net_revenue")).alias("revenue"),
-        F.sum(profit_cents()).alias("profit"),
+        profit_sum().alias("profit"),
         F.sum(micros("discount")).alias("disc"),
         F.count("discount").alias("disc_n"),
         F.sum(days.cast("bigint")).alias("days"),
@@ -250,7 +256,7 @@ def fourth_quarter_share(txn: DataFrame) -> DataFrame:
 
 def top_customer_share(txn: DataFrame, top_pct: float = 20.0) -> DataFrame:
     """Revenue share of the best ``top_pct`` percent of customers (at least one)."""
-    ltv = durable(measure(txn, ["customer_id"], "revenue"))
+    ltv = measure(txn, ["customer_id"], "revenue")
     ranked = order_globally(ltv, "revenue", "customer_id", row_number="rn", n="n")
     top = F.col("rn") <= F.greatest(F.ceil(F.col("n") * F.lit(top_pct / 100.0)), F.lit(1))
     m = ranked.agg(
@@ -272,7 +278,7 @@ def negative_margin_share(txn: DataFrame, products: DataFrame, discount_limit: f
     """Share of loss-making transactions, above and up to a discount limit."""
     rows = with_products(txn, products)
     m = rows.groupBy(F.coalesce(F.col("discount") > discount_limit, F.lit(False)).alias("high_discount")).agg(
-        F.count(F.lit(1)).alias("transactions"), F.count(F.when(profit_cents() < 0, 1)).alias("negative")
+        F.count(F.lit(1)).alias("transactions"), F.count(F.when(profit_fine() < 0, 1)).alias("negative")
     )
     return m.select(
         "high_discount",

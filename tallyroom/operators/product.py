@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroom.functions.durable import durable
 from tallyroom.functions.measures import discount_pct, measure
-from tallyroom.functions.money import band, cents, pct_usd, rounded, usd
+from tallyroom.functions.money import band, pct_usd, rounded, usd
 from tallyroom.functions.ordering import order_globally
 
 
@@ -17,7 +16,7 @@ def product_sales(txn: DataFrame, products: DataFrame, *dims: str, orders: bool
     return (
         measure(txn, ["product_id"], *names)
         .join(products.select("product_id", "unit_cost", *dims), "product_id")
-        .withColumn("profit", F.col("revenue") - cents("unit_cost") * F.col("units"))
+        .withColumn("profit", F.col("revenue") - F.col("unit_cost").cast("decimal(18,6)") * F.col("units") * 100)
     )
 
 
@@ -63,10 +62,8 @@ def top_products_by_category(txn: DataFrame, products: DataFrame, top: int = 5)
 
 def product_pareto(txn: DataFrame, products: DataFrame) -> DataFrame:
     """Every product with its rank and the share of revenue reached with it."""
-    sold = durable(
-        product_sales(txn, products, "product_name", "category").select(
-            "product_id", "product_name", "category", "revenue"
-        )
+    sold = product_sales(txn, products, "product_name", "category").select(
+        "product_id", "product_name", "category", "revenue"
     )
     ranked = order_globally(
         sold, "revenue", "product_id", rank="rank", amount="revenue", running="upto", total="whole"

@@ -118,11 +118,20 @@ def regional_monthly_vs_average(txn: DataFrame) -> DataFrame:
     ).orderBy("region", "month_label")
 
 
-def profit_matrix(txn: DataFrame, products: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Gross margin percent, regions by categories; listing the categories avoids a pass to find them."""
+def profit_matrix(txn: DataFrame, products: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+    """Gross margin percent, regions by categories.
+
+    Without ``categories`` the columns are those of the product table, found by
+    a query of their own.  With them, a category that is not listed is an error,
+    never a column that is silently missing.
+    """
+    if categories is None:
+        found = products.select("category").where(F.col("category").isNotNull()).distinct().orderBy("category")
+        categories = [r.category for r in found.collect()]
     cells = profit_cells(txn, products, ["region"], ["category"])
     return (
-        cells.withColumn("margin_pct", pct_usd("profit", "revenue"))
+        cells.withColumn("category", _listed("category", categories))
+        .withColumn("margin_pct", pct_usd("profit", "revenue"))
         .groupBy("region")
         .pivot("category", list(categories))
         .agg(F.max("margin_pct"))
@@ -130,6 +139,17 @@ def profit_matrix(txn: DataFrame, products: DataFrame, categories: Sequence[str]
     )
 
 
+def _listed(column: str, values: Sequence) -> Column:
+    """The column; a value that is neither NULL nor listed raises an error."""
+    c = F.col(column)
+    text = F.concat(F.lit(f"{column} not listed: "), c.cast("string"))
+    return F.when(c.isNull() | c.isin(*values), c).otherwise(F.raise_error(text).cast("string").cast(_kind(values)))
+
+
+def _kind(values: Sequence) -> str:
+    return "int" if values and isinstance(values[0], int) else "string"
+
+
 def profit_matrix_bands(txn: DataFrame, products: DataFrame, low: float = 10.0, high: float = 20.0) -> DataFrame:
     """The matrix in long form with its traffic-light bands."""
     cells = profit_cells(txn, products, ["region"], ["category"])
@@ -156,9 +176,16 @@ def region_discount_vs_margin(txn: DataFrame, products: DataFrame) -> DataFrame:
     ).orderBy("region")
 
 
-def region_growth_table(txn: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Revenue per year as columns, CAGR, the last year's growth and the yearly series (JSON text)."""
-    yearly = measure(txn, ["region", "year"], "revenue")
+def region_growth_table(txn: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """Revenue per year as columns, CAGR, the last year's growth and the yearly series (JSON text).
+
+    Without ``years`` there is a column for every year that occurs, found by a
+    query of its own.  With them, a year that is not listed is an error.
+    """
+    if years is None:
+        found = txn.select("year").where(F.col("year").isNotNull()).distinct().orderBy("year")
+        years = [r.year for r in found.collect()]  # one row per calendar year
+    yearly = measure(txn, ["region", "year"], "revenue").withColumn("year", _listed("year", years))
     by_year = [usd(F.max(F.when(F.col("year") == y, F.col("revenue")))).alias(f"revenue_{y}") for y in years]
     wide = yearly.groupBy("region").agg(
         *by_year,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.functions.measures import measure
-from tallyroom.functions.money import cents, micros, pct_usd, per_usd, profit_cents, ratio, rounded, usd
+from tallyroom.functions.money import cents, micros, pct_usd, per_usd, profit_cents, profit_sum, ratio, rounded, usd
 from tallyroom.functions.ordering import exact_quantiles
 
 
@@ -82,7 +82,7 @@ def enrich_transactions(txn: DataFrame, customers: DataFrame, products: DataFram
     joined = txn.join(
         products.select("product_id", "category", "sub_category", "unit_cost", "brand"), "product_id", "left"
     ).join(customers.select("customer_id", "segment", "city"), "customer_id", "left")
-    profit = cents("net_revenue") - cents("unit_cost") * F.col("quantity")
+    profit = profit_cents()
     return joined.withColumns(
         {"gross_profit": usd(profit), "order_ym": F.date_format("order_date", "yyyy-MM")}
     )
@@ -102,7 +102,7 @@ def _cells(txn: DataFrame, products: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum(cents("net_revenue")).alias("revenue"),
         F.count("net_revenue").alias("priced"),
-        F.sum(profit_cents()).alias("profit"),
+        profit_sum().alias("profit"),
         F.sum(micros("discount")).alias("disc"),
         F.count("discount").alias("disc_n"),
         F.min("order_date").alias("lo"),
@@ -200,3 +200,25 @@ def summary_report(
     return txn.sparkSession.range(1).select(
         made.cast("string").alias("generated_at"), *[c.alias(n) for n, c in cols.items()]
     )
+
+
+REPORT = (
+    "generated_at string, customers map<string,map<string,string>>, products map<string,map<string,string>>, "
+    "transactions map<string,map<string,string>>, rfm_segments map<string,bigint>"
+)
+
+
+def report_rows(report: DataFrame) -> DataFrame:
+    """A report, made or read back, as ``(section, metric, key, value, text)``: numbers as value, the rest as text."""
+    parts = [report.select(F.lit("generated_at").alias("section"), F.lit("").alias("metric"), F.lit("").alias("key"), F.col("generated_at").alias("v"))]
+    for name in ("customers", "products", "transactions"):
+        outer = report.select(F.explode(name).alias("metric", "entries"))
+        parts.append(outer.select(F.lit(name).alias("section"), "metric", F.explode("entries").alias("key", "v")))
+    if "rfm_segments" in report.columns:
+        counts = report.select(F.explode("rfm_segments").alias("key", "c"))
+        parts.append(counts.select(F.lit("rfm_segments").alias("section"), F.lit("").alias("metric"), "key", F.col("c").cast("string").alias("v")))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    number = F.col("v").try_cast("double")
+    return rows.select("section", "metric", "key", number.alias("value"), F.when(number.isNull(), F.col("v")).alias("text"))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tallyroom.functions.durable import durable
 from tallyroom.functions.measures import measure
 from tallyroom.functions.money import pct_usd, rounded, usd
 from tallyroom.functions.ordering import ntile, order_globally, percent_rank
@@ -41,7 +40,7 @@ def moving_average_3m(txn: DataFrame, months: int = 3) -> DataFrame:
 
 def customer_ranking(txn: DataFrame, ranges: int | None = None) -> DataFrame:
     """Five rankings of all customers by lifetime value."""
-    ltv = durable(measure(txn, ["customer_id"], "revenue"))
+    ltv = measure(txn, ["customer_id"], "revenue")
     placed = order_globally(
         ltv,
         "revenue",

@@ -54,29 +54,37 @@ tp AS (
 _RAW = """
 rawc AS (
   SELECT CAST(o_custkey AS VARCHAR) AS customer_id, 'Customer' AS first_name, substr(c_name, 10) AS last_name,
-    CASE WHEN c_acctbal >= 0 THEN ' Customer.' || substr(c_name, 10) || '@Example.COM ' END AS email,
+    CASE WHEN c_custkey % 13 = 0 THEN 'NA'
+      WHEN c_acctbal >= 0 THEN ' Customer.' || substr(c_name, 10) || '@Example.COM ' END AS email,
     ' ' || lower(region) || ' ' AS region, 'Synthetic' AS country, nation AS city,
-    CASE WHEN o_orderpriority = '5-LOW' THEN '2021-13-45' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS signup_date,
-    ' ' || c_mktsegment AS segment, o_orderkey AS seq
+    CASE o_orderpriority WHEN '5-LOW' THEN '2021-13-45' WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y/%m/%d')
+      ELSE strftime(o_orderdate, '%Y-%m-%d') END AS signup_date,
+    ' ' || c_mktsegment AS segment, o_orderkey AS seq,
+    -- what cleaning must make of the texts
+    CASE WHEN c_custkey % 13 <> 0 AND c_acctbal >= 0 THEN 'customer.' || substr(c_name, 10) || '@example.com' END AS mail,
+    CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS day
   FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN places ON c_nationkey = n_nationkey),
 cleanc0 AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY seq) AS nth FROM rawc),
 cleanc AS (
-  SELECT customer_id, first_name, last_name, trim(lower(email)) AS email,
+  SELECT customer_id, first_name, last_name, mail AS email,
     CASE trim(region) WHEN 'africa' THEN 'Africa' WHEN 'asia' THEN 'Asia' WHEN 'middle east' THEN 'Middle East'
       ELSE 'Unknown' END AS region,
-    country, city, CAST(signup_date AS DATE) AS signup_date,
+    country, city, day AS signup_date,
     CASE WHEN trim(segment) IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY') THEN trim(segment) ELSE 'BUILDING' END AS segment
-  FROM cleanc0 WHERE nth = 1 AND email IS NOT NULL AND TRY_CAST(signup_date AS DATE) IS NOT NULL),
+  FROM cleanc0 WHERE nth = 1 AND mail IS NOT NULL AND day IS NOT NULL),
 rawp AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_brand <> 'Brand#2' THEN p_name END AS product_name,
     p_type AS category, concat(p_type, '-', CAST(p_size % 5 AS VARCHAR)) AS sub_category,
-    CASE WHEN p_size = 1 THEN 'n/a' ELSE CAST(CAST(p_retailprice * 0.7 AS DECIMAL(18,2)) AS VARCHAR) END AS unit_cost,
-    CASE WHEN p_size = 2 THEN '0' ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS unit_price,
-    p_brand AS brand
+    CASE p_size WHEN 1 THEN 'n/a' WHEN 3 THEN 'NaN'
+      ELSE CAST(CAST(p_retailprice * 0.7 AS DECIMAL(18,2)) AS VARCHAR) END AS unit_cost,
+    CASE p_size WHEN 2 THEN '0' WHEN 4 THEN 'NaN' WHEN 5 THEN 'about 900'
+      ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS unit_price,
+    p_brand AS brand, p_size
   FROM part),
 nump AS (
-  SELECT * REPLACE (TRY_CAST(unit_cost AS DOUBLE) AS unit_cost, TRY_CAST(unit_price AS DOUBLE) AS unit_price) FROM rawp),
+  SELECT * EXCLUDE (p_size) REPLACE (CASE WHEN p_size NOT IN (1, 3) THEN CAST(unit_cost AS DOUBLE) END AS unit_cost,
+    CASE WHEN p_size NOT IN (4, 5) THEN CAST(unit_price AS DOUBLE) END AS unit_price) FROM rawp),
 pricedp AS (SELECT * FROM nump WHERE unit_price > 0 AND unit_cost > 0),
 namedp AS (SELECT * FROM pricedp WHERE product_name IS NOT NULL),
 capsp AS (SELECT quantile_cont(unit_cost, 0.999) AS cost_cap, quantile_cont(unit_price, 0.999) AS price_cap FROM namedp),
@@ -86,28 +94,36 @@ cappedp AS (
 rawt AS (
   SELECT l_orderkey || '-' || l_linenumber AS transaction_id, CAST(o_custkey AS VARCHAR) AS customer_id,
     CAST(l_partkey AS VARCHAR) AS product_id,
-    CASE WHEN o_orderpriority = '5-LOW' THEN 'not a date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
+    CASE o_orderpriority WHEN '5-LOW' THEN 'not a date' WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y/%m/%d')
+      WHEN '2-HIGH' THEN strftime(o_orderdate, '%m/%d/%Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
     CASE WHEN l_returnflag <> 'N' THEN strftime(l_shipdate, '%Y-%m-%d') END AS ship_date,
-    CASE WHEN l_tax = 0.07 THEN 'x' ELSE CAST(CAST(l_quantity AS INT) - 3 AS VARCHAR) END AS quantity,
+    CASE l_tax WHEN 0.07 THEN 'x' WHEN 0.06 THEN CAST(CAST(l_quantity AS INT) - 3 AS VARCHAR) || '.0'
+      WHEN 0.05 THEN CAST(CAST(l_quantity AS INT) - 3 AS VARCHAR) || '.5' WHEN 0.04 THEN 'N/A'
+      ELSE CAST(CAST(l_quantity AS INT) - 3 AS VARCHAR) END AS quantity,
     CAST(CAST(ROUND(CAST(l_extendedprice / l_quantity AS DECIMAL(28,10)), 2) AS DECIMAL(18,2)) AS VARCHAR) AS unit_price,
-    CASE WHEN l_linestatus = 'F' THEN CAST(CAST(l_discount AS DECIMAL(4,2)) * 15 - 0.10 AS VARCHAR) END AS discount,
+    CASE WHEN l_tax = 0.01 THEN 'NaN' WHEN l_tax = 0.02 THEN 'much'
+      WHEN l_linestatus = 'F' THEN CAST(CAST(l_discount AS DECIMAL(4,2)) * 15 - 0.10 AS VARCHAR) END AS discount,
     region, CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(month(o_orderdate) AS VARCHAR) AS month,
-    l_partkey, l_suppkey, CAST(l_quantity AS INT) AS units
+    l_partkey, l_suppkey, CAST(l_quantity AS INT) AS units,
+    -- what cleaning must make of the texts
+    CASE WHEN l_tax NOT IN (0.04, 0.05, 0.07) THEN CAST(l_quantity AS INT) - 3 END AS q,
+    CAST(ROUND(CAST(l_extendedprice / l_quantity AS DECIMAL(28,10)), 2) AS DOUBLE) AS p,
+    CASE WHEN l_tax NOT IN (0.01, 0.02) AND l_linestatus = 'F'
+      THEN CAST(CAST(l_discount AS DECIMAL(4,2)) * 15 - 0.10 AS DOUBLE) END AS d,
+    CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS oday,
+    CASE WHEN l_returnflag <> 'N' THEN CAST(l_shipdate AS DATE) END AS sday, l_tax AS tax
   FROM lines),
-numt AS (
-  SELECT *, TRY_CAST(quantity AS INTEGER) AS q, TRY_CAST(unit_price AS DOUBLE) AS p, TRY_CAST(discount AS DOUBLE) AS d
-  FROM rawt)"""
+numt AS (SELECT * FROM rawt)"""
 
 
 def _clean(source: str, order: str, ids: str = "transaction_id") -> str:
     """Transactions of ``source`` deduplicated by ``order`` and cleaned, before the reference checks."""
     return f"""(
-  SELECT {ids} AS transaction_id, customer_id, product_id, CAST(order_date AS DATE) AS order_date,
-    CASE WHEN CAST(ship_date AS DATE) < CAST(order_date AS DATE) THEN CAST(order_date AS DATE)
-         ELSE CAST(ship_date AS DATE) END AS ship_date,
+  SELECT {ids} AS transaction_id, customer_id, product_id, oday AS order_date,
+    CASE WHEN sday < oday THEN oday ELSE sday END AS ship_date,
     q AS quantity, p AS unit_price, CASE WHEN d IS NULL OR d < 0 THEN 0.0::DOUBLE WHEN d > 1 THEN 1.0::DOUBLE ELSE d END AS discount, region
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {ids} ORDER BY {order}) AS nth FROM {source})
-  WHERE nth = 1 AND q > 0 AND p IS NOT NULL AND TRY_CAST(order_date AS DATE) IS NOT NULL)"""
+  WHERE nth = 1 AND q > 0 AND p IS NOT NULL AND oday IS NOT NULL)"""
 
 
 def _R(x: str, digits: int = 2) -> str:
@@ -394,8 +410,8 @@ GROUP BY t.region, t.year, t.month""",
     ),
     "drop_missing": _q("SELECT seq AS order_key, customer_id, email FROM rawc WHERE email IS NOT NULL", raw=True),
     "coerce_dates": _q(
-        """SELECT transaction_id, product_id, TRY_CAST(order_date AS DATE) AS order_date,
-  TRY_CAST(ship_date AS DATE) AS ship_date FROM rawt WHERE TRY_CAST(order_date AS DATE) IS NOT NULL""",
+        """SELECT transaction_id, product_id, oday AS order_date, sday AS ship_date FROM rawt
+  WHERE oday IS NOT NULL""",
         raw=True,
     ),
     "coerce_numbers": _q(
@@ -475,6 +491,8 @@ WHERE category IN ('PROMO', 'SMALL') AND segment IN {_SEG3}"""
                     ("customers", "final", "COUNT(*)", "cleanc"),
                     ("products", "loaded", "COUNT(*)", "rawp"),
                     ("products", "after_dedupe", "COUNT(*)", "rawp"),
+                    ("products", "unreadable_unit_cost", "COUNT(*) FILTER (WHERE FALSE)", "rawp"),
+                    ("products", "unreadable_unit_price", "COUNT(*) FILTER (WHERE p_size = 5)", "rawp"),
                     ("products", "with_keys", "COUNT(product_name)", "rawp"),
                     (
                         "products",
@@ -487,6 +505,11 @@ WHERE category IN ('PROMO', 'SMALL') AND segment IN {_SEG3}"""
                     ("products", "final", "COUNT(*)", "cappedp"),
                     ("sales_transactions", "loaded", "COUNT(*)", "rawt"),
                     ("sales_transactions", "after_dedupe", "COUNT(DISTINCT transaction_id)", "rawt"),
+                    ("sales_transactions", "unreadable_quantity", "COUNT(*) FILTER (WHERE tax IN (0.05, 0.07))", "t0"),
+                    ("sales_transactions", "unreadable_unit_price", "COUNT(*) FILTER (WHERE FALSE)", "t0"),
+                    ("sales_transactions", "unreadable_discount", "COUNT(*) FILTER (WHERE tax = 0.02)", "t0"),
+                    ("sales_transactions", "unreadable_order_date", "COUNT(*) FILTER (WHERE oday IS NULL)", "t0"),
+                    ("sales_transactions", "unreadable_ship_date", "COUNT(*) FILTER (WHERE FALSE)", "t0"),
                     ("sales_transactions", "with_keys_and_date", "COUNT(*)", "t1"),
                     ("sales_transactions", "unknown_customer", "COUNT(*) FILTER (WHERE NOT hasc)", "t1"),
                     ("sales_transactions", "unknown_product", "COUNT(*) FILTER (WHERE NOT hasp)", "t1"),
@@ -494,7 +517,7 @@ WHERE category IN ('PROMO', 'SMALL') AND segment IN {_SEG3}"""
                     (
                         "sales_transactions",
                         "ship_date_fixed",
-                        "COUNT(*) FILTER (WHERE hasc AND hasp AND q > 0 AND TRY_CAST(ship_date AS DATE) < TRY_CAST(order_date AS DATE))",
+                        "COUNT(*) FILTER (WHERE hasc AND hasp AND q > 0 AND sday < oday)",
                         "t1",
                     ),
                     ("sales_transactions", "final", "COUNT(*) FILTER (WHERE hasc AND hasp AND q > 0)", "t1"),
@@ -502,12 +525,11 @@ WHERE category IN ('PROMO', 'SMALL') AND segment IN {_SEG3}"""
             ]
         ),
         raw=True,
-        c1="""SELECT *, TRY_CAST(signup_date AS DATE) AS day,
-    email IS NOT NULL AND TRY_CAST(signup_date AS DATE) IS NOT NULL AS good FROM cleanc0 WHERE nth = 1""",
-        t1=f"""SELECT *, customer_id IN (SELECT customer_id FROM cleanc) AS hasc,
+        c1="SELECT * REPLACE (mail AS email), mail IS NOT NULL AND day IS NOT NULL AS good FROM cleanc0 WHERE nth = 1",
+        t0=f"""SELECT *, customer_id IN (SELECT customer_id FROM cleanc) AS hasc,
     product_id IN (SELECT product_id FROM cappedp) AS hasp
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY {_ARRIVAL}) AS nth FROM numt)
-  WHERE nth = 1 AND q IS NOT NULL AND p IS NOT NULL AND TRY_CAST(order_date AS DATE) IS NOT NULL""",
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY {_ARRIVAL}) AS nth FROM numt) WHERE nth = 1""",
+        t1="SELECT * FROM t0 WHERE q IS NOT NULL AND p IS NOT NULL AND oday IS NOT NULL",
     ),
     # audits
     "row_counts": _q(
@@ -1196,3 +1218,18 @@ FROM tp GROUP BY category"""
     ),
 }
 ORACLE["materialize"] = ORACLE["monthly_sales"]
+
+
+def _section(name: str, query: str) -> str:
+    return f"SELECT '{name}' AS section, metric, key, value, text FROM ({ORACLE[query]})"
+
+
+ORACLE["summary_report"] = _all(
+    "SELECT 'generated_at' AS section, '' AS metric, '' AS key, CAST(NULL AS DOUBLE) AS value, '2000-01-01' AS text",
+    _section("customers", "customer_summary"),
+    _section("products", "product_summary"),
+    _section("transactions", "transaction_summary"),
+    f"""SELECT 'rfm_segments' AS section, '' AS metric, rfm_segment AS key, CAST(customer_count AS DOUBLE) AS value,
+  CAST(NULL AS VARCHAR) AS text FROM ({ORACLE["rfm_segment_summary"]})""",
+)
+ORACLE["write_summary_json"] = ORACLE["summary_report"]

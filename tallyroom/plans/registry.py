@@ -33,8 +33,6 @@ from tallyroom.streaming import incremental
 ALLOWED_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
 ALLOWED_SEGMENTS = ("BUILDING", "HOUSEHOLD", "MACHINERY")
 CLEAN_REGIONS = ("Africa", "Asia", "Middle East")
-CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-YEARS = tuple(range(1995, 2002))
 AS_OF = "2000-01-01"
 
 Q = Callable[[Star], DataFrame]
@@ -104,14 +102,18 @@ def _write_partitioned(s: Star) -> DataFrame:
 def _write_summary_json(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "summary")
     writers.write_summary_json(_summary_report(s), path)
-    return s.spark.read.text(path)
+    return summary.report_rows(s.spark.read.schema(summary.REPORT).json(path))
 
 
-def _clean_parents(s: Star) -> tuple[DataFrame, DataFrame]:
-    customers = cleaning.clean_customers(
+def _clean_customers(s: Star) -> DataFrame:
+    return cleaning.clean_customers(
         s.raw_customers(), regions=CLEAN_REGIONS, segments=ALLOWED_SEGMENTS, default_segment="BUILDING"
     )
-    return customers, cleaning.clean_products(s.raw_products())
+
+
+def _clean_keys(s: Star) -> tuple[DataFrame, DataFrame]:
+    """Cleaned customers, and the products that cleaning keeps, without their prices."""
+    return _clean_customers(s), cleaning.kept_products(s.raw_products())
 
 
 def _incremental_load(s: Star) -> DataFrame:
@@ -253,7 +255,7 @@ def _drop_orphans(s: Star) -> DataFrame:
 
 
 def _cleaning_audit(s: Star) -> DataFrame:
-    customers, products = _clean_parents(s)
+    customers, products = _clean_keys(s)
     return cleaning.cleaning_audit(
         s.raw_customers(),
         s.raw_products(),
@@ -266,7 +268,7 @@ def _cleaning_audit(s: Star) -> DataFrame:
 
 
 def _clean_transactions(s: Star) -> DataFrame:
-    return cleaning.clean_transactions(s.raw_transactions(), *_clean_parents(s)).select(
+    return cleaning.clean_transactions(s.raw_transactions(), *_clean_keys(s)).select(
         *[c for c in SALES_TRANSACTIONS.fieldNames()]
     )
 
@@ -328,7 +330,7 @@ QUERIES: dict[str, Q] = {
     "derive_partitions": lambda s: cleaning.derive_partitions(s.transactions(region=False).drop("year", "month")).select(
         "transaction_id", "year", "month"
     ),
-    "clean_customers": lambda s: _clean_parents(s)[0],
+    "clean_customers": _clean_customers,
     "clean_products": lambda s: _shown(cleaning.clean_products(s.raw_products())),
     "clean_transactions": _clean_transactions,
     "cleaning_audit": _cleaning_audit,
@@ -451,10 +453,10 @@ QUERIES: dict[str, Q] = {
     "market_share_by_year": lambda s: region.market_share_by_year(s.transactions()),
     "market_share_by_month": lambda s: region.market_share_by_month(s.transactions()),
     "regional_monthly_vs_average": lambda s: region.regional_monthly_vs_average(s.transactions()),
-    "profit_matrix": lambda s: region.profit_matrix(s.transactions(), s.products(), CATEGORIES),
+    "profit_matrix": lambda s: region.profit_matrix(s.transactions(), s.products()),
     "profit_matrix_bands": lambda s: region.profit_matrix_bands(s.transactions(), s.products()),
     "region_discount_vs_margin": lambda s: region.region_discount_vs_margin(s.transactions(), s.products()),
-    "region_growth_table": lambda s: region.region_growth_table(s.transactions(), YEARS),
+    "region_growth_table": lambda s: region.region_growth_table(s.transactions()),
     "region_cards": lambda s: region.region_cards(s.transactions()),
     "drill_region_city_customer": lambda s: region.drill_region_city_customer(
         s.transactions(region=False), s.customers(signup=False)
@@ -505,7 +507,7 @@ QUERIES: dict[str, Q] = {
     "enrich_transactions": lambda s: summary.enrich_transactions(
         s.transactions(), s.customers(signup=False), s.products()
     ),
-    "summary_report": _summary_report,
+    "summary_report": lambda s: summary.report_rows(_summary_report(s)),
     "revenue_overview": lambda s: kpi.revenue_overview(s.transactions(region=False)),
     "region_overview": lambda s: region.region_overview(s.transactions()),
     "category_margin": lambda s: profit.category_margin(s.transactions(region=False), s.products()),

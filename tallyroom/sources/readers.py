@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyroom.operators.cleaning import mark_missing
 from tallyroom.schemas import RAW, TABLES
 
 
 def read_raw(spark: SparkSession, folder: str, table: str, ingest_order: bool = False) -> DataFrame:
-    """Header CSV files under ``folder/table`` as text columns, nothing inferred.
+    """Header CSV files under ``folder/table`` as text columns, nothing inferred; missing-value tokens are NULL.
 
     ``ingest_order`` adds ``ingest_seq`` (file, block, row), the order the rows
     have in the files, which "first row wins" rules need.
     """
-    df = (
+    df = mark_missing(
         spark.read.schema(RAW[table])
         .option("header", True)
         .option("mode", "PERMISSIVE")

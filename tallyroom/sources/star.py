@@ -59,7 +59,7 @@ class Star:
 
     def customers(self, signup: bool = True) -> DataFrame:
         """Customers; without ``signup`` the pass over the orders is left out."""
-        number = F.substring("c_name", 10, 100)
+        number = F.expr("substring(c_name, 10)")
         local_part = F.concat(F.lit("customer."), number)
         out = (
             self.table("customer")
@@ -170,15 +170,17 @@ class Star:
             .select(
                 F.col("o_custkey").cast("string").alias("customer_id"),
                 F.lit("Customer").alias("first_name"),
-                F.substring("c_name", 10, 100).alias("last_name"),
-                F.when(
+                F.expr("substring(c_name, 10)").alias("last_name"),
+                F.when(F.col("c_custkey") % 13 == 0, F.lit("NA"))
+                .when(
                     F.col("c_acctbal") >= 0,
-                    F.concat(F.lit(" Customer."), F.substring("c_name", 10, 100), F.lit("@Example.COM ")),
+                    F.concat(F.lit(" Customer."), F.expr("substring(c_name, 10)"), F.lit("@Example.COM ")),
                 ).alias("email"),
                 F.concat(F.lit(" "), F.lower("region"), F.lit(" ")).alias("region"),
                 F.lit("Synthetic").alias("country"),
                 F.col("country").alias("city"),
                 F.when(F.col("o_orderpriority") == "5-LOW", F.lit("2021-13-45"))
+                .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format("o_orderdate", "yyyy/MM/dd"))
                 .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
                 .alias("signup_date"),
                 F.concat(F.lit(" "), F.col("c_mktsegment")).alias("segment"),
@@ -195,9 +197,14 @@ class Star:
             F.col("p_type").alias("category"),
             F.concat_ws("-", "p_type", (size % 5).cast("string")).alias("sub_category"),
             F.when(size == 1, F.lit("n/a"))
+            .when(size == 3, F.lit("NaN"))
             .otherwise((F.col("p_retailprice") * 0.7).cast("decimal(18,2)").cast("string"))
             .alias("unit_cost"),
-            F.when(size == 2, F.lit("0")).otherwise(_text_number("p_retailprice")).alias("unit_price"),
+            F.when(size == 2, F.lit("0"))
+            .when(size == 4, F.lit("NaN"))
+            .when(size == 5, F.lit("about 900"))
+            .otherwise(_text_number("p_retailprice"))
+            .alias("unit_price"),
             F.col("p_brand").alias("brand"),
             F.col("p_partkey").alias("ingest_seq"),
         )
@@ -207,6 +214,7 @@ class Star:
         order_day = F.date_format("o_orderdate", "yyyy-MM-dd")
         unit_price = F.round((F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(28,10)"), 2)
         odd_discount = F.col("l_discount").cast("decimal(4,2)") * 15 - F.lit(0.1).cast("decimal(4,2)")
+        units = (F.col("l_quantity").cast("int") - 3).cast("string")
         lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return (
             self._with_region(lines)
@@ -217,14 +225,22 @@ class Star:
                 F.col("o_custkey").cast("string").alias("customer_id"),
                 F.col("l_partkey").cast("string").alias("product_id"),
                 F.when(F.col("o_orderpriority") == "5-LOW", F.lit("not a date"))
+                .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format("o_orderdate", "yyyy/MM/dd"))
+                .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "MM/dd/yyyy"))
                 .otherwise(order_day)
                 .alias("order_date"),
                 F.when(F.col("l_returnflag") != "N", F.date_format("l_shipdate", "yyyy-MM-dd")).alias("ship_date"),
                 F.when(F.col("l_tax") == 0.07, F.lit("x"))
-                .otherwise((F.col("l_quantity").cast("int") - 3).cast("string"))
+                .when(F.col("l_tax") == 0.06, F.concat(units, F.lit(".0")))
+                .when(F.col("l_tax") == 0.05, F.concat(units, F.lit(".5")))
+                .when(F.col("l_tax") == 0.04, F.lit("N/A"))
+                .otherwise(units)
                 .alias("quantity"),
                 unit_price.cast("string").alias("unit_price"),
-                F.when(F.col("l_linestatus") == "F", odd_discount.cast("string")).alias("discount"),
+                F.when(F.col("l_tax") == 0.01, F.lit("NaN"))
+                .when(F.col("l_tax") == 0.02, F.lit("much"))
+                .when(F.col("l_linestatus") == "F", odd_discount.cast("string"))
+                .alias("discount"),
                 "region",
                 F.year("o_orderdate").cast("string").alias("year"),
                 F.month("o_orderdate").cast("string").alias("month"),

@@ -15,16 +15,22 @@ from tallyroom.operators.cleaning import clean_transactions
 from tallyroom.schemas import RAW, REGIONS, SALES_TRANSACTIONS
 from tallyroom.sinks.writers import write_partitioned
 
-# Ids of a batch up to this number are broadcast (about 100 MB of text keys).
-BROADCAST_IDS = 1_000_000
+# What Spark reports for a folder that is not there yet, or that holds no data file yet.
+NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or None before the first load; anything else at ``path`` is an error."""
     try:
         found = spark.read.parquet(path)
-    except AnalysisException:  # nothing written yet
-        return None
-    return spark.read.schema(SALES_TRANSACTIONS).parquet(path) if "transaction_id" in found.columns else None
+    except AnalysisException as e:
+        if e.getCondition() in NOTHING_STORED:
+            return None
+        raise
+    missing = set(SALES_TRANSACTIONS.fieldNames()) - set(found.columns)
+    if missing:
+        raise ValueError(f"{path} holds another table: no {', '.join(sorted(missing))}")
+    return spark.read.schema(SALES_TRANSACTIONS).parquet(path)
 
 
 def incremental_load(
@@ -67,11 +73,8 @@ def incremental_load(
             # at most one row per calendar month; a test on partition columns prunes folders
             months = [r.year * 100 + r.month for r in batch.select("year", "month").distinct().collect()]
             stored = stored.where((F.col("year") * 100 + F.col("month")).isin(*months))
-        ids = batch.select("transaction_id")
-        if batch.count() <= BROADCAST_IDS:
-            # the stored side is then only scanned, one column of it; a larger batch is joined by shuffle
-            ids = F.broadcast(ids)
-        repeats = stored.select("transaction_id").join(ids, "transaction_id", "left_semi")
+        # one column of the stored table is scanned; AQE broadcasts the batch's ids if they measure small
+        repeats = stored.select("transaction_id").join(batch.select("transaction_id"), "transaction_id", "left_semi")
         fresh = durable(batch.join(repeats, "transaction_id", "left_anti"))
     added = fresh.count()
     if added:
@@ -91,11 +94,13 @@ def incremental_stream(
     file_format: str = "csv",
     regions: Sequence[str] | None = REGIONS,
     max_files: int | None = None,
+    only_touched: bool = False,
 ) -> StreamingQuery:
     """Load every file not seen before, then stop; start it again for the next files.
 
     Late rows need no watermark: they are added to their own month.  A replayed
-    batch finds its ids stored and adds nothing.
+    batch finds its ids stored and adds nothing.  ``only_touched`` is the choice
+    that ``incremental_load`` documents.
     """
     reader = spark.readStream.schema(RAW["sales_transactions"])
     if file_format == "csv":
@@ -107,7 +112,7 @@ def incremental_stream(
     def load(batch: DataFrame, _: int) -> None:
         # within a batch the first row by content wins
         ordered = batch.withColumn("ingest_seq", F.struct(*batch.columns))
-        incremental_load(ordered, customers, products, path, regions=regions)
+        incremental_load(ordered, customers, products, path, regions=regions, only_touched=only_touched)
 
     return (
         files.writeStream.foreachBatch(load)

@@ -154,3 +154,68 @@ def test_rounding_is_half_up_on_the_decimal_form(spark):
     df = spark.createDataFrame([(0.285,), (1.005,), (2.675,), (-2.5,)], "x double")
     assert [r[0] for r in df.select(rounded(F.col("x"))).collect()] == [0.29, 1.01, 2.68, -2.5]
     assert df.select(rounded(F.col("x"), 0)).collect()[3][0] == -3.0
+
+
+@pytest.mark.parametrize(
+    ("text", "number", "whole"),
+    [("3", 3.0, 3), (" 3.0 ", 3.0, 3), ("2.5", 2.5, None), ("1e2", 100.0, 100), ("-4.00", -4.0, -4), ("NaN", None, None),
+     ("Infinity", None, None), ("x", None, None), ("", None, None), (None, None, None), ("99999999999", 99999999999.0, None)],
+)
+def test_numbers(spark, text, number, whole):
+    df = spark.createDataFrame([(text, text)], "a string, b string")
+    row = cleaning.coerce_numbers(df, ["a"], ["b"]).first()
+    assert (row.a, row.b) == (number, whole)
+
+
+@pytest.mark.parametrize(
+    ("text", "day"),
+    [("2020-01-05", D(2020, 1, 5)), ("2020/01/05", D(2020, 1, 5)), ("2020/1/5", D(2020, 1, 5)), ("01/25/2020", D(2020, 1, 25)),
+     ("5 Jan 2020", D(2020, 1, 5)), ("2020-01-05 13:00:00", D(2020, 1, 5)), ("2021-13-45", None), ("soon", None), (None, None)],
+)
+def test_dates(spark, text, day):
+    assert cleaning.coerce_dates(spark.createDataFrame([(text,)], "d string"), [], ["d"]).first().d == day
+
+
+def test_missing_tokens_and_nan(spark):
+    tokens = ["NaN", "NA", "N/A", "null", "nan", "", "n/a", "None"]
+    marked = cleaning.mark_missing(spark.createDataFrame([(t, 1) for t in [*tokens, "NAN", " NA"]], "a string, b int"))
+    assert [r.a for r in marked.collect()] == [None] * len(tokens) + ["NAN", " NA"]
+    nan = float("nan")
+    prices = spark.createDataFrame([(nan, 1.0), (1.0, nan), (2.0, 1.0)], "unit_price double, unit_cost double")
+    assert [r.unit_price for r in cleaning.drop_bad_prices(prices).collect()] == [2.0]
+    discounts = spark.createDataFrame([(nan,), (None,), (1.5,), (0.2,)], "discount double")
+    assert [r.discount for r in cleaning.clip_discount(discounts).collect()] == [0.0, 0.0, 1.0, 0.2]
+
+
+def test_tokens_through_the_transaction_rules(spark):
+    base = {"customer_id": "c", "product_id": "p", "order_date": "2020/01/05", "unit_price": "10", "quantity": "3.0", "discount": "NaN"}
+    raw = _raw(
+        spark,
+        "sales_transactions",
+        [{**base, "transaction_id": "a"}, {**base, "transaction_id": "b", "quantity": "2.5"},
+         {**base, "transaction_id": "c", "unit_price": "NaN"}, {**base, "transaction_id": "d", "customer_id": "NA"}],
+    )
+    rows = cleaning.clean_transaction_rows(cleaning.mark_missing(raw)).collect()
+    assert [(r.transaction_id, r.quantity, r.discount, r.net_revenue, r.order_date) for r in rows] == [
+        ("a", 3, 0.0, 30.0, D(2020, 1, 5))
+    ]
+
+
+def test_capped_costs_keep_their_digits_up_to_the_profit(spark, txn_of):
+    """Four-decimal costs from the cap: the profit is that of decimal arithmetic."""
+    from decimal import Decimal
+
+    from tallyroom.operators import kpi
+
+    raw = _raw(
+        spark,
+        "products",
+        [{"product_id": f"p{i}", "product_name": "n", "category": "c", "unit_cost": c, "unit_price": "20"} for i, c in enumerate(["12.3456", "10", "11.25"])],
+    )
+    products = cleaning.clean_products(raw, cap_quantile=0.9)
+    cost = {r.product_id: Decimal(repr(r.unit_cost)) for r in products.collect()}
+    assert abs(cost["p0"] - Decimal("12.12648")) < Decimal("1e-9")  # 11.25 + 0.8 * (12.3456 - 11.25)
+    rows = [{"product_id": f"p{i % 3}", "quantity": 10 + i, "net_revenue": 100.0 + i, "order_date": D(2020, 1, 1)} for i in range(9)]
+    exact = sum(Decimal(str(r["net_revenue"])) - round(cost[r["product_id"]] * r["quantity"], 4) for r in rows)
+    got = kpi.kpi_totals(txn_of(*rows), products).first().total_gross_profit
+    assert abs(Decimal(repr(got)) - exact) < Decimal("0.0001")

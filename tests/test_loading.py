@@ -63,9 +63,7 @@ def _stored(spark, path):
 
 
 @pytest.mark.parametrize("only_touched", [False, True])
-@pytest.mark.parametrize("broadcast_ids", [0, 1_000_000])
-def test_late_batch(spark, parents, tmp_path, monkeypatch, only_touched, broadcast_ids):
-    monkeypatch.setattr(incremental, "BROADCAST_IDS", broadcast_ids)
+def test_late_batch(spark, parents, tmp_path, only_touched):
     path = str(tmp_path / "sales_transactions")
     added = [
         incremental.incremental_load(_raw(spark, rows), *parents, path, only_touched=only_touched)
@@ -75,6 +73,17 @@ def test_late_batch(spark, parents, tmp_path, monkeypatch, only_touched, broadca
     assert _stored(spark, path) == WANT
 
 
+def test_a_foreign_or_unreadable_target_is_an_error(spark, parents, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="another table"):
+        incremental.incremental_load(_raw(spark, FIRST), *parents, str(tmp_path / "other"))
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="parquet|Parquet|FOOTER|footer"):
+        incremental.incremental_load(_raw(spark, FIRST), *parents, str(broken))
+
+
 def test_repeat_in_another_month_is_found_in_the_whole_table(spark, parents, tmp_path):
     path = str(tmp_path / "sales_transactions")
     incremental.incremental_load(_raw(spark, FIRST), *parents, path)

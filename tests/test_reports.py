@@ -165,3 +165,19 @@ def test_declared_unique_keys_are_counted_without_a_shuffle(spark):
     plain = region.regional_summary(marked, products)
     assert sorted(plain.collect()) == sorted(region.regional_summary(txn, products).collect())
     assert "transaction_id" not in kpi.kpi_totals(marked, products)._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
+
+
+def test_wide_reports_have_every_column_or_refuse(spark, txn_of, product_of):
+    from tallyroom.operators import region
+
+    txn = txn_of(
+        {"product_id": "a", "order_date": dt.date(2020, 1, 1)},
+        {"product_id": "b", "order_date": dt.date(2031, 1, 1)},
+    )
+    products = product_of(("a", "A", "old", 1.0, 2.0), ("b", "B", "brand new", 1.0, 2.0))
+    assert set(region.profit_matrix(txn, products).columns) == {"region", "old", "brand new"}
+    assert {"revenue_2020", "revenue_2031"} <= set(region.region_growth_table(txn).columns)
+    with pytest.raises(Exception, match="category not listed: brand new"):
+        region.profit_matrix(txn, products, ["old"]).collect()
+    with pytest.raises(Exception, match="year not listed: 2031"):
+        region.region_growth_table(txn, [2020]).collect()
