@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.functions.money import rounded
+from tallyroom.functions.money import cents, ratio, rounded, usd
 from tallyroom.operators.checks import orphan_rows
 from tallyroom.schemas import EMAIL_PATTERN, REGIONS, SEGMENTS
 
@@ -185,11 +185,22 @@ def dq_referential(customers: DataFrame, products: DataFrame, txn: DataFrame) ->
 def dq_outliers(txn: DataFrame, threshold: float = 4.0) -> DataFrame:
     """Transactions whose revenue lies more than ``threshold`` deviations from the mean.
 
-    Mean and deviation are one scalar row, read by every task; NULL or zero
-    deviation (fewer than two distinct values) yields no rows.
+    Mean and deviation come from exact sums of cents and squared cents, so that no
+    row comes and goes with the shuffle order; they are one scalar row, read by
+    every task.  NULL or zero deviation (fewer than two distinct values) yields no rows.
     """
-    stats = txn.agg(
-        F.struct(F.avg("net_revenue").alias("mean"), F.stddev_samp("net_revenue").alias("dev"))
+    x = cents("net_revenue").cast("decimal(19,0)")
+    sums = txn.agg(
+        F.count("net_revenue").cast("decimal(12,0)").alias("n"),
+        F.sum(x.cast("decimal(12,0)")).alias("s"),
+        F.sum((x * x).cast("decimal(24,0)")).alias("q"),
+    )
+    spread = (F.col("n") * F.col("q") - F.col("s") * F.col("s")).cast("double")
+    pairs = (F.col("n") * (F.col("n") - 1)).cast("double")
+    stats = sums.select(
+        F.struct(
+            ratio(usd("s"), "n").alias("mean"), (F.sqrt(F.try_divide(spread, pairs)) / F.lit(100.0)).alias("dev")
+        )
     ).scalar()
     z = F.try_divide(F.col("net_revenue") - stats["mean"], stats["dev"])
     return (

@@ -298,8 +298,9 @@ def validation_gate(results: DataFrame, raise_on_failure: bool = True) -> DataFr
 def column_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per column: type, NULLs and distinct values.
 
-    Exact distinct counts take one grouped pass per column, each shuffling that
-    column's distinct values only; ``approximate`` does everything in one pass.
+    The table is read once: its cells become (column, value) rows that are counted
+    map-side, so each distinct value is shuffled once per task.  Values are told
+    apart by their text.  ``approximate`` shuffles sketches only.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields if not isinstance(f.dataType, T.StructType)}
 
@@ -320,15 +321,15 @@ def column_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.01)
                 *[pack(c, rows, _count(F.col(c).isNull()), F.approx_count_distinct(c, rsd)) for c in types]
             ).alias("r")
         ).select(F.inline("r"))
-    parts = []
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in types])
+    per_value = df.select(F.inline(cells)).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    found = per_value.groupBy("c").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), F.count("v").alias("unique")
+    )
+    # one row per column, those of an empty table included
+    listed = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(types)], "i int, c string")
+    filled = listed.join(found, "c", "left").fillna(0, ["rows", "nulls", "unique"])
+    packed = F.lit(None)
     for c in types:
-        per_value = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        stats = per_value.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.count(c).alias("unique"),
-        )
-        parts.append(
-            stats.select(pack(c, F.col("rows"), F.col("nulls"), F.col("unique")).alias("r")).select("r.*")
-        )
-    return _union(parts)
+        packed = F.when(F.col("c") == c, pack(c, F.col("rows"), F.col("nulls"), F.col("unique"))).otherwise(packed)
+    return filled.orderBy("i").select(packed.alias("r")).select("r.*")

@@ -438,10 +438,17 @@ def customer_features(txn: DataFrame) -> DataFrame:
 
 
 def segment_overview(txn: DataFrame, customers: DataFrame) -> DataFrame:
-    sales = txn.select("customer_id", "transaction_id", "net_revenue").join(
-        customers.select("customer_id", "segment"), "customer_id"
+    """Revenue, customers, orders and revenue per customer of each segment.
+
+    Sales are added up per customer first, so the join is one to one.  A
+    transaction id is taken to belong to one customer.
+    """
+    m = (
+        measure(txn, ["customer_id"], "revenue", "orders")
+        .join(customers.select("customer_id", "segment"), "customer_id")
+        .groupBy("segment")
+        .agg(F.sum("revenue").alias("revenue"), F.count("customer_id").alias("customers"), F.sum("orders").alias("orders"))
     )
-    m = measure(sales, ["segment"], "revenue", "customers", "orders")
     whole = F.sum("revenue").over(Window.partitionBy())
     return m.select(
         "segment",

@@ -63,11 +63,17 @@ def regional_yoy(txn: DataFrame) -> DataFrame:
 
 
 def top_cities_by_region(txn: DataFrame, customers: DataFrame, top: int = 5) -> DataFrame:
-    """Best cities of each region, where region and city are the customer's."""
-    sales = txn.select("customer_id", "transaction_id", "net_revenue").join(
-        customers.select("customer_id", "region", "city"), "customer_id"
+    """Best cities of each region, where region and city are the customer's.
+
+    Sales are added up per customer first, so the join is one to one.  A
+    transaction id is taken to belong to one customer.
+    """
+    m = (
+        measure(txn, ["customer_id"], "revenue", "orders")
+        .join(customers.select("customer_id", "region", "city"), "customer_id")
+        .groupBy("region", "city")
+        .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
     )
-    m = measure(sales, ["region", "city"], "revenue", "orders")
     best = Window.partitionBy("region").orderBy(F.desc("revenue"), "city")
     return (
         m.withColumn("city_rank", F.row_number().over(best))

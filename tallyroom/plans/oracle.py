@@ -307,10 +307,10 @@ def _rows(*pairs: tuple[str, str, str]) -> str:
     )
 
 
-def _profile(source: str, types: dict[str, str]) -> str:
+def _profile(name: str, source: str, types: dict[str, str]) -> str:
     return _all(
         *[
-            f"""SELECT '{c}' AS "column", '{t}' AS dtype, COUNT(*) - COUNT({c}) AS null_count,
+            f"""SELECT '{name}' AS table_name, '{c}' AS "column", '{t}' AS dtype, COUNT(*) - COUNT({c}) AS null_count,
   {_R(f"CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / COUNT(*) * 100")} AS null_pct,
   COUNT(DISTINCT {c}) AS "unique" FROM {source}"""
             for c, t in types.items()
@@ -681,13 +681,34 @@ WHERE NOT regexp_matches(email, '^[a-z0-9._%+\-]+@[a-z0-9.\-]+[.][a-z]{2,}$')"""
         c=_all(_CHECK_C, _CHECK_P, _CHECK_T),
     ),
     "column_profile": _q(
-        _profile(
-            "cust",
-            {
-                **dict.fromkeys("customer_id first_name last_name email region country city".split(), "string"),
-                "signup_date": "date",
-                "segment": "string",
-            },
+        _all(
+            _profile(
+                "customers",
+                "cust",
+                {
+                    **dict.fromkeys("customer_id first_name last_name email region country city".split(), "string"),
+                    "signup_date": "date",
+                    "segment": "string",
+                },
+            ),
+            _profile(
+                "products",
+                "prod",
+                {
+                    **dict.fromkeys("product_id product_name category sub_category brand".split(), "string"),
+                    **dict.fromkeys("unit_cost unit_price margin_pct".split(), "double"),
+                },
+            ),
+            _profile(
+                "sales_transactions",
+                "txn",
+                {
+                    **dict.fromkeys("transaction_id customer_id product_id region".split(), "string"),
+                    **dict.fromkeys("order_date ship_date".split(), "date"),
+                    **dict.fromkeys("quantity year month".split(), "int"),
+                    **dict.fromkeys("unit_price discount net_revenue".split(), "double"),
+                },
+            ),
         )
     ),
     # headline figures

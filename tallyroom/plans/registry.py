@@ -286,6 +286,16 @@ def _summary_report(s: Star) -> DataFrame:
     return summary.summary_report(txn, customers, s.products(), rfm, as_of=AS_OF)
 
 
+def _column_profile(s: Star) -> DataFrame:
+    tables = {
+        "customers": _customers_contract(s),
+        "products": s.products().select(*PRODUCTS.fieldNames()),
+        "sales_transactions": s.transactions().select(*SALES_TRANSACTIONS.fieldNames()),
+    }
+    parts = [checks.column_profile(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 QUERIES: dict[str, Q] = {
     # sources, sinks, catalog
     "read_raw_csv": _read_raw_csv,
@@ -408,7 +418,7 @@ QUERIES: dict[str, Q] = {
         s.transactions(), s.customers(signup=False), s.products(), ALLOWED_REGIONS
     ),
     "validation_gate": _validation_gate,
-    "column_profile": lambda s: checks.column_profile(_customers_contract(s)),
+    "column_profile": _column_profile,
     # headline figures
     "kpi_totals": lambda s: kpi.kpi_totals(s.transactions(region=False), s.products()),
     "quarterly_revenue": lambda s: kpi.quarterly_revenue(s.transactions(region=False)),
