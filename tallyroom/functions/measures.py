@@ -16,11 +16,26 @@ def declare_unique(df: DataFrame, column: str = "transaction_id") -> DataFrame:
     """Mark a key as unique, in the column's metadata, once the uniqueness check has passed.
 
     Reports then count rows instead of distinct keys, which spares the shuffle of
-    every key; the mark survives filters, projections and joins to dimensions.
+    every key.  The mark survives filters and projections.  The joins of this
+    library keep it only if the dimension's key is declared unique as well; before
+    a join or union of your own that may repeat rows, call ``forget_unique``.
     """
     return df.withMetadata(column, {**df.schema[column].metadata, _UNIQUE: True})
 
 
+def forget_unique(df: DataFrame, column: str = "transaction_id") -> DataFrame:
+    kept = {k: v for k, v in df.schema[column].metadata.items() if k != _UNIQUE}
+    return df.withMetadata(column, kept)
+
+
+def join_dimension(txn: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """A join that may repeat rows unless the dimension's key is declared unique."""
+    marked = "transaction_id" in txn.columns and txn.schema["transaction_id"].metadata.get(_UNIQUE)
+    if marked and not dimension.schema[key].metadata.get(_UNIQUE):
+        txn = forget_unique(txn)
+    return txn.join(dimension, key, how)
+
+
 def key_count(df: DataFrame, column: str = "transaction_id") -> Column:
     """Distinct keys of a group: a plain count where the key is declared unique."""
     if df.schema[column].metadata.get(_UNIQUE):
@@ -61,7 +76,7 @@ def with_products(txn: DataFrame, products: DataFrame, *dims: str) -> DataFrame:
     No broadcast hint: Catalyst and AQE broadcast the dimension when its measured
     size allows it and otherwise use a sort-merge join with skew splitting.
     """
-    return txn.join(products.select("product_id", "unit_cost", *dims), "product_id")
+    return join_dimension(txn, products.select("product_id", "unit_cost", *dims), "product_id")
 
 
 def profit_cells(
@@ -79,5 +94,5 @@ def profit_cells(
     product beforehand would shuffle nearly every row as soon as ``by`` is fine.
     With ``how="left"`` sales of unknown products keep their revenue, without profit.
     """
-    joined = txn.join(products.select("product_id", "unit_cost", *dims), "product_id", how)
+    joined = join_dimension(txn, products.select("product_id", "unit_cost", *dims), "product_id", how)
     return measure(joined, [*by, *dims], *ADDITIVE)

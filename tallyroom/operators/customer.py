@@ -61,11 +61,14 @@ def customer_ltv(txn: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def ltv_by_segment(txn: DataFrame, customers: DataFrame) -> DataFrame:
-    per_customer = measure(txn, ["customer_id"], "revenue", "priced")
+    per_customer = measure(txn, ["customer_id"], "revenue", "priced", "orders")
     m = (
         per_customer.join(customers.select("customer_id", "segment"), "customer_id")
         .groupBy("segment")
-        .agg(F.count(F.lit(1)).alias("customers"), F.sum("revenue").alias("revenue"), F.sum("priced").alias("priced"))
+        .agg(
+            F.count(F.lit(1)).alias("customers"),
+            *[F.sum(c).alias(c) for c in ("revenue", "priced", "orders")],
+        )
     )
     # one row per segment: a window without partitions is small
     whole = F.sum("revenue").over(Window.partitionBy())
@@ -75,6 +78,7 @@ def ltv_by_segment(txn: DataFrame, customers: DataFrame) -> DataFrame:
         usd("revenue").alias("segment_revenue"),
         per_usd("revenue", "priced").alias("avg_order_value"),
         per_usd("revenue", "customers").alias("avg_ltv"),
+        rounded(ratio("orders", "customers")).alias("avg_orders"),
         pct_usd("revenue", whole).alias("revenue_share_pct"),
     ).orderBy(F.desc("segment_revenue"), "segment")
 

@@ -110,8 +110,15 @@ def discount_buckets(txn: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def kpi_year_cards(txn: DataFrame, products: DataFrame) -> DataFrame:
-    """The six executive cards per calendar year, each beside its prior-year value."""
+def kpi_year_cards(txn: DataFrame, products: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The six executive cards per calendar year, each beside its prior-year value.
+
+    With ``as_of`` (a day, for an unfinished year) every year counts up to the same
+    month and day only, so that like is compared with like.
+    """
+    if as_of is not None:
+        last = F.date_format(F.lit(as_of).cast("date"), "MM-dd")
+        txn = txn.where(F.date_format("order_date", "MM-dd") <= last)
     m = measure(with_products(txn, products), ["year"], "revenue", "profit", "orders", "customers")
     both = prior_year(m, [], "revenue", "profit", "orders", "customers")
     return both.select(

@@ -124,3 +124,25 @@ def top10_products_table(
         band("margin_pct", low, high).alias("margin_band"),
         "orders",
     )
+
+
+def drill_category_product(txn: DataFrame, products: DataFrame) -> DataFrame:
+    """Revenue, units and margin at every level category > sub-category > product.
+
+    ``level`` is 0 for the product, then 1 sub-category, 2 category.  Sales are
+    added up per product first; the roll-up expands those rows only.
+    """
+    keys = ["category", "sub_category", "product_id"]
+    sold = product_sales(txn, products, "category", "sub_category")
+    sets = [[F.col(k) for k in keys[:n]] for n in (3, 2, 1)]
+    rolled = sold.groupingSets(sets, *[F.col(k) for k in keys]).agg(
+        *[F.sum(c).alias(c) for c in ("revenue", "units", "profit")], F.grouping_id().alias("g")
+    )
+    level = F.when(F.col("g") == 0, 0).when(F.col("g") == 1, 1).otherwise(2)
+    return rolled.select(
+        level.alias("level"),
+        *keys,
+        usd("revenue").alias("revenue"),
+        "units",
+        pct_usd("profit", "revenue").alias("margin_pct"),
+    ).orderBy("level", F.desc("revenue"), *keys)

@@ -62,6 +62,19 @@ def regional_yoy(txn: DataFrame) -> DataFrame:
     ).orderBy("region", "year")
 
 
+def region_years(txn: DataFrame) -> DataFrame:
+    """Revenue, orders and customers per region and year, with revenue growth over the year before."""
+    m = measure(txn, ["region", "year"], "revenue", "orders", "customers")
+    return prior_year(m, ["region"], "revenue").select(
+        "region",
+        "year",
+        usd("revenue").alias("revenue"),
+        "orders",
+        "customers",
+        growth_pct("revenue", "prior_revenue").alias("yoy_growth_pct"),
+    ).orderBy("region", "year")
+
+
 def top_cities_by_region(txn: DataFrame, customers: DataFrame, top: int = 5) -> DataFrame:
     """Best cities of each region, where region and city are the customer's.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tallyroom.functions.measures import discount_pct, key_count, measure
+from tallyroom.functions.measures import discount_pct, join_dimension, key_count, measure
 from tallyroom.functions.money import (
     cents,
     fine_sum,
@@ -100,7 +100,7 @@ def monthly_revenue_simple(txn: DataFrame) -> DataFrame:
 
 def monthly_profit_trend(txn: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, profit, orders and margin per month; rows of unknown products add no profit."""
-    joined = txn.join(products.select("product_id", "unit_cost"), "product_id", "left")
+    joined = join_dimension(txn, products.select("product_id", "unit_cost"), "product_id", "left")
     m = measure(joined, ["year", "month"], "revenue", "profit", "orders")
     return m.select(
         month_label().alias("order_ym"),

@@ -745,6 +745,15 @@ FROM tp GROUP BY 1"""
   {_grow('c.rev', 'p.rev')} AS yoy_growth_pct FROM y c LEFT JOIN y p ON c.year = p.year + 1""",
         y=f"SELECT year, {_REV} AS rev, {_GP} AS gp, {_ORD} AS orders, {_CUS} AS customers FROM tp GROUP BY year",
     ),
+    "kpi_year_cards_same_period": _q(
+        f"""SELECT c.year, {_D('c.rev')} AS total_revenue, {_D('p.rev')} AS prior_total_revenue,
+  {_pct('c.gp', 'c.rev')} AS gross_margin_pct, {_pct('p.gp', 'p.rev')} AS prior_gross_margin_pct,
+  c.orders AS total_orders, p.orders AS prior_total_orders,
+  {_per('c.rev', 'c.orders')} AS avg_order_value, {_per('p.rev', 'p.orders')} AS prior_avg_order_value,
+  c.customers AS unique_customers, p.customers AS prior_unique_customers,
+  {_grow('c.rev', 'p.rev')} AS yoy_growth_pct FROM y c LEFT JOIN y p ON c.year = p.year + 1""",
+        y=f"SELECT year, {_REV} AS rev, {_GP} AS gp, {_ORD} AS orders, {_CUS} AS customers FROM tp WHERE strftime(order_date, '%m-%d') <= '06-30' GROUP BY year",
+    ),
     "kpi_alerts": _q(
         _all(
             *[
@@ -877,6 +886,11 @@ FROM tp WHERE discount >= 0.20 AND gp < 0 ORDER BY gp, transaction_id LIMIT 100"
 FROM ry c LEFT JOIN ry p ON c.region = p.region AND c.year = p.year + 1""",
         ry=_RY,
     ),
+    "region_years": _q(
+        f"""SELECT c.region, c.year, {_D('c.rev')} AS revenue, c.orders, c.customers,
+  {_grow('c.rev', 'p.rev')} AS yoy_growth_pct FROM m c LEFT JOIN m p ON c.region = p.region AND c.year = p.year + 1""",
+        m=f"SELECT region, year, {_REV} AS rev, {_ORD} AS orders, {_CUS} AS customers FROM txn GROUP BY region, year",
+    ),
     "top_cities_by_region": _q(
         f"""SELECT region, city_rank, city, {_D('rev')} AS revenue, orders FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY rev DESC, city) AS city_rank FROM (
@@ -966,7 +980,8 @@ FROM pc JOIN cust USING (customer_id)""",
     ),
     "ltv_by_segment": _q(
         f"""SELECT segment, {_CUS} AS customers, {_D(_REV)} AS segment_revenue, {_per(_REV, 'COUNT(net)')} AS avg_order_value,
-  {_per(_REV, _CUS)} AS avg_ltv, {_pct(_REV, 'SUM(SUM(net)) OVER ()')} AS revenue_share_pct
+  {_per(_REV, _CUS)} AS avg_ltv, {_per(_ORD, _CUS)} AS avg_orders,
+  {_pct(_REV, 'SUM(SUM(net)) OVER ()')} AS revenue_share_pct
 FROM txn JOIN cust USING (customer_id) GROUP BY segment"""
     ),
     "rfm_scores": _q(
@@ -1091,6 +1106,19 @@ WHERE cat_rank <= 5""",
 FROM sold""",
         sold=_SOLD,
     ),
+    "drill_category_product": _q(
+        _all(
+            *[
+                f"""SELECT {level} AS level, category, {sub} AS sub_category, {pid} AS product_id, {_D(_REV)} AS revenue,
+  CAST(SUM(quantity) AS BIGINT) AS units, {_MARGIN} AS margin_pct FROM tp GROUP BY category{g}"""
+                for level, sub, pid, g in (
+                    (0, "sub_category", "product_id", ", sub_category, product_id"),
+                    (1, "sub_category", "NULL", ", sub_category"),
+                    (2, "NULL", "NULL", ""),
+                )
+            ]
+        )
+    ),
     "product_velocity": _q(
         f"""SELECT product_id, product_name, category, CAST(SUM(u) AS BIGINT) AS units_last_12_months,
   {_per('SUM(u)', 'COUNT(*)')} AS avg_monthly_units, CAST(MAX(u) AS BIGINT) AS peak_monthly_units,

@@ -426,6 +426,9 @@ QUERIES: dict[str, Q] = {
     "days_to_ship": lambda s: kpi.days_to_ship(s.transactions()),
     "discount_buckets": lambda s: kpi.discount_buckets(s.transactions(region=False), s.products()),
     "kpi_year_cards": lambda s: kpi.kpi_year_cards(s.transactions(region=False), s.products()),
+    "kpi_year_cards_same_period": lambda s: kpi.kpi_year_cards(
+        s.transactions(region=False), s.products(), as_of="2000-06-30"
+    ),
     "kpi_alerts": lambda s: kpi.kpi_alerts(cleaning.fix_ship_date(s.transactions()), s.products()),
     "qoq_revenue": lambda s: kpi.qoq_revenue(s.transactions(region=False)),
     "cagr_by_region": lambda s: kpi.cagr_by_region(s.transactions()),
@@ -456,6 +459,7 @@ QUERIES: dict[str, Q] = {
     # regions
     "regional_summary": lambda s: region.regional_summary(s.transactions(), s.products()),
     "regional_yoy": lambda s: region.regional_yoy(s.transactions()),
+    "region_years": lambda s: region.region_years(s.transactions()),
     "top_cities_by_region": lambda s: region.top_cities_by_region(
         s.transactions(region=False), s.customers(signup=False)
     ),
@@ -498,6 +502,7 @@ QUERIES: dict[str, Q] = {
     "top_products": lambda s: product.top_products(s.transactions(region=False), s.products()),
     "top_products_by_category": lambda s: product.top_products_by_category(s.transactions(region=False), s.products()),
     "product_pareto": lambda s: product.product_pareto(s.transactions(region=False), s.products()),
+    "drill_category_product": lambda s: product.drill_category_product(s.transactions(region=False), s.products()),
     "product_velocity": lambda s: product.product_velocity(s.transactions(region=False), s.products()),
     "top10_products_table": lambda s: product.top10_products_table(s.transactions(region=False), s.products()),
     # windows

@@ -164,9 +164,26 @@ def test_declared_unique_keys_are_counted_without_a_shuffle(spark):
         assert sorted(report(marked).collect()) == sorted(report(txn).collect())
     plain = region.regional_summary(marked, products)
     assert sorted(plain.collect()) == sorted(region.regional_summary(txn, products).collect())
+    products = declare_unique(products, "product_id")
     assert "transaction_id" not in kpi.kpi_totals(marked, products)._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
 
 
+def test_a_repeated_dimension_key_counts_no_order_twice(spark, txn_of, product_of):
+    from tallyroom.functions.measures import declare_unique
+
+    txn = declare_unique(txn_of(*[{"product_id": "a", "order_date": D(2020, 1, 1)}] * 3))
+    products = product_of(("a", "A", "x", 1.0, 2.0), ("a", "A again", "x", 1.0, 2.0))
+    assert kpi.kpi_totals(txn, products).first().total_orders == 3
+    assert timeseries.monthly_profit_trend(txn, products).first().orders == 3
+
+
+def test_same_period_cards(txn_of, product_of):
+    rows = [(2019, 3, 10.0), (2019, 9, 90.0), (2020, 3, 20.0)]
+    txn = txn_of(*[{"order_date": D(y, m, 1), "net_revenue": v, "product_id": "a"} for y, m, v in rows])
+    cards = kpi.kpi_year_cards(txn, product_of(("a", "A", "x", 1.0, 2.0)), as_of="2020-06-30").collect()
+    assert [(r.year, r.total_revenue, r.yoy_growth_pct) for r in cards] == [(2019, 10.0, None), (2020, 20.0, 100.0)]
+
+
 def test_wide_reports_have_every_column_or_refuse(spark, txn_of, product_of):
     from tallyroom.operators import region
 
