@@ -133,7 +133,9 @@ def links(scratch: Scratch, fp: DataFrame, bucket: int = BUCKET) -> DataFrame:
         "buckets",
     )
     two = busy.where(f"n = 2 and bit_count(a ^ b) <= {MAX_BITS}").select("a", "b")
-    members = scratch.write(keys.join(busy.where("n > 2").select("key", "n"), "key"), "members")
+    # most buckets hold one fingerprint or two: what is left is often small enough to be broadcast
+    crowded = scratch.write(busy.where("n > 2").select("key", "n"), "crowded")
+    members = scratch.write(keys.join(crowded, "key"), "members")
     few = (
         members.where(F.col("n") <= bucket)
         .groupBy("key")
@@ -152,7 +154,7 @@ def links(scratch: Scratch, fp: DataFrame, bucket: int = BUCKET) -> DataFrame:
     met = scratch.write(hubs.groupBy("hub").agg(F.count("*").alias("n"), F.min("fp").alias("a")).where("n > 1"), "hubs")
     many = hubs.join(met.select("hub", "a"), "hub").where("fp <> a").select("a", F.col("fp").alias("b"))
     out = scratch.write(two.unionByName(few).unionByName(many).distinct(), "pairs")
-    scratch.drop(busy, members, met)
+    scratch.drop(busy, crowded, members, met)
     return out
 
 
