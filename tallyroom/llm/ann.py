@@ -73,13 +73,15 @@ class Plan:
         """Lists to visit so that the sample's own neighbours are covered."""
         if len(self.x) <= 100 * K:
             return len(self.centroids)
-        some = np.arange(0, len(self.x), max(1, len(self.x) // 400))
-        d = squared(self.x[some], self.x)
-        d[np.arange(len(some)), some] = np.inf
-        near = np.argpartition(d, K, axis=1)[:, :K]
         home = squared(self.x, self.centroids).argmin(axis=1)
-        rank = squared(self.x[some], self.centroids).argsort(axis=1).argsort(axis=1)
-        needed = np.sort(np.take_along_axis(rank, home[near], axis=1).ravel())
+        needed = []
+        for some in np.array_split(np.arange(0, len(self.x), max(1, len(self.x) // 400)), 8):
+            d = squared(self.x[some], self.x)
+            d[np.arange(len(some)), some] = np.inf
+            near = np.argpartition(d, K, axis=1)[:, :K]
+            rank = squared(self.x[some], self.centroids).argsort(axis=1).argsort(axis=1)
+            needed.append(np.take_along_axis(rank, home[near], axis=1).ravel())
+        needed = np.sort(np.concatenate(needed))
         return int(needed[min(len(needed) - 1, int(COVER * len(needed)))]) + 1
 
     def firsts(self, ids: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,12 +223,12 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, sample: int = S
     good, dimension = usable(vectors)
     good = scratch.write(good, "vectors")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    drawn = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
-    if not len(drawn):
+    drawn = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow().combine_chunks()
+    if not drawn.num_rows:
         return empty
     total = good.count()
     plan = spark.sparkContext.broadcast(
-        Plan(drawn["vec_id"].to_numpy(), np.array(drawn["v"].tolist(), dtype=np.float64), total)
+        Plan(drawn["vec_id"].to_numpy(), _matrix(drawn["v"].combine_chunks(), dimension), total)
     )
     home = scratch.write(
         good.mapInArrow(partial(_assign, plan), "list int, vec_id long, v array<double>").withColumn(
