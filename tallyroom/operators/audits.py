@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.functions.money import cents, ratio, rounded, usd
-from tallyroom.operators.checks import orphan_rows
+from tallyroom.operators.checks import orphan_rows, orphan_totals
 from tallyroom.schemas import EMAIL_PATTERN, REGIONS, SEGMENTS
 
 NULL_AUDIT = {
@@ -170,16 +170,11 @@ def dq_domain(
 
 
 def dq_referential(customers: DataFrame, products: DataFrame, txn: DataFrame) -> DataFrame:
-    named = [
-        ("orphan customer_id in transactions", customers, "customer_id"),
-        ("orphan product_id in transactions", products, "product_id"),
-    ]
-    return _union(
-        [
-            orphan_count(txn, parent, key, "violations").select(F.lit(n).alias("check_name"), "violations")
-            for n, parent, key in named
-        ]
+    labels = F.when(F.col("column") == "customer_id", "orphan customer_id in transactions").otherwise(
+        "orphan product_id in transactions"
     )
+    totals = orphan_totals(txn, {"customer_id": customers, "product_id": products})
+    return totals.select(labels.alias("check_name"), F.col("orphans").alias("violations"))
 
 
 def dq_outliers(txn: DataFrame, threshold: float = 4.0) -> DataFrame:
@@ -240,11 +235,11 @@ def dq_scorecard(customers: DataFrame, products: DataFrame, txn: DataFrame) -> D
     parts = [
         duplicates.select(F.lit("DQ-02: Duplicate PKs").alias("check_name"), "violations"),
         rows,
-        orphan_count(txn, customers, "customer_id", "violations").select(
-            F.lit("DQ-06: Orphan customer FK").alias("check_name"), "violations"
-        ),
-        orphan_count(txn, products, "product_id", "violations").select(
-            F.lit("DQ-06: Orphan product FK").alias("check_name"), "violations"
+        orphan_totals(txn, {"customer_id": customers, "product_id": products}).select(
+            F.when(F.col("column") == "customer_id", "DQ-06: Orphan customer FK")
+            .otherwise("DQ-06: Orphan product FK")
+            .alias("check_name"),
+            F.col("orphans").alias("violations"),
         ),
     ]
     return (
@@ -261,15 +256,18 @@ def integrity_summary(customers: DataFrame, products: DataFrame, txn: DataFrame)
         per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
         return per_key.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0))).scalar()
 
-    def orphans(parent: DataFrame, key: str) -> Column:
-        return orphan_count(txn, parent, key, "c").scalar()
-
+    of = lambda key: F.coalesce(F.sum(F.when(F.col("column") == key, F.col("orphans"))), F.lit(0))
+    orphans = (
+        orphan_totals(txn, {"customer_id": customers, "product_id": products})
+        .agg(F.struct(of("customer_id").alias("customers"), of("product_id").alias("products")))
+        .scalar()
+    )
     bad_ship = ship_before_order(txn)
     return bad_ship.select(
         repeats(customers, "customer_id").alias("duplicate_customers"),
         repeats(products, "product_id").alias("duplicate_products"),
         repeats(txn, "transaction_id").alias("duplicate_transactions"),
-        orphans(customers, "customer_id").alias("orphan_customers"),
-        orphans(products, "product_id").alias("orphan_products"),
+        orphans["customers"].alias("orphan_customers"),
+        orphans["products"].alias("orphan_products"),
         F.col("ship_before_order_count").alias("bad_ship_dates"),
     )

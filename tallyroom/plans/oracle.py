@@ -436,8 +436,7 @@ GROUP BY t.region, t.year, t.month""",
     ),
     "derive_margin_pct": _q("SELECT product_id, margin_pct FROM prod"),
     "drop_orphans": _q(
-        f"""SELECT transaction_id, customer_id, product_id FROM tp JOIN cust USING (customer_id)
-WHERE category IN ('PROMO', 'SMALL') AND segment IN {_SEG3}"""
+        "SELECT transaction_id, customer_id, product_id FROM txn WHERE quantity % 17 <> 0 AND quantity % 19 <> 0"
     ),
     "filter_positive_quantity": _q(
         "SELECT transaction_id, product_id, q AS quantity FROM numt WHERE q > 0", raw=True
@@ -553,15 +552,17 @@ WHERE category IN ('PROMO', 'SMALL') AND segment IN {_SEG3}"""
     "duplicate_keys_customers": _q(
         "SELECT customer_id, COUNT(*) AS cnt FROM rawc GROUP BY customer_id HAVING COUNT(*) > 1", raw=True
     ),
-    "duplicate_keys_products": _q("SELECT product_id, COUNT(*) AS cnt FROM prod GROUP BY product_id HAVING COUNT(*) > 1"),
+    "duplicate_keys_products": _q(
+        """SELECT CAST(l_partkey AS VARCHAR) AS product_id, COUNT(DISTINCT l_suppkey) AS cnt FROM lineitem
+GROUP BY l_partkey HAVING COUNT(DISTINCT l_suppkey) > 1"""
+    ),
     "duplicate_keys_transactions": _q(
         "SELECT transaction_id, COUNT(*) AS cnt FROM rawt GROUP BY transaction_id HAVING COUNT(*) > 1", raw=True
     ),
     "orphan_customers": _q(
-        f"""SELECT COUNT(*) AS orphan_customer_count FROM txn
-WHERE customer_id NOT IN (SELECT customer_id FROM cust WHERE segment IN {_SEG3})"""
+        "SELECT COUNT(*) AS orphan_customer_count FROM txn WHERE quantity % 17 = 0"
     ),
-    "orphan_products": _q("SELECT COUNT(*) AS orphan_product_count FROM tp WHERE category = 'PROMO'"),
+    "orphan_products": _q("SELECT COUNT(*) AS orphan_product_count FROM txn WHERE quantity % 19 = 0"),
     "invalid_regions": _q(f"SELECT DISTINCT region AS invalid_region FROM txn WHERE region NOT IN {_ASIA4}"),
     "invalid_segments": _q(f"SELECT DISTINCT segment AS invalid_segment FROM cust WHERE segment NOT IN {_SEG3}"),
     "invalid_discounts": _q("SELECT COUNT(*) AS invalid_discount_count FROM numt WHERE d NOT BETWEEN 0 AND 1", raw=True),
@@ -668,7 +669,13 @@ WHERE NOT regexp_matches(email, '^[a-z0-9._%+\-]+@[a-z0-9.\-]+[.][a-z]{2,}$')"""
     "check_domain": _q(_domain("customers", "region", _ASIA4, "cust")),
     "check_range": _q(_range("transactions", "quantity", 1, 40, "rawt"), raw=True),
     "check_referential": _q(
-        _refer("transactions", "customer_id", "customers", "txn", f"cust WHERE segment IN {_SEG3}")
+        _refer(
+            "transactions",
+            "customer_id",
+            "customers",
+            "(SELECT CASE WHEN quantity % 17 = 0 THEN 'C' || customer_id ELSE customer_id END AS customer_id FROM txn)",
+            "cust",
+        )
     ),
     "check_date_order": _q(_dates("transactions", "txn")),
     "check_stat": _q(_mean("transactions", "quantity", 1.0, 4.0, "txn")),

@@ -247,9 +247,7 @@ def _shown(products: DataFrame) -> DataFrame:
 
 
 def _drop_orphans(s: Star) -> DataFrame:
-    known_customers = s.customers(signup=False).where(F.col("segment").isin(*ALLOWED_SEGMENTS))
-    known_products = s.products().where(F.col("category").isin("PROMO", "SMALL"))
-    return cleaning.drop_orphans(s.transactions(region=False), known_customers, known_products).select(
+    return cleaning.drop_orphans(s.loose_transactions(), s.customers(signup=False), s.products()).select(
         "transaction_id", "customer_id", "product_id"
     )
 
@@ -353,17 +351,17 @@ QUERIES: dict[str, Q] = {
     ),
     # raw tables repeat their keys, the curated ones do not
     "duplicate_keys_customers": lambda s: audits.duplicate_keys(s.raw_customers(), "customer_id"),
-    "duplicate_keys_products": lambda s: audits.duplicate_keys(s.products(), "product_id"),
+    "duplicate_keys_products": lambda s: audits.duplicate_keys(s.offers(), "product_id"),
     "duplicate_keys_transactions": lambda s: audits.duplicate_keys(s.raw_transactions(), "transaction_id"),
     "orphan_customers": lambda s: audits.orphan_count(
-        s.transactions(region=False),
-        s.customers(signup=False).where(F.col("segment").isin(*ALLOWED_SEGMENTS)),
+        s.loose_transactions(),
+        s.customers(signup=False),
         "customer_id",
         "orphan_customer_count",
     ),
     "orphan_products": lambda s: audits.orphan_count(
-        s.transactions(region=False),
-        s.products().where(F.col("category") != "PROMO"),
+        s.loose_transactions(),
+        s.products(),
         "product_id",
         "orphan_product_count",
     ),
@@ -402,10 +400,10 @@ QUERIES: dict[str, Q] = {
     "check_domain": lambda s: checks.check_domain(s.customers(signup=False), "customers", "region", ALLOWED_REGIONS),
     "check_range": lambda s: checks.check_range(s.raw_transactions(), "transactions", "quantity", 1, 40),
     "check_referential": lambda s: checks.check_referential(
-        s.transactions(region=False),
+        s.loose_transactions(),
         "transactions",
         "customer_id",
-        s.customers(signup=False).where(F.col("segment").isin(*ALLOWED_SEGMENTS)),
+        s.customers(signup=False),
         "customers",
     ),
     "check_date_order": lambda s: checks.check_date_order(

@@ -162,6 +162,20 @@ class Star:
             *cols, F.year(order_date).alias("year"), F.month(order_date).alias("month")
         )
 
+    def loose_transactions(self) -> DataFrame:
+        """Transactions of which some name a customer or a product that does not exist."""
+        units, customer, product = F.col("quantity"), F.col("customer_id"), F.col("product_id")
+        return self.transactions(region=False).withColumns(
+            {
+                "customer_id": F.when(units % 17 == 0, F.concat(F.lit("C"), customer)).otherwise(customer),
+                "product_id": F.when(units % 19 == 0, F.concat(F.lit("P"), product)).otherwise(product),
+            }
+        )
+
+    def offers(self) -> DataFrame:
+        """Products as their suppliers list them: one row per product and supplier, so products repeat."""
+        return self.table("lineitem").select(F.col("l_partkey").cast("string").alias("product_id"), "l_suppkey").distinct()
+
     def register_views(self, prefix: str = "") -> dict[str, DataFrame]:
         """Temporary views of the three retail tables, for SQL users."""
         made = {
