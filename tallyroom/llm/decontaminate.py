@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import fresh, text_or_empty
+from .store import fresh, sliced, text_or_empty
 
 PASSAGE = 96
 STRIDE = PASSAGE // 2
@@ -234,8 +234,11 @@ class Index:
         return out
 
 
-def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> list[Index]:
-    """Indexes of at most about ``most`` bytes of item texts each; null and wordless items are left out."""
+def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> Iterator[Index]:
+    """Indexes of at most about ``most`` bytes of item texts each; null and wordless items are left out.
+
+    They are made one after the other: the driver holds one at a time.
+    """
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
         .where(F.col("item_id").isNotNull() & F.col("text").rlike(r"\w"))
@@ -244,10 +247,8 @@ def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> list[Index]:
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, math.ceil(size / most))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    return [
-        Index([(r["item_id"], r["text"]) for r in items.where(number == i).orderBy("item_id", "text").collect()])
-        for i in range(shards)
-    ]
+    for i in range(shards):
+        yield Index([(r["item_id"], r["text"]) for r in items.where(number == i).orderBy("item_id", "text").collect()])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -275,7 +276,7 @@ def _finder(docs: DataFrame, index: Index):
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index = shared.value
-        for b in batches:
+        for b in sliced(batches):
             got = [
                 (d, *leak)
                 for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
@@ -303,7 +304,7 @@ def _without(docs: DataFrame, index: Index) -> DataFrame:
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index = shared.value
-        for b in batches:
+        for b in sliced(batches):
             keep = pa.array([not ix.leaks(t) for t in b.column(width).to_pylist()], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(i).filter(keep) for i in range(width)], names)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import Scratch, text_or_empty
+from .store import Scratch, sliced, text_or_empty
 from .tokens import encoder
 
 LENGTH = 4096
@@ -29,7 +29,7 @@ END = 2
 def _tokenise(path: str, end: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     code, tail = encoder(path), np.array([end], dtype="<u4").tobytes()
     kind = "<u2" if max(code.tokenizer.get_vocab_size(), end) < 1 << 16 else "<u4"
-    for b in batches:
+    for b in sliced(batches):
         ids = [np.frombuffer(code.packed(t) + tail, dtype="<u4").astype(kind) for t in b.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -118,7 +118,7 @@ def _pieces(scratch: Scratch, docs: DataFrame, weights: dict[str, float] | None,
 
 
 def _slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         doc, start, length, crc, total, seq, offset = [], [], [], [], [], [], []
         for d, n, ids, cuts in zip(*(c.to_pylist() for c in b.columns), strict=True):
             all_ids = np.frombuffer(ids, dtype=f"<u{len(ids) // n}").astype("<u4")

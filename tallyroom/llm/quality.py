@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import held_out, sample_labelled
-from .store import fresh, text_or_empty
+from .store import fresh, sliced, text_or_empty
 
 BITS = 18
 #: Most labelled documents that the model is fitted on.
@@ -111,7 +111,7 @@ def scored(docs: DataFrame, weights: np.ndarray, name: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value.astype(np.float64)
-        for b in batches:
+        for b in sliced(batches):
             got = pa.array([score(w, t) for t in b.column(width).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(width)), got], names)
 

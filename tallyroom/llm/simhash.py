@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .store import Scratch, fresh, text_or_empty
+from .store import Scratch, fresh, sliced, text_or_empty
 
 SHINGLE = 4
 SEED = 42
@@ -55,7 +55,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         made = [fingerprint(t) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(2), pa.array(made, pa.int64())], ["doc_id", "text_hash", "fp"]

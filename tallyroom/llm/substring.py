@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import Scratch, text_or_empty
+from .store import Scratch, sliced, text_or_empty
 
 LENGTH = 50
 
@@ -77,7 +77,7 @@ def representatives(values: np.ndarray, length: int) -> np.ndarray:
 
 
 def _first_pass(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         count, digest, marks = [], [], []
         for t in b.column(1).to_pylist():
             words = t.split()
@@ -101,7 +101,7 @@ def _first_pass(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 
 def _second_pass(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Full windows whose representative is repeated, one row per document and different window."""
-    for b in batches:
+    for b in sliced(batches):
         key, name, high, low, place = [], [], [], [], []
         for doc, text_hash, text, marks in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
             values = word_hashes(text.split())
@@ -142,7 +142,7 @@ def covered(n_words: int, starts: np.ndarray, length: int) -> np.ndarray:
 
 
 def _third_pass(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         removed, kept_text = [], []
         for text, starts in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
             words = text.split()

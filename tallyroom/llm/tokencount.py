@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .secrets import Rule, found
-from .store import text_or_empty
+from .store import sliced, text_or_empty
 from .tokens import KNOWN, encoder
 
 _SYNC = re.compile(r"(?<=\S)(?=[ \t\n\r])")
@@ -116,7 +116,7 @@ class Tree:
 
 def _count(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = Counts(path)
-    for b in batches:
+    for b in sliced(batches):
         made = []
         for doc, text, edits in zip(*(c.to_pylist() for c in b.columns), strict=True):
             tree = Tree(text, counts)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import text_or_empty
+from .store import sliced, text_or_empty
 from .tokens import encoder
 
 BLOCK = 128
@@ -147,7 +147,7 @@ def _write_segments(path: str, end: int, batches: Iterator[pa.RecordBatch]) -> I
         docs, counts, held, size = [], [], [], 0
         return out
 
-    for b in batches:
+    for b in sliced(batches):
         for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             ids = code.packed(text) + tail
             docs.append(doc)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import held_out, sample_labelled
-from .store import text_or_empty
+from .store import sliced, text_or_empty
 
 #: Most labelled documents that lexicon, trees and calibration are fitted on.
 SAMPLE = 8_000
@@ -242,7 +242,7 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model.load(shared.value)
-        for b in batches:
+        for b in sliced(batches):
             got = pa.array(model.scores(b.column(1).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), got], ["doc_id", "score"])
 

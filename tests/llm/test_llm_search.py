@@ -60,7 +60,7 @@ def test_leaks_in_other_case_and_marks(spark, docs_of):
 
 def test_many_small_indexes_find_the_same(spark):
     bench, docs = table(spark, SMALL, "benchmark"), table(spark, SMALL, "documents")
-    parts = decontaminate.indexes(bench, 4_000)
+    parts = list(decontaminate.indexes(bench, 4_000))
     assert len(parts) > 1 and sum(len(p.items) for p in parts) == bench.count()
     found = {(d.doc_id, leak[0]) for d in docs.collect() for p in parts for leak in p.leaks(d.text)}
     assert found == {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
