@@ -68,12 +68,14 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items, parts, self.item_of = [], [], []
-        for number, (item, text) in enumerate(items):
+        for item, text in items:
             question, answer = question_and_answer(text)
             whole = question + answer
+            if not whole:
+                continue
+            number = len(self.items)
             self.items.append((item, shingles(whole), *_sides(whole, len(question))))
-            pieces = max(1, math.ceil(len(whole) / STRIDE))
-            size = math.ceil(len(whole) / pieces) if whole else 1
+            size = math.ceil(len(whole) / math.ceil(len(whole) / STRIDE))
             for i in range(0, len(whole), size):
                 parts.append(Counter(whole[i : i + size]))
                 self.item_of.append(number)
@@ -241,7 +243,7 @@ def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> Iterator[Index]:
     """
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
-        .where(F.col("item_id").isNotNull() & F.col("text").rlike(r"\w"))
+        .where(F.col("item_id").isNotNull() & (F.col("text") != ""))
         .distinct()
     )
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]

@@ -58,6 +58,20 @@ def test_leaks_in_other_case_and_marks(spark, docs_of):
     assert decontaminate.drop_leaky(docs_of(), bench).count() == 0
 
 
+def test_items_without_latin_letters(spark, docs_of):
+    items = {
+        1: "Какая река протекает через весь город и впадает в море? Это широкая и спокойная Нева.",
+        2: "Ποιο είναι το ψηλότερο βουνό της χώρας αυτής σήμερα; Είναι ο Όλυμπος στη Θεσσαλία.",
+        3: "?! ... -- !",
+    }
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = [(1, f"{LONG} {items[1]} {LONG}"), (2, f"{items[2].upper()} {LONG}"), (3, f"{LONG} {items[3]}"), (4, "Это река.")]
+    docs = docs_of(*rows)
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()) == [(1, 1), (2, 2)]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaky(docs, bench).collect()) == [3, 4]
+    assert sum(len(p.items) for p in decontaminate.indexes(bench)) == 2
+
+
 def test_many_small_indexes_find_the_same(spark):
     bench, docs = table(spark, SMALL, "benchmark"), table(spark, SMALL, "documents")
     parts = list(decontaminate.indexes(bench, 4_000))
