@@ -32,17 +32,24 @@ COMMON = 0.25
 INDEX_BYTES = 32 << 20
 _K1, _B = 1.2, 0.75
 _WORD = re.compile(r"\w+")
+#: Scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Han.
+_DENSE = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_ANY_WORD = re.compile(rf"[^\W{_DENSE}]+|(?=\w)[{_DENSE}]")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters and digits in lower case; each character of a script without spaces is a word."""
+    return (_WORD if text.isascii() else _ANY_WORD).findall(text.lower())
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    """Five-word shingles; the whole sequence if it is shorter, none if it is empty."""
-    if len(words) < SHINGLE:
+def shingles(words: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
+    """Shingles of ``size`` words; the whole sequence if it is shorter, none if it is empty."""
+    if len(words) < size:
         return {tuple(words)} if words else set()
-    return set(zip(*(words[i:] for i in range(SHINGLE)), strict=False))
+    return set(zip(*(words[i:] for i in range(size)), strict=False))
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -68,12 +75,14 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items, parts, self.item_of = [], [], []
+        self.size_of: list[int] = []  # of an item's shingles: an item of fewer than five words is one
         for item, text in items:
             question, answer = question_and_answer(text)
             whole = question + answer
             if not whole:
                 continue
             number = len(self.items)
+            self.size_of.append(min(SHINGLE, len(whole)))
             self.items.append((item, shingles(whole), *_sides(whole, len(question))))
             size = math.ceil(len(whole) / math.ceil(len(whole) / STRIDE))
             for i in range(0, len(whole), size):
@@ -224,7 +233,7 @@ class Index:
             for part, score in self.retrieve(list(here), share).items():
                 item = self.item_of[part]
                 best[item] = max(score, best.get(item, 0.0))
-                seen[item] |= shingles(words[s : s + PASSAGE])
+                seen[item] |= shingles(words[s : s + PASSAGE], self.size_of[item])
         out = []
         for item, score in best.items():
             name, whole, question, answer = self.items[item]
@@ -257,8 +266,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, score, question_overlap, answer_overlap)``, one row per leaked item of a row.
 
     A leak is an item whose question and answer both, or which as a whole, has at least four fifths of
-    its five-word shingles in the passages that retrieve it. Letters count in either case, marks do
-    not count. Null and empty texts hold no leaks; rows that repeat an id are searched one by one; an
+    its five-word shingles in the passages that retrieve it; an item of fewer words must occur as a
+    whole, word by word. Letters count in either case, marks do not count; see ``words_of``. Null and empty texts hold no leaks; rows that repeat an id are searched one by one; an
     empty benchmark gives no rows. The benchmark does not grow with the corpus; its size is measured,
     and one that exceeds an index is searched index by index, each over all documents.
     """

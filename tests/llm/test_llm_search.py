@@ -72,6 +72,24 @@ def test_items_without_latin_letters(spark, docs_of):
     assert sum(len(p.items) for p in decontaminate.indexes(bench)) == 2
 
 
+def test_short_items(spark, docs_of):
+    items = {1: "Capital of France? Paris.", 2: "Zugspitze?", 3: "法国的首都是哪个城市?巴黎。", 4: "日本の首都は?東京"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = [
+        (1, f"{LONG} capital of France -- PARIS {LONG}"),
+        (2, "no France capital of Paris or Paris capital of any France is meant here"),
+        (3, "and then to the Zugspitze they went in one day"),
+        (4, f"有人问{items[3]}他说。"),
+        (5, f"{LONG} 質問:{items[4]}です {LONG}"),
+        (6, "巴黎是一个很大的城市,法国人都知道。"),
+        (7, "Capital of France? Paris."),
+    ]
+    docs = docs_of(*rows)
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect())
+    assert got == [(1, 1), (3, 2), (4, 3), (5, 4), (7, 1)]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaky(docs, bench).collect()) == [2, 6]
+
+
 def test_many_small_indexes_find_the_same(spark):
     bench, docs = table(spark, SMALL, "benchmark"), table(spark, SMALL, "documents")
     parts = list(decontaminate.indexes(bench, 4_000))
