@@ -12,13 +12,14 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import fresh, sliced, text_or_empty
+from .store import Scratch, fresh, sliced, text_or_empty
 
 PASSAGE = 96
 STRIDE = PASSAGE // 2
@@ -70,10 +71,27 @@ def _sides(whole: list[str], question: int) -> tuple[set, set]:
     return set(in_order[:inside]), set(in_order[inside:] or in_order[-1:])
 
 
+def parts_of(whole: list[str]) -> list[Counter]:
+    """Terms of the parts of an item, which are of about one size and no longer than half a passage."""
+    size = math.ceil(len(whole) / math.ceil(len(whole) / STRIDE)) if whole else 1
+    return [Counter(whole[i : i + size]) for i in range(0, len(whole), size)]
+
+
+class Tally(NamedTuple):
+    """Counts over a whole benchmark: parts, their words, and the parts that hold a term."""
+
+    parts: int
+    words: int
+    found: dict[str, int]
+
+
 class Index:
-    """Postings by term: part numbers ascending, their shares, and the largest share of each block."""
+    """Postings by term: part numbers ascending, their shares, and the largest share of each block.
+
+    Shares follow ``tally``, which must cover ``items``; without it the items are the whole benchmark.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], tally: Tally | None = None):
         self.items, parts, self.item_of = [], [], []
         self.size_of: list[int] = []  # of an item's shingles: an item of fewer than five words is one
         for item, text in items:
@@ -84,17 +102,18 @@ class Index:
             number = len(self.items)
             self.size_of.append(min(SHINGLE, len(whole)))
             self.items.append((item, shingles(whole), *_sides(whole, len(question))))
-            size = math.ceil(len(whole) / math.ceil(len(whole) / STRIDE))
-            for i in range(0, len(whole), size):
-                parts.append(Counter(whole[i : i + size]))
-                self.item_of.append(number)
-        found = Counter(t for p in parts for t in p)
-        mean = sum(p.total() for p in parts) / max(1, len(parts))
+            made = parts_of(whole)
+            parts += made
+            self.item_of += [number] * len(made)
+        if tally is None:
+            tally = Tally(len(parts), sum(p.total() for p in parts), Counter(t for p in parts for t in p))
+        total, found = tally.parts, tally.found
+        mean = tally.words / max(1, total)
         lists: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for number, part in enumerate(parts):
             norm = _K1 * (1 - _B + _B * part.total() / mean)
             weight = {
-                t: math.log(1 + (len(parts) - found[t] + 0.5) / (found[t] + 0.5)) * tf * (_K1 + 1) / (tf + norm)
+                t: math.log(1 + (total - found[t] + 0.5) / (found[t] + 0.5)) * tf * (_K1 + 1) / (tf + norm)
                 for t, tf in part.items()
             }
             whole = sum(weight.values())
@@ -248,7 +267,8 @@ class Index:
 def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> Iterator[Index]:
     """Indexes of at most about ``most`` bytes of item texts each; null and wordless items are left out.
 
-    They are made one after the other: the driver holds one at a time.
+    They are made one after the other: the driver holds one at a time. Shares are those of one index
+    over the whole benchmark, whose terms are counted beforehand where there are more indexes.
     """
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
@@ -257,9 +277,58 @@ def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> Iterator[Index]:
     )
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, math.ceil(size / most))
-    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    for i in range(shards):
-        yield Index([(r["item_id"], r["text"]) for r in items.where(number == i).orderBy("item_id", "text").collect()])
+    numbered = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+    scratch = counted = None
+    if shards > 1:
+        scratch = Scratch(benchmark.sparkSession, "decontaminate")
+        counted = scratch.write(_tallies(numbered), "tallies")
+    try:
+        for i in range(shards):
+            tally = None if counted is None else _tally(counted.where(F.col("shard") == i))
+            rows = numbered.where(F.col("shard") == i).orderBy("item_id", "text").collect()
+            yield Index([(r["item_id"], r["text"]) for r in rows], tally)
+    finally:
+        if scratch is not None:
+            scratch.clean()
+
+
+def _tallies(numbered: DataFrame) -> DataFrame:
+    """``(shard, term, n, words)``: for every term of a shard the parts of the whole benchmark that hold it.
+
+    The row without a term has the number of all parts and of their words.
+    """
+    kind = "shard long, term string, n long, words long"
+    each = numbered.select("shard", "text").mapInArrow(_count_terms, kind)
+    per_shard = each.groupBy("shard", "term").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    whole = Window.partitionBy("term")  # a row a shard
+    return per_shard.select("shard", "term", F.sum("n").over(whole).alias("n"), F.sum("words").over(whole).alias("words"))
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in sliced(batches):
+        n: Counter = Counter()
+        words: Counter = Counter()
+        for shard, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            question, answer = question_and_answer(text)
+            for part in parts_of(question + answer):
+                n.update((shard, t) for t in part)
+                n[shard, None] += 1
+                words[shard, None] += part.total()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([s for s, _ in n], pa.int64()),
+                pa.array([t for _, t in n], pa.string()),
+                pa.array(list(n.values()), pa.int64()),
+                pa.array([words[k] for k in n], pa.int64()),
+            ],
+            ["shard", "term", "n", "words"],
+        )
+
+
+def _tally(counted: DataFrame) -> Tally:
+    rows = counted.collect()
+    parts, words = next(((r["n"], r["words"]) for r in rows if r["term"] is None), (0, 0))
+    return Tally(parts, words, {r["term"]: r["n"] for r in rows if r["term"] is not None})
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -98,6 +98,24 @@ def test_many_small_indexes_find_the_same(spark):
     assert found == {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
 
 
+def test_shares_do_not_depend_on_the_number_of_indexes(spark):
+    bench = table(spark, SMALL, "benchmark")
+
+    def shares(indexes):
+        out = {}
+        for index in indexes:
+            terms = list(index.terms)
+            for t, (numbers, held, _) in enumerate(index.postings):
+                for number, share in zip(numbers, held, strict=True):
+                    item = index.item_of[number]
+                    out[index.items[item][0], number - index.item_of.index(item), terms[t]] = share
+        return out
+
+    many = list(decontaminate.indexes(bench, 4_000))
+    one = shares(decontaminate.indexes(bench))
+    assert len(many) > 1 and one and shares(many) == one
+
+
 def exact(vectors, query):
     ids = np.array(sorted(vectors))
     x = np.array([vectors[i] for i in ids])
