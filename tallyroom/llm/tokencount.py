@@ -22,10 +22,20 @@ from .store import sliced, text_or_empty
 from .tokens import KNOWN, encoder
 
 _SYNC = re.compile(r"(?<=\S)(?=[ \t\n\r])")
-#: Personal data that the query masks, and what stands for it.
+_HOST = r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: Personal data that the query masks, and what stands for it. A full stop may precede or follow a
+#: network address, a further number may not; one that begins a mail address is left to that.
 MASKS = (
-    (Rule("mail", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 1), "@", "<mail>"),
-    (Rule("ip", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])", 1), ".", "<ip>"),
+    (Rule("mail", rf"[A-Za-z0-9._%+-]+{_HOST}", 1), "@", "<mail>"),
+    (
+        Rule(
+            "ip",
+            rf"(?<![0-9])(?<![0-9]\.)[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?!\.?[0-9])(?![A-Za-z0-9._%+-]*+{_HOST})",
+            1,
+        ),
+        ".",
+        "<ip>",
+    ),
 )
 
 

@@ -59,6 +59,24 @@ def test_edit_touches_only_its_surroundings():
     assert tree.encoded <= 4 and tree.total == 10_001
 
 
+def test_masks_find_addresses_beside_marks_and_in_mails(spark, docs_of):
+    texts = {
+        1: ("server 10.0.0.12. Then", "server <ip>. Then"),
+        2: ("10.0.0.1@host.com wrote", "<mail> wrote"),
+        3: ("Done.10.0.0.1, 10.0.0.2...", "Done.<ip>, <ip>..."),
+        4: ("v1.10.0.0.1 and 10.0.0.1.5 and 10.0.0.1234", None),
+        5: ("10.0.0.1.me@a.b 10.0.0.1@host me@10.0.0.1.", "<mail> <ip>@host <mail>."),
+    }
+    masked = {}
+    for r in docs_of(*((d, t) for d, (t, _) in texts.items())).withColumn("_text", F.col("text")).select("*", tokencount.masks().alias("e")).collect():
+        assert len({e.start for e in r.e}) == len(r.e)
+        made, at = "", 0
+        for e in sorted(r.e):
+            made, at = (made + r.text[at : e.start] + e.new, e.end) if e.start >= at else (made, at)
+        masked[r.doc_id] = made + r.text[at:]
+    assert masked == {d: f"{want or t}\n" for d, (t, want) in texts.items()}
+
+
 def test_count_query_and_odd_rows(spark, docs_of):
     code = encoder(vocabulary("byte_bpe_50k.json"))
     texts = {r.doc_id: r.text for r in table(spark, SMALL, "documents").collect()}
