@@ -59,29 +59,35 @@ class Tree:
 
     def __init__(self, text: str, counts: Counts):
         self.text, self.counts = text, counts
-        leaves = _SYNC.split(text) if text else []
-        self.ends = np.cumsum(np.fromiter(map(len, leaves), dtype=np.int64, count=len(leaves)))
-        self.width = 1 << max(0, len(leaves) - 1).bit_length()
+        self._build(*self._encode(_SYNC.split(text) if text else []))
+        self.encoded = 0
+
+    def _encode(self, leaves: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and token counts of leaves."""
+        return tuple(np.fromiter(map(f, leaves), dtype=np.int64, count=len(leaves)) for f in (len, self.counts.__getitem__))
+
+    def _build(self, lengths: np.ndarray, values: np.ndarray) -> None:
+        self.ends = np.cumsum(lengths)
+        self.width = 1 << max(0, len(values) - 1).bit_length()
         self.sums = np.zeros(2 * self.width, dtype=np.int64)
-        self.sums[self.width : self.width + len(leaves)] = np.fromiter(
-            map(counts.__getitem__, leaves), dtype=np.int64, count=len(leaves)
-        )
+        self.sums[self.width : self.width + len(values)] = values
         low = self.width
         while low > 1:
             self.sums[low // 2 : low] = self.sums[low : 2 * low].reshape(-1, 2).sum(axis=1)
             low //= 2
-        self.encoded = 0
+        self._edited: list[tuple[int, int, str, np.ndarray, np.ndarray]] = []  # low, high, region and its leaves
 
     @property
     def total(self) -> int:
         return int(self.sums[1])
 
     def apply(self, edits: list[tuple[int, int, str]]) -> int:
-        """The count after replacing each ``text[start:end]``; positions are in the text as it was.
+        """The count after replacing each ``text[start:end]``; positions are in the text before this call.
 
         Edits are taken by start; one that begins before the end of an earlier one is left out, as is
         one outside the text. Returns how many were applied.
         """
+        self._settle()
         groups: list[tuple[int, int, list]] = []
         done, applied = 0, 0
         for start, end, new in sorted(edits):
@@ -112,10 +118,30 @@ class Tree:
         region = "".join([*made, self.text[at:stop]])
         leaves = _SYNC.split(region) if region else []
         self.encoded += len(leaves)
-        self._set(low, sum(map(self.counts.__getitem__, leaves)))
+        lengths, values = self._encode(leaves)
+        self._edited.append((low, high, region, lengths, values))
+        self._set(low, int(values.sum()))
         for leaf in range(low + 1, high + 1):
             self._set(leaf, 0)
 
+    def _settle(self) -> None:
+        """Puts the regions of the batch before into text and leaves; nothing is encoded for it."""
+        if not self._edited:
+            return
+        old_lengths, old_values = np.diff(self.ends, prepend=0), self.sums[self.width : self.width + len(self.ends)]
+        texts, lengths, values, at = [], [], [], 0
+        for low, high, region, new_lengths, new_values in self._edited:
+            texts += [self._stretch(at, low), region]
+            lengths += [old_lengths[at:low], new_lengths]
+            values += [old_values[at:low], new_values]
+            at = high + 1
+        self.text = "".join([*texts, self._stretch(at, len(self.ends))])
+        self._build(np.concatenate([*lengths, old_lengths[at:]]), np.concatenate([*values, old_values[at:]]))
+
+    def _stretch(self, low: int, high: int) -> str:
+        """Text of the leaves from ``low`` up to ``high``."""
+        return self.text[int(self.ends[low - 1]) if low else 0 : int(self.ends[high - 1])] if low < high else ""
+
     def _set(self, leaf: int, value: int) -> None:
         node = self.width + leaf
         change = value - int(self.sums[node])

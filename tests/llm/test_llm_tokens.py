@@ -53,6 +53,30 @@ def test_edited_counts_equal_counting_anew(parts, rng):
     assert tree.total == len(library.encode(edited, add_special_tokens=False).ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=12), st.randoms(use_true_random=False))
+def test_batches_of_edits_follow_one_another(parts, rng):
+    text = "".join(parts)
+    library = encoder(vocabulary("byte_bpe_50k.json")).tokenizer
+    tree = tokencount.Tree(text, tokencount.Counts(vocabulary("byte_bpe_50k.json")))
+    for _ in range(3):
+        points = sorted(rng.randint(0, len(text)) for _ in range(2 * rng.randint(0, 3)))
+        edits = {a: (a, b, "".join(rng.choices(PARTS, k=rng.randint(0, 3)))) for a, b in zip(points[::2], points[1::2], strict=True)}
+        edited, at = "", 0
+        for a, b, new in edits.values():
+            edited, at = edited + text[at:a] + new, b
+        text = edited + text[at:]
+        assert tree.apply(list(edits.values())) == len(edits)
+        assert tree.total == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_later_batches_encode_only_their_surroundings():
+    tree = tokencount.Tree("word " * 10_000, tokencount.Counts(vocabulary("byte_bpe_50k.json")))
+    for at in (25_000, 30_005, 5):
+        tree.apply([(at, at + 4, "other one")])
+    assert tree.encoded <= 12 and tree.total == 10_004
+
+
 def test_edit_touches_only_its_surroundings():
     tree = tokencount.Tree("word " * 10_000, tokencount.Counts(vocabulary("byte_bpe_50k.json")))
     tree.apply([(25_000, 25_004, "other")])
