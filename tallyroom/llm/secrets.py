@@ -5,7 +5,7 @@ Everything is a DataFrame expression; the only Python work is turning the rules
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +53,23 @@ MORE = (
 )
 RULES = (*BASE, *MORE)
 
+_GAP = r"(?:[ \t\r\n]|\\[nr])"  # line breaks may be written as escapes
+_PEM_END = "-----END [A-Z ]*PRIVATE KEY-----"
+#: What is masked: a private key up to its END line or, without one, over the base64 lines that follow.
+#: Reports name the place of a key by its BEGIN line. Possessive loops keep Java off its stack.
+MASKED = tuple(
+    replace(
+        r,
+        pattern=r.pattern
+        + rf"(?:(?:(?!-----BEGIN |{_PEM_END})[\s\S])*+{_PEM_END}"
+        + rf"|(?:{_GAP}++(?:Proc-Type|DEK-Info): [^\r\n]*+)*+(?:{_GAP}++[A-Za-z0-9+/]{{32,}}+={{0,2}})++"
+        + rf"(?:(?:[\r\n]|\\[nr])++[ \t]*+[A-Za-z0-9+/]{{1,31}}+={{0,2}}(?=[ \t]*(?:[\r\n]|\\[nr]|$)))?)?",
+    )
+    if r.kind == "pem"
+    else r
+    for r in RULES
+)
+
 
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
     """The inverted index ``(gram, doc)`` over the trigrams that some rule asks for.
@@ -189,7 +206,7 @@ def report(docs: DataFrame) -> DataFrame:
 MASK = "[SECRET]"
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = MASKED) -> DataFrame:
     """``docs`` with every secret's span replaced by ``[SECRET]``; ``n_chars`` follows where it exists.
 
     Overlapping spans count as one. Texts without secrets, null ones included, stay as they are.
