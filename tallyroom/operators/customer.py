@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.functions.durable import durable
-from tallyroom.functions.measures import key_count, measure
+from tallyroom.functions.measures import by_customer_group, key_count, measure
 from tallyroom.functions.money import (
     cents,
     fine_sum,
@@ -444,15 +444,9 @@ def customer_features(txn: DataFrame) -> DataFrame:
 def segment_overview(txn: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue, customers, orders and revenue per customer of each segment.
 
-    Sales are added up per customer first, so the join is one to one.  A
-    transaction id is taken to belong to one customer.
+    Sales are added up per customer first, so the join is one to one.
     """
-    m = (
-        measure(txn, ["customer_id"], "revenue", "orders")
-        .join(customers.select("customer_id", "segment"), "customer_id")
-        .groupBy("segment")
-        .agg(F.sum("revenue").alias("revenue"), F.count("customer_id").alias("customers"), F.sum("orders").alias("orders"))
-    )
+    m = by_customer_group(txn, customers, "segment")
     whole = F.sum("revenue").over(Window.partitionBy())
     return m.select(
         "segment",

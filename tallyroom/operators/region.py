@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyroom.functions.measures import discount_pct, measure, profit_cells, with_products
+from tallyroom.functions.measures import by_customer_group, discount_pct, measure, profit_cells, with_products
 from tallyroom.functions.money import (
     band,
     cents,
@@ -78,15 +78,9 @@ def region_years(txn: DataFrame) -> DataFrame:
 def top_cities_by_region(txn: DataFrame, customers: DataFrame, top: int = 5) -> DataFrame:
     """Best cities of each region, where region and city are the customer's.
 
-    Sales are added up per customer first, so the join is one to one.  A
-    transaction id is taken to belong to one customer.
+    Sales are added up per customer first, so the join is one to one.
     """
-    m = (
-        measure(txn, ["customer_id"], "revenue", "orders")
-        .join(customers.select("customer_id", "region", "city"), "customer_id")
-        .groupBy("region", "city")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
-    )
+    m = by_customer_group(txn, customers, "region", "city")
     best = Window.partitionBy("region").orderBy(F.desc("revenue"), "city")
     return (
         m.withColumn("city_rank", F.row_number().over(best))

@@ -198,3 +198,20 @@ def test_wide_reports_have_every_column_or_refuse(spark, txn_of, product_of):
         region.profit_matrix(txn, products, ["old"]).collect()
     with pytest.raises(Exception, match="year not listed: 2031"):
         region.region_growth_table(txn, [2020]).collect()
+
+
+def test_orders_shared_by_customers_of_a_group_count_once(spark, txn_of):
+    from tallyroom.functions.measures import declare_unique
+    from tallyroom.operators import customer, region
+
+    who = spark.createDataFrame(
+        [("a", "West", "X", "S"), ("b", "West", "X", "S"), ("c", "West", "Y", None)],
+        "customer_id string, region string, city string, segment string",
+    )
+    rows = [("a", "t1"), ("a", "t1"), ("a", "t2"), ("b", "t1"), ("b", "t3"), ("c", "t1")]
+    txn = txn_of(*[{"customer_id": c, "transaction_id": t} for c, t in rows])
+    assert {r.city: (r.orders, r.revenue) for r in region.top_cities_by_region(txn, who).collect()} == {"X": (3, 50.0), "Y": (1, 10.0)}
+    got = {r.segment: (r.orders, r.customers) for r in customer.segment_overview(txn, who).collect()}
+    assert got == {"S": (3, 2), None: (1, 1)}
+    unique = declare_unique(txn_of(*[{"customer_id": c} for c, _ in rows]))
+    assert {r.segment: r.orders for r in customer.segment_overview(unique, who).collect()} == {"S": 5, None: 1}
