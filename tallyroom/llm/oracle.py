@@ -79,4 +79,71 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(words), 0) A
 FROM docs LEFT JOIN lost USING (r)
 """
 
-ORACLE: dict[str, str] = {"op2_secrets": _SECRETS, "op8_substring_dedup": _SUBSTRING}
+#: crc32 by its defining polynomial: the 256 remainders come from a rule, then one step per byte.
+_VARIANTS = """
+WITH RECURSIVE remainders AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+                            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS t
+    FROM range(256) r(i)
+),
+runs AS MATERIALIZED (
+    SELECT d, w, count(*) AS c
+    FROM (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+               translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{00C0}-\\x{00FF}]{7,}')),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+        FROM documents
+    ) GROUP BY d, w
+),
+bytes AS (
+    SELECT d, w, c,
+           list_transform(range(1, len(x), 2),
+               lambda j: 16 * (instr('0123456789ABCDEF', x[j]) - 1) + instr('0123456789ABCDEF', x[j + 1]) - 1) AS b
+    FROM (SELECT *, hex(encode(d || ':' || w)) AS x FROM runs)
+),
+hashed AS MATERIALIZED (
+    SELECT w, c, xor(list_reduce(list_prepend(4294967295, b), lambda a, v: xor(a >> 8, t[(xor(a, v) & 255) + 1])), 4294967295) AS h
+    FROM bytes, remainders
+),
+counted AS (
+    SELECT CASE WHEN h % 31 = 0 THEN w[1:CAST(h % length(w) AS BIGINT)] || w[CAST(h % length(w) AS BIGINT) + 2:] ELSE w END AS word,
+           sum(c) AS n
+    FROM hashed GROUP BY 1
+),
+words AS MATERIALIZED (SELECT word, CAST(n AS BIGINT) AS n FROM counted WHERE length(word) >= 7 AND n >= 2),
+skips AS MATERIALIZED (
+    SELECT word, n, i, word[1:i] AS a, word[i + 2:] AS b
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+),
+pairs AS (
+    SELECT x.word, y.word AS near, y.n AS m FROM skips x JOIN skips y USING (i, a, b) WHERE x.word <> y.word
+    UNION
+    SELECT s.word, w.word, w.n FROM skips s JOIN words w ON s.a || s.b = w.word
+    UNION
+    SELECT w.word, s.word, s.n FROM skips s JOIN words w ON s.a || s.b = w.word
+),
+best AS (
+    SELECT word, count(*) AS n_near, max(m) AS m, min(near) FILTER (m = top) AS near
+    FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM pairs) GROUP BY word
+),
+linked AS MATERIALIZED (
+    SELECT word, n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN m >= 10 * n THEN near END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+    FROM words LEFT JOIN best USING (word)
+),
+chains AS (
+    SELECT word, coalesce(form, word) AS root FROM linked
+    UNION
+    SELECT c.word, l.form FROM chains c JOIN linked l ON l.word = c.root WHERE l.form IS NOT NULL
+),
+roots AS (SELECT c.word, c.root FROM chains c JOIN linked l ON l.word = c.root WHERE l.form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM linked JOIN roots USING (word)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_secrets": _SECRETS,
+    "op8_substring_dedup": _SUBSTRING,
+    "op11_variants": _VARIANTS,
+}

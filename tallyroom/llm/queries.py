@@ -12,7 +12,19 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, packing, quality, secrets, simhash, substring, tokencount, tokenfile, toxicity
+from . import (
+    ann,
+    decontaminate,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substring,
+    tokencount,
+    tokenfile,
+    toxicity,
+    variants,
+)
 from .store import Scratch
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -81,6 +93,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.occurrences(table(spark, sf_dir, "documents")))
+
+
 _OPERATORS = (
     op1_decontaminate,
     op2_secrets,
@@ -92,6 +108,7 @@ _OPERATORS = (
     op8_substring_dedup,
     op9_token_counts,
     op10_nearest,
+    op11_variants,
 )
 
 
