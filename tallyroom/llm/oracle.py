@@ -142,8 +142,49 @@ SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIG
 FROM linked JOIN roots USING (word)
 """
 
+_SIZES = " UNION ALL ".join(
+    f"SELECT lang, w[i:i + {k - 1}] AS p, {k} AS size FROM placed WHERE i + {k - 1} <= len(w)" for k in range(1, 6)
+)
+_COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+        FROM documents
+    )
+),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+f AS MATERIALIZED (SELECT lang, p, size, count(*) AS f FROM ({_SIZES}) GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT * FROM f WHERE size > 1 AND f >= 100),
+parts AS (
+    SELECT lang, p[s:s + m - 1] AS p, max(f) AS longer
+    FROM (
+        SELECT *, unnest(range(1, size - m + 2)) AS s FROM (SELECT *, unnest(range(2, size)) AS m FROM candidates)
+    ) GROUP BY ALL
+),
+cuts AS (
+    SELECT c.*, unnest(range(1, size)) AS k FROM candidates c LEFT JOIN parts USING (lang, p)
+    WHERE longer IS NULL OR longer < f
+),
+scored AS (
+    SELECT c.lang, array_to_string(c.p, ' ') AS phrase, c.f AS a, n, c.k, x.f AS l, y.f AS r,
+           (CAST(1000 AS HUGEINT) * c.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+    JOIN totals t ON t.lang = c.lang
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM lowest QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_secrets": _SECRETS,
     "op8_substring_dedup": _SUBSTRING,
     "op11_variants": _VARIANTS,
+    "op12_collocations": _COLLOCATIONS,
 }

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from . import (
     ann,
+    collocations,
     decontaminate,
     packing,
+    personal,
     quality,
     secrets,
     simhash,
@@ -97,6 +99,14 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group(variants.occurrences(table(spark, sf_dir, "documents")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 _OPERATORS = (
     op1_decontaminate,
     op2_secrets,
@@ -109,6 +119,8 @@ _OPERATORS = (
     op9_token_counts,
     op10_nearest,
     op11_variants,
+    op12_collocations,
+    op13_personal,
 )
 
 
