@@ -182,9 +182,115 @@ SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DE
 FROM lowest QUALIFY rank <= 2000
 """
 
+_BLANK = "\\x20\\x09-\\x0D"
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_DIGITS = "regexp_replace({0}, '[^0-9]', '', 'g')"
+_PART = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_LUHN = (
+    "list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse(d)[i] AS INT)"
+    " ELSE 2 * CAST(reverse(d)[i] AS INT) - CASE WHEN CAST(reverse(d)[i] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"
+)
+#: kind, pattern, test of a match m with digits d
+_PERSONAL_KINDS = (
+    ("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", f"regexp_full_match(m, '({_PART}\\.){{3}}{_PART}')"),
+    ("card", "[0-9]([\\x20-]?[0-9])+", f"CASE WHEN length(d) BETWEEN 14 AND 19 THEN {_LUHN} ELSE false END"),
+    ("phone", "\\+[0-9][\\x20().0-9-]+[0-9]", "length(d) BETWEEN 10 AND 15"),
+)
+_TOKEN = f"[^{_BLANK}0-9@]*[0-9@][^{_BLANK}]*"
+_MENTION = f"{_TOKEN}(\\x20{_TOKEN}){{0,6}}"
+_EDGES = ".,;:!?\"''*$%&#<>[]{}|"
+
+
+def _matches(pattern: str) -> str:
+    """r, m, start, the pieces before and after: all matches of a pattern."""
+    return f"""
+        SELECT r, ms[i] AS m, ps[i] AS a, ps[i + 1] AS b,
+               CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+                    + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+        FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i
+              FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps
+                    FROM docs WHERE regexp_matches(t, '{pattern}')))"""
+
+
+def _seed(i: int) -> str:
+    kind, pattern, test = _PERSONAL_KINDS[i]
+    return f"""
+        SELECT DISTINCT value, {i} AS k FROM (
+            SELECT value, m, {_DIGITS.format("m")} AS d
+            FROM (SELECT value, unnest(regexp_extract_all(value, '{pattern}')) AS m FROM vals)
+        ) WHERE {test}"""
+
+
+def _round(n: int) -> str:
+    kinds = range(len(_PERSONAL_KINDS))
+    return f"""
+    conf{n} AS MATERIALIZED (
+        SELECT pattern, {", ".join(f"CASE WHEN g{k} >= 3 AND t{k} // (n + 2) >= 600 THEN t{k} // (n + 2) ELSE 0 END AS c{k}" for k in kinds)}
+        FROM (SELECT pattern, count(*) AS n, {", ".join(f"sum(s{k}) AS t{k}, count(*) FILTER (s{k} = 1000) AS g{k}" for k in kinds)}
+              FROM pairs JOIN score{n - 1} USING (value) GROUP BY pattern)
+    ),
+    reached{n} AS MATERIALIZED (
+        SELECT value, {", ".join(f"greatest(max(s{k}), max(c{k})) AS s{k}" for k in kinds)}
+        FROM pairs JOIN conf{n} USING (pattern) JOIN score0 USING (value)
+        WHERE {" + ".join(f"c{k}" for k in kinds)} > 0 GROUP BY value
+    ),
+    score{n} AS MATERIALIZED (
+        SELECT * FROM reached{n} UNION ALL SELECT * FROM score0 WHERE value NOT IN (SELECT value FROM reached{n})
+    ),"""
+
+
+_PERSONAL = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+base AS MATERIALIZED ({" UNION ALL ".join(
+    f"SELECT r, {i} AS rank, '{kind}' AS kind, s, s + length(m) AS e FROM (SELECT *, {_DIGITS.format('m')} AS d FROM ({_matches(pattern)})) WHERE {test}"
+    for i, (kind, pattern, test) in enumerate(_PERSONAL_KINDS)
+)}),
+mentions AS MATERIALIZED (
+    SELECT r, s + length(m) - length(ltrim(m, '{_EDGES}')) AS s, translate(trim(m, '{_EDGES}'), {_FOLD}) AS value,
+           list_filter(string_split_regex(translate(right(a, 64), {_FOLD}), '[{_BLANK}]+'), lambda x: x <> '') AS before,
+           list_filter(string_split_regex(translate(left(b, 64), {_FOLD}), '[{_BLANK}]+'), lambda x: x <> '') AS after
+    FROM ({_matches(_MENTION)}) WHERE length(trim(m, '{_EDGES}')) <= 64
+),
+pairs AS MATERIALIZED (
+    SELECT value, '1 ' || before[-1] AS pattern FROM mentions WHERE len(before) > 0
+    UNION
+    SELECT value, '2 ' || before[-2] || ' ' || before[-1] FROM mentions WHERE len(before) > 1
+    UNION
+    SELECT value, '3 ' || before[-1] || ' ' || after[1] FROM mentions WHERE len(before) > 0 AND len(after) > 0
+),
+vals AS (SELECT DISTINCT value FROM pairs),
+seeds AS ({" UNION ALL ".join(map(_seed, range(len(_PERSONAL_KINDS))))}),
+score0 AS MATERIALIZED (
+    SELECT value, {", ".join(f"CASE WHEN count(*) FILTER (k = {k}) > 0 THEN 1000 ELSE 0 END AS s{k}" for k in range(len(_PERSONAL_KINDS)))}
+    FROM vals LEFT JOIN seeds USING (value) GROUP BY value
+),
+{"".join(map(_round, (1, 2, 3)))}
+found AS (
+    SELECT value, CASE top WHEN s0 THEN 0 WHEN s1 THEN 1 WHEN s2 THEN 2 ELSE 3 END AS k
+    FROM (SELECT *, greatest(s0, s1, s2, s3) AS top FROM reached3)
+    WHERE top BETWEEN 600 AND 999 AND (contains(value, '@') OR length({_DIGITS.format("value")}) >= 5)
+),
+spans AS (
+    SELECT * FROM base
+    UNION ALL
+    SELECT r, 4 + k, 'like_' || ['email', 'ip', 'card', 'phone'][k + 1], s, s + length(value) FROM mentions JOIN found USING (value)
+),
+per_doc AS (
+    SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k, _, _ in _PERSONAL_KINDS)},
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 4) AS base,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS everything
+    FROM spans GROUP BY r
+)
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k, _, _ in _PERSONAL_KINDS)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(everything, '') AS spans
+FROM docs LEFT JOIN per_doc USING (r)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_secrets": _SECRETS,
     "op8_substring_dedup": _SUBSTRING,
     "op11_variants": _VARIANTS,
     "op12_collocations": _COLLOCATIONS,
+    "op13_personal": _PERSONAL,
 }

@@ -84,55 +84,76 @@ _BLOCK = 512
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used inside lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def placed(text: str, pattern: str, *extra: tuple[str, Callable[[Column, Column], Column]]) -> Column:
     """Array of (match, start, end, ...) of the leftmost non-overlapping matches in the column ``text``, in code points.
 
     ``extra`` fields are made of the pieces of text before and after the match. Starts are running
     sums, taken within blocks and over blocks, so many matches in one text stay cheap.
     """
-    pieces = F.split(text, pattern, -1)
-    fields = [f"{n}:string" for n, _ in extra]
-    step = F.zip_with(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        F.zip_with(pieces, F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        lambda m, p: F.struct(
-            m.alias("match"), F.length(p["a"]).alias("gap"), *(f(p["a"], p["b"]).alias(n) for n, f in extra)
-        ),
-    )
-    steps = F.filter(step, lambda s: s["match"].isNotNull())
-    made = f"array<struct<{','.join(['match:string', 'start:int', 'end:int', *fields])}>>"
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor(F.greatest(F.size(steps) - 1, F.lit(0)) / _BLOCK).cast("int")),
-        lambda b: F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK)),
-    )
-    size = lambda block: F.aggregate(block, F.lit(0), lambda a, s: a + s["gap"] + F.length(s["match"]))
-    begun = F.aggregate(
-        blocks,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, b: F.struct((acc["at"] + size(b)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
-    )["out"]
+    names = [n for n, _ in extra]
+    made = f"array<struct<{','.join(['match:string', 'start:int', 'end:int', *(f'{n}:string' for n in names)])}>>"
+
+    def steps(pieces: Column) -> Column:
+        both = F.zip_with(
+            pieces, F.slice(pieces, F.lit(2), F.size(pieces)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+        )
+        # one piece more than matches
+        return F.zip_with(
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+            F.slice(both, F.lit(1), F.size(pieces) - 1),
+            lambda m, p: F.struct(
+                m.alias("match"),
+                F.length(p["a"]).alias("gap"),
+                F.length(m).alias("size"),
+                *(f(p["a"], p["b"]).alias(n) for n, f in extra),
+            ),
+        )
+
+    def blocks(steps: Column) -> Column:
+        last = F.floor(F.greatest(F.size(steps) - 1, F.lit(0)) / _BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+    def begun(blocks: Column) -> Column:
+        return F.aggregate(
+            blocks,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, b: F.struct(
+                F.aggregate(b, acc["at"], lambda at, s: at + s["gap"] + s["size"]).alias("at"),
+                F.concat(acc["out"], F.array(acc["at"])).alias("out"),
+            ),
+        )["out"]
 
     def within(block: Column, at: Column) -> Column:
         return F.aggregate(
             block,
             F.struct(at.alias("at"), F.array().cast(made).alias("out")),
             lambda acc, s: F.struct(
-                (acc["at"] + s["gap"] + F.length(s["match"])).alias("at"),
+                (acc["at"] + s["gap"] + s["size"]).alias("at"),
                 F.concat(
                     acc["out"],
                     F.array(
                         F.struct(
                             s["match"].alias("match"),
                             (acc["at"] + s["gap"]).alias("start"),
-                            (acc["at"] + s["gap"] + F.length(s["match"])).alias("end"),
-                            *(s[n].alias(n) for n, _ in extra),
+                            (acc["at"] + s["gap"] + s["size"]).alias("end"),
+                            *(s[n].alias(n) for n in names),
                         )
                     ),
                 ).alias("out"),
             ),
         )["out"]
 
-    return F.flatten(F.zip_with(blocks, begun, within))
+    return _let(
+        F.split(text, pattern, -1),
+        lambda pieces: _let(
+            steps(pieces), lambda s: _let(blocks(s), lambda b: F.flatten(F.zip_with(b, begun(b), within)))
+        ),
+    )
 
 
 def base_spans(kind: Kind, rank: int, text: str) -> Column:
