@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -252,6 +252,7 @@ def cleaning_audit(
     regions: Sequence[str] = REGIONS,
     segments: Sequence[str] = SEGMENTS,
     cap_quantile: float = 0.999,
+    quarantined: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Rows loaded, removed, changed and unreadable per cleaning step, as ``(table_name, step, rows)``.
 
@@ -338,6 +339,9 @@ def cleaning_audit(
         _count(sold).alias("final"),
     )
     parts = [_audit(name, df) for name, df in loaded.items()]
+    parts += [
+        _audit(name, df.agg(F.count(F.lit(1)).alias("quarantined"))) for name, df in (quarantined or {}).items()
+    ]
     parts += [
         _audit("customers", customer_steps),
         _audit("products", product_steps),

@@ -42,6 +42,11 @@ def kpi_totals(txn: DataFrame, products: DataFrame) -> DataFrame:
     m = measure(
         with_products(txn, products), [], "revenue", "profit", "orders", "customers", "disc", "disc_n"
     )
+    return totals_report(m)
+
+
+def totals_report(m: DataFrame) -> DataFrame:
+    """The report's columns from the measures of all rows."""
     return m.select(
         usd("revenue").alias("total_revenue"),
         usd("profit").alias("total_gross_profit"),
@@ -54,7 +59,11 @@ def kpi_totals(txn: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def quarterly_revenue(txn: DataFrame) -> DataFrame:
-    m = measure(txn, ["year", quarter_of().alias("quarter")], "revenue", "orders", "customers")
+    return quarterly_report(measure(txn, ["year", quarter_of().alias("quarter")], "revenue", "orders", "customers"))
+
+
+def quarterly_report(m: DataFrame) -> DataFrame:
+    """The report's columns from the measures of each quarter."""
     return m.select(
         "year",
         "quarter",

@@ -38,6 +38,11 @@ def regional_summary(txn: DataFrame, products: DataFrame) -> DataFrame:
         "disc",
         "disc_n",
     )
+    return regional_report(m)
+
+
+def regional_report(m: DataFrame) -> DataFrame:
+    """The report's columns from the measures of each region."""
     return m.select(
         "region",
         F.col("orders").alias("order_count"),

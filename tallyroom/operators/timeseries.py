@@ -38,6 +38,11 @@ def monthly_sales(txn: DataFrame) -> DataFrame:
         F.sum(F.rint(F.col("discount") * 1_000_000).cast("bigint")).alias("disc"),
         F.count("discount").alias("disc_n"),
     )
+    return monthly_report(m)
+
+
+def monthly_report(m: DataFrame) -> DataFrame:
+    """The report's columns from the measures of each month."""
     return m.select(
         "year",
         "month",

@@ -1274,6 +1274,18 @@ FROM tp GROUP BY category"""
     ),
 }
 ORACLE["materialize"] = ORACLE["monthly_sales"]
+ORACLE["indexed_load"] = ORACLE["incremental_load"]
+for _name in ("monthly_sales", "regional_summary", "kpi_totals", "quarterly_revenue"):
+    ORACLE[f"rollup_{_name}"] = ORACLE[_name]
+ORACLE["read_raw_csv_quoted"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  CASE p_partkey % 5 WHEN 0 THEN p_name || ' 5", ' || p_brand WHEN 1 THEN p_name || chr(10) || 'second "line"'
+    WHEN 3 THEN NULL ELSE p_name END AS product_name,
+  CASE WHEN p_partkey % 5 <> 3 THEN p_type || ', etc' END AS category,
+  CASE WHEN p_partkey % 5 NOT IN (2, 3) THEN CAST(p_size AS VARCHAR) END AS unit_price,
+  CASE WHEN p_partkey % 5 NOT IN (2, 3) THEN p_brand END AS brand,
+  CASE WHEN p_partkey % 5 = 3 THEN 'surplus fields' END AS reason
+FROM part"""
 
 
 def _section(name: str, query: str) -> str:

@@ -18,6 +18,7 @@ from tallyroom.operators import (
     product,
     profit,
     region,
+    rollups,
     summary,
     timeseries,
     windows,
@@ -27,6 +28,7 @@ from tallyroom.sinks import writers
 from tallyroom.sources import catalog, readers
 from tallyroom.sources.star import Star
 from tallyroom.streaming import incremental
+from tallyroom.streaming.id_index import IdIndex
 
 # The wholesale data's own domains; one region and two segments are left out on
 # purpose so that the domain checks have something to report.
@@ -69,6 +71,32 @@ def _read_raw_csv(s: Star) -> DataFrame:
     return readers.read_raw(s.spark, folder, "customers")
 
 
+def _raw_lines(s: Star) -> DataFrame:
+    """Products as lines of a CSV file without header: quoted, broken over lines, cut short and with a field too many."""
+    n = F.col("p_partkey") % 5
+    name = (
+        F.when(n == 0, F.concat(F.lit('"'), "p_name", F.lit(' 5"", '), "p_brand", F.lit('"')))
+        .when(n == 1, F.concat(F.lit('"'), "p_name", F.lit('\nsecond ""line"""')))
+        .otherwise(F.col("p_name"))
+    )
+    head = F.concat_ws(",", F.col("p_partkey").cast("string"), name, F.concat(F.lit('"'), "p_type", F.lit(', etc"')))
+    tail = F.concat_ws(",", F.lit("S"), F.lit("1.50"), F.col("p_size").cast("string"), "p_brand")
+    full = F.concat_ws(",", head, tail)
+    return s.table("part").select(F.when(n == 2, head).when(n == 3, F.concat(full, F.lit(",more"))).otherwise(full).alias("value"))
+
+
+def _read_raw_csv_quoted(s: Star) -> DataFrame:
+    """What is read of the lines above, and what is set aside with its reason."""
+    folder = scratch_path(s.spark, "raw")
+    _raw_lines(s).write.text(f"{folder}/products")
+    good, bad = readers.split_raw(s.spark, folder, "products", multi_line=True, header=False)
+    columns = ("product_id", "product_name", "category", "unit_price", "brand")
+    nothing = [F.lit(None).cast("string").alias(c) for c in columns[1:]]
+    return good.select(*columns, F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.col("first_field").alias("product_id"), *nothing, "reason")
+    )
+
+
 def _read_parquet_table(s: Star) -> DataFrame:
     folder = scratch_path(s.spark, "curated")
     writers.write_parquet_table(_customers_contract(s), f"{folder}/customers")
@@ -128,6 +156,35 @@ def _incremental_load(s: Star) -> DataFrame:
     return readers.read_parquet_table(s.spark, folder, "sales_transactions")
 
 
+def _indexed_load(s: Star) -> DataFrame:
+    """The same batches as ``incremental_load``, looked up in the id index."""
+    folder = scratch_path(s.spark, "indexed")
+    path = f"{folder}/sales_transactions"
+    customers, products = s.customers(signup=False), s.products()
+    raw = s.raw_transactions().withColumn("transaction_id", F.concat_ws("-", "transaction_id", "product_id"))
+    shipped = raw.where(F.col("ship_date").isNotNull())
+    ids = IdIndex(s.spark, f"{folder}/ids", keys_per_bucket=10_000)  # so that folders double on small tables
+    for batch in (shipped, raw, raw):
+        incremental.indexed_load(batch, customers, products, path, regions=None, index=ids)
+    return readers.read_parquet_table(s.spark, folder, "sales_transactions")
+
+
+def _rollups(s: Star) -> rollups.Rollups:
+    """Reports that followed a table through two writes: all but the late lines, then those, in their months only."""
+    folder = scratch_path(s.spark, "rollups")
+    table = f"{folder}/sales_transactions"
+    txn, products = s.transactions().select(*SALES_TRANSACTIONS.fieldNames()), s.products()
+    late = (F.col("month") == 7) & (F.col("quantity") > 40)
+    writers.write_partitioned(txn.where(~late), table)
+    made = rollups.Rollups(s.spark, f"{folder}/rollups")
+    made.rebuild(readers.read_parquet_table(s.spark, folder, "sales_transactions"), products)
+    writers.write_partitioned(txn.where(late), table, mode="append")
+    now = readers.read_parquet_table(s.spark, folder, "sales_transactions")
+    months = [(r.year, r.month) for r in now.where("month = 7").select("year", "month").distinct().collect()]
+    made.refresh(now, products, months)
+    return made
+
+
 def _incremental_stream(s: Star) -> DataFrame:
     folder = scratch_path(s.spark, "stream")
     raw = s.raw_transactions().drop("ingest_seq")
@@ -297,16 +354,22 @@ def _column_profile(s: Star) -> DataFrame:
 QUERIES: dict[str, Q] = {
     # sources, sinks, catalog
     "read_raw_csv": _read_raw_csv,
+    "read_raw_csv_quoted": _read_raw_csv_quoted,
     "read_parquet_table": _read_parquet_table,
     "source_views": _source_views,
     "write_parquet_table": _write_parquet_table,
     "write_partitioned": _write_partitioned,
     "write_summary_json": _write_summary_json,
     "incremental_load": _incremental_load,
+    "indexed_load": _indexed_load,
     "create_database": _create_database,
     "create_external_tables": _create_external_tables,
     "repair_partitions": _repair_partitions,
     "materialize": _materialize,
+    "rollup_monthly_sales": lambda s: _rollups(s).monthly_sales(),
+    "rollup_regional_summary": lambda s: _rollups(s).regional_summary(),
+    "rollup_kpi_totals": lambda s: _rollups(s).kpi_totals(),
+    "rollup_quarterly_revenue": lambda s: _rollups(s).quarterly_revenue(),
     "row_level_filter": _row_level_filter,
     "scoped_filter": _scoped_filter,
     # cleaning
