@@ -83,7 +83,7 @@ def read_raw(
 
     Quoted fields may hold commas and doubled quotes, with ``multi_line`` also line breaks; such files are
     not split, so a task reads a whole file. Without it a record with a line break is two, whose unpaired
-    quotes set them aside; a middle line between two such breaks can look whole, so files that may hold
+    quotes set them aside unless its fields happen to be as many as the columns, so files that may hold
     line breaks need ``multi_line``. Records that cannot be read are left out here and come back
     from ``read_quarantine``. With ``header`` each file's first line must name the columns.
     ``ingest_order`` adds ``ingest_seq`` (file, block, row), the order the rows have in the

@@ -21,7 +21,7 @@ PLAIN = [
 ]
 SHORT = ["8,short,Tools", "9"]
 SURPLUS = ["10,Pipe,Tools,T-1,1.5,2.5,Acme,extra", '11,"a",b,c,T,T-1,1.5,2.5,Acme', "12,Pipe,Tools,T-1,1.5,2.5,Acme,"]
-BREAK = '13,"two\nlines, ""both""",Tools,T-1,1.5,2.5,Acme'
+BREAK = '13,"two\nlines ""both""",Tools,T-1,1.5,2.5,Acme'
 OPEN = '14,"never closed,Tools,T-1,1.5,2.5,Acme'
 
 
