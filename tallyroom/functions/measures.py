@@ -67,25 +67,20 @@ def measure(df: DataFrame, keys: Sequence[str | Column], *names: str) -> DataFra
 def by_customer_group(txn: DataFrame, customers: DataFrame, *keys: str) -> DataFrame:
     """Revenue, customers and orders per ``keys`` of the customer.
 
-    Revenue is added up per customer before the join.  So are orders where the
-    transaction id is declared unique; otherwise an id may occur under several
-    customers of a group, and the distinct (customer, id) pairs are joined.
+    Where the transaction id is declared unique, revenue and orders are added up per customer before the
+    join. Otherwise an id may occur under several customers of a group and rows are joined first: the fact is
+    read once, and an order counts once in a group.
     """
-    unique = bool(txn.schema["transaction_id"].metadata.get(_UNIQUE))
     located = customers.select("customer_id", *keys)
-    names = ("revenue", "orders") if unique else ("revenue",)
-    m = (
+    if not txn.schema["transaction_id"].metadata.get(_UNIQUE):
+        return measure(txn.join(located, "customer_id"), keys, "revenue", "customers", "orders")
+    names = ("revenue", "orders")
+    return (
         measure(txn, ["customer_id"], *names)
         .join(located, "customer_id")
         .groupBy(*keys)
         .agg(*[F.sum(n).alias(n) for n in names], F.count("customer_id").alias("customers"))
     )
-    if unique:
-        return m
-    pairs = txn.select("customer_id", "transaction_id").distinct().join(located, "customer_id")
-    orders = pairs.groupBy(*keys).agg(F.countDistinct("transaction_id").alias("orders"))
-    same = [F.col(f"m.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
-    return m.alias("m").join(orders.alias("o"), same).select("m.*", "o.orders")
 
 
 def discount_pct(digits: int = 2) -> Column:

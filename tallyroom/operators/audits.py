@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.functions.money import cents, ratio, rounded, usd
-from tallyroom.operators.checks import orphan_rows, orphan_totals
+from tallyroom.operators.checks import orphan_rows, orphan_totals, reference_counts
 from tallyroom.schemas import EMAIL_PATTERN, REGIONS, SEGMENTS
 
 NULL_AUDIT = {
@@ -223,27 +223,23 @@ def dq_email_format(customers: DataFrame, pattern: str = EMAIL_PATTERN, limit: i
 
 
 def dq_scorecard(customers: DataFrame, products: DataFrame, txn: DataFrame) -> DataFrame:
+    """Every check's violations; the transactions are read once for all of theirs."""
     duplicates = duplicate_keys(customers, "customer_id").agg(F.count(F.lit(1)).alias("violations"))
-    rows = _violations(
-        txn,
-        {
-            "DQ-03: Invalid quantity": _count(F.col("quantity") < 1),
-            "DQ-03: Invalid discount": _count((F.col("discount") < 0) | (F.col("discount") > 1)),
-            "DQ-04: Ship before order": _count(F.col("ship_date") < F.col("order_date")),
-        },
-    )
-    parts = [
-        duplicates.select(F.lit("DQ-02: Duplicate PKs").alias("check_name"), "violations"),
-        rows,
-        orphan_totals(txn, {"customer_id": customers, "product_id": products}).select(
-            F.when(F.col("column") == "customer_id", "DQ-06: Orphan customer FK")
-            .otherwise("DQ-06: Orphan product FK")
-            .alias("check_name"),
-            F.col("orphans").alias("violations"),
-        ),
-    ]
+    conditions = {
+        "DQ-03: Invalid quantity": F.col("quantity") < 1,
+        "DQ-03: Invalid discount": (F.col("discount") < 0) | (F.col("discount") > 1),
+        "DQ-04: Ship before order": F.col("ship_date") < F.col("order_date"),
+    }
+    found = reference_counts(txn, {"customer_id": customers, "product_id": products}, conditions)
+    named = {
+        **{n: n for n in conditions},
+        "DQ-06: Orphan customer FK": "orphans_customer_id",
+        "DQ-06: Orphan product FK": "orphans_product_id",
+    }
+    rows = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"`{c}`").alias("violations")) for n, c in named.items()])
     return (
-        _union(parts)
+        duplicates.select(F.lit("DQ-02: Duplicate PKs").alias("check_name"), "violations")
+        .unionByName(found.select(F.inline(rows)))
         .withColumn("status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))
         .orderBy(F.desc("status"), "check_name")
     )

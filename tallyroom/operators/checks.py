@@ -182,18 +182,46 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
     return per_key.join(parent.select(column), column, "left_anti")
 
 
-def orphan_totals(child: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
-    """``(column, orphans)`` for several references of one table, in one pass over it.
+def reference_counts(child: DataFrame, parents: dict[str, DataFrame], also: dict[str, Column] | None = None) -> DataFrame:
+    """One row: ``orphans_<column>`` per reference and the number of rows that meet each condition of ``also``.
 
-    Each row becomes one (column, key) pair per reference; pairs are combined
-    map-side, so a hot key is one row per input partition.
+    One pass over the table: rows are grouped by each key in turn (grouping sets), combined map-side,
+    and only different keys meet their parents. A NULL key is an orphan; a hot one is a row per input partition.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c in parents])
-    per_key = child.select(F.inline(pairs)).groupBy("column", "key").agg(F.count(F.lit(1)).alias("c"))
-    known = _union([p.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c, p in parents.items()])
-    found = per_key.join(known, ["column", "key"], "left_anti").groupBy("column").agg(F.sum("c").alias("orphans"))
-    listed = child.sparkSession.createDataFrame([(c,) for c in parents], "column string")
-    return listed.join(found, "column", "left").fillna(0, ["orphans"])
+    also = also or {}
+    keys = list(parents)
+    whole = (1 << len(keys)) - 1
+    of = {k: whole ^ (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
+    flags = [F.when(cond, 1).otherwise(0).cast("bigint").alias(f"_also_{i}") for i, cond in enumerate(also.values())]
+    # conditions belong to each row once: only the first key's groups keep their sums
+    grouped = (
+        child.select(*keys, *flags)
+        .groupingSets([[F.col(k)] for k in keys], *keys)
+        .agg(
+            F.grouping_id().alias("_set"),
+            F.count(F.lit(1)).alias("_c"),
+            *[F.sum(f"_also_{i}").alias(f"_also_{i}") for i in range(len(also))],
+        )
+    )
+    for k, parent in parents.items():
+        grouped = grouped.join(parent.select(k).distinct().withColumn(f"_has_{k}", F.lit(True)), k, "left")
+    zero = F.lit(0).cast("bigint")
+    return grouped.agg(
+        *[
+            F.coalesce(F.sum(F.when((F.col("_set") == of[k]) & F.col(f"_has_{k}").isNull(), F.col("_c"))), zero).alias(f"orphans_{k}")
+            for k in keys
+        ],
+        *[
+            F.coalesce(F.sum(F.when(F.col("_set") == of[keys[0]], F.col(f"_also_{i}"))), zero).alias(name)
+            for i, name in enumerate(also)
+        ],
+    )
+
+
+def orphan_totals(child: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
+    """``(column, orphans)`` for several references of one table, in one pass over it."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"orphans_{c}").alias("orphans")) for c in parents])
+    return reference_counts(child, parents).select(F.inline(pairs))
 
 
 def check_references(child: DataFrame, child_table: str, parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:

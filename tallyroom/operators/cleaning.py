@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyroom.functions.durable import durable
 from tallyroom.functions.money import rounded
 from tallyroom.functions.ordering import exact_quantiles
-from tallyroom.schemas import DEFAULT_SEGMENT, REGIONS, SEGMENTS, UNKNOWN_REGION
+from tallyroom.schemas import DEFAULT_SEGMENT, REGIONS, SALES_TRANSACTIONS, SEGMENTS, UNKNOWN_REGION
 
 TRANSACTION_REQUIRED = ("transaction_id", "customer_id", "product_id", "order_date", "unit_price", "quantity")
 
@@ -243,6 +244,86 @@ def _count(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
 
 
+#: Columns of a raw transaction that are read from text, and how.
+_READ = {"unit_price": number_of, "discount": number_of, "quantity": whole_of, "order_date": day_of, "ship_date": day_of}
+
+
+def _linked(
+    raw: DataFrame, customers: DataFrame, products: DataFrame, order: Sequence[str | Column]
+) -> DataFrame:
+    """Deduplicated transactions, none dropped yet: values read, what was unreadable, which parents exist."""
+    first = dedupe_by_key(mark_missing(raw), "transaction_id", order)
+    return (
+        first.select(
+            "transaction_id",
+            "customer_id",
+            "product_id",
+            "region",
+            *[_unreadable(name, read(name)).alias(f"{name}_unreadable") for name, read in _READ.items()],
+            *[read(name).alias(name) for name, read in _READ.items()],
+        )
+        .join(customers.select("customer_id", F.lit(True).alias("has_customer")), "customer_id", "left")
+        .join(products.select("product_id", F.lit(True).alias("has_product")), "product_id", "left")
+    )
+
+
+def _sold() -> tuple[Column, Column, Column]:
+    """Rows of ``_linked`` that are complete, that also have both parents, and that are kept."""
+    complete = F.lit(True)
+    for name in TRANSACTION_REQUIRED:
+        complete = complete & F.col(name).isNotNull()
+    known = complete & F.col("has_customer").isNotNull() & F.col("has_product").isNotNull()
+    return complete, known, known & (F.col("quantity") > 0)
+
+
+def _transaction_counts() -> list[Column]:
+    complete, known, sold = _sold()
+    return [
+        F.count(F.lit(1)).alias("after_dedupe"),
+        *[_count(F.col(f"{name}_unreadable")).alias(f"unreadable_{name}") for name in _READ],
+        _count(complete).alias("with_keys_and_date"),
+        _count(complete & F.col("has_customer").isNull()).alias("unknown_customer"),
+        _count(complete & F.col("has_product").isNull()).alias("unknown_product"),
+        _count(known & ~(F.col("quantity") > 0)).alias("bad_quantity"),
+        _count(sold & (F.col("ship_date") < F.col("order_date"))).alias("ship_date_fixed"),
+        _count(sold).alias("final"),
+    ]
+
+
+def write_clean_transactions(
+    raw: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    path: str,
+    order: Sequence[str | Column] = ("ingest_seq",),
+) -> DataFrame:
+    """Store what ``clean_transactions`` makes, by year and month, and return the audit of that very pass.
+
+    ``(table_name, step, rows)`` as ``cleaning_audit`` has it for the transactions. The counts are
+    observed in the tasks that write, behind the last shuffle: such a task counts once however often it or a stage before it is
+    repeated. Rows to be dropped travel that far with their flags. ``loaded`` alone is a
+    count of the input, for which Parquet reads footers only. Customer and product ids are unique.
+    """
+    seen = Observation(f"cleaning-{uuid.uuid4().hex}")
+    spread = _linked(raw, customers, products, order).transform(derive_partitions).hint("rebalance", F.col("year"), F.col("month"))
+    kept = (
+        spread.observe(seen, *_transaction_counts())
+        .where(_sold()[2])
+        .transform(clip_discount)
+        .transform(fix_ship_date)
+        .transform(derive_net_revenue)
+        .select(*SALES_TRANSACTIONS.fieldNames())
+    )
+    kept.write.mode("overwrite").option("compression", "snappy").partitionBy("year", "month").parquet(path)
+    counts = seen.get
+    names = ["after_dedupe", *(f"unreadable_{n}" for n in _READ), "with_keys_and_date", "unknown_customer", "unknown_product"]
+    names += ["bad_quantity", "ship_date_fixed", "final"]
+    rows = [("loaded", raw.count()), *((n, counts.get(n, 0)) for n in names)]
+    return raw.sparkSession.createDataFrame(
+        [("sales_transactions", n, c) for n, c in rows], "table_name string, step string, rows bigint"
+    )
+
+
 def cleaning_audit(
     raw_customers: DataFrame,
     raw_products: DataFrame,
@@ -305,39 +386,8 @@ def cleaning_audit(
         _count(F.col("good")).alias("final"),
     )
 
-    read = {
-        "unit_price": number_of("unit_price"),
-        "discount": number_of("discount"),
-        "quantity": whole_of("quantity"),
-        "order_date": day_of("order_date"),
-        "ship_date": day_of("ship_date"),
-    }
-    t = dedupe_by_key(mark_missing(raw_transactions), "transaction_id", ["ingest_seq"]).select(
-        "transaction_id",
-        "customer_id",
-        "product_id",
-        *[_unreadable(name, value).alias(f"{name}_unreadable") for name, value in read.items()],
-        *[value.alias(name) for name, value in read.items()],
-    )
-    linked = t.join(
-        customers.select("customer_id", F.lit(True).alias("has_customer")), "customer_id", "left"
-    ).join(products.select("product_id", F.lit(True).alias("has_product")), "product_id", "left")
-    complete = F.lit(True)
-    for name in TRANSACTION_REQUIRED:
-        complete = complete & F.col(name).isNotNull()
-    no_customer, no_product = F.col("has_customer").isNull(), F.col("has_product").isNull()
-    known = complete & ~no_customer & ~no_product
-    sold = known & (F.col("quantity") > 0)
-    transaction_steps = linked.agg(
-        F.count(F.lit(1)).alias("after_dedupe"),
-        *[_count(F.col(f"{name}_unreadable")).alias(f"unreadable_{name}") for name in read],
-        _count(complete).alias("with_keys_and_date"),
-        _count(complete & no_customer).alias("unknown_customer"),
-        _count(complete & no_product).alias("unknown_product"),
-        _count(known & ~(F.col("quantity") > 0)).alias("bad_quantity"),
-        _count(sold & (F.col("ship_date") < F.col("order_date"))).alias("ship_date_fixed"),
-        _count(sold).alias("final"),
-    )
+    linked = _linked(raw_transactions, customers, products, ["ingest_seq"])
+    transaction_steps = linked.agg(*_transaction_counts())
     parts = [_audit(name, df) for name, df in loaded.items()]
     parts += [
         _audit(name, df.agg(F.count(F.lit(1)).alias("quarantined"))) for name, df in (quarantined or {}).items()

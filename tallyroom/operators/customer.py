@@ -60,14 +60,19 @@ def customer_ltv(txn: DataFrame, customers: DataFrame) -> DataFrame:
     ).orderBy(F.desc("lifetime_value"), "customer_id")
 
 
-def ltv_by_segment(txn: DataFrame, customers: DataFrame) -> DataFrame:
-    per_customer = measure(txn, ["customer_id"], "revenue", "priced", "orders")
+def ltv_by_segment(txn: DataFrame, customers: DataFrame, with_orders: bool = False) -> DataFrame:
+    """Revenue and value per customer of each segment.
+
+    ``with_orders`` adds ``avg_orders``: unless the transaction id is declared unique it shuffles every id.
+    """
+    counted = ("orders",) if with_orders else ()
+    per_customer = measure(txn, ["customer_id"], "revenue", "priced", *counted)
     m = (
         per_customer.join(customers.select("customer_id", "segment"), "customer_id")
         .groupBy("segment")
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            *[F.sum(c).alias(c) for c in ("revenue", "priced", "orders")],
+            *[F.sum(c).alias(c) for c in ("revenue", "priced", *counted)],
         )
     )
     # one row per segment: a window without partitions is small
@@ -78,7 +83,7 @@ def ltv_by_segment(txn: DataFrame, customers: DataFrame) -> DataFrame:
         usd("revenue").alias("segment_revenue"),
         per_usd("revenue", "priced").alias("avg_order_value"),
         per_usd("revenue", "customers").alias("avg_ltv"),
-        rounded(ratio("orders", "customers")).alias("avg_orders"),
+        *([rounded(ratio("orders", "customers")).alias("avg_orders")] if with_orders else []),
         pct_usd("revenue", whole).alias("revenue_share_pct"),
     ).orderBy(F.desc("segment_revenue"), "segment")
 

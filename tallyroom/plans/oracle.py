@@ -987,7 +987,7 @@ FROM pc JOIN cust USING (customer_id)""",
     ),
     "ltv_by_segment": _q(
         f"""SELECT segment, {_CUS} AS customers, {_D(_REV)} AS segment_revenue, {_per(_REV, 'COUNT(net)')} AS avg_order_value,
-  {_per(_REV, _CUS)} AS avg_ltv, {_per(_ORD, _CUS)} AS avg_orders,
+  {_per(_REV, _CUS)} AS avg_ltv,
   {_pct(_REV, 'SUM(SUM(net)) OVER ()')} AS revenue_share_pct
 FROM txn JOIN cust USING (customer_id) GROUP BY segment"""
     ),
@@ -1275,6 +1275,9 @@ FROM tp GROUP BY category"""
 }
 ORACLE["materialize"] = ORACLE["monthly_sales"]
 ORACLE["indexed_load"] = ORACLE["incremental_load"]
+ORACLE["clean_and_audit"] = f"SELECT * FROM ({ORACLE['cleaning_audit']}) WHERE table_name = 'sales_transactions'"
+ORACLE["written_clean_transactions"] = ORACLE["clean_transactions"]
+ORACLE["secured_view"] = f"SELECT * FROM ({ORACLE['regional_monthly']}) WHERE region IN ('ASIA', 'EUROPE')"
 for _name in ("monthly_sales", "regional_summary", "kpi_totals", "quarterly_revenue"):
     ORACLE[f"rollup_{_name}"] = ORACLE[_name]
 ORACLE["read_raw_csv_quoted"] = """

@@ -328,6 +328,32 @@ def _clean_transactions(s: Star) -> DataFrame:
     )
 
 
+def _clean_and_audit(s: Star) -> DataFrame:
+    return cleaning.write_clean_transactions(
+        s.raw_transactions(), *_clean_keys(s), f"{scratch_path(s.spark, 'cleaned')}/sales_transactions"
+    )
+
+
+def _written_clean_transactions(s: Star) -> DataFrame:
+    folder = scratch_path(s.spark, "cleaned")
+    cleaning.write_clean_transactions(s.raw_transactions(), *_clean_keys(s), f"{folder}/sales_transactions")
+    return readers.read_parquet_table(s.spark, folder, "sales_transactions")
+
+
+def _secured_view(s: Star) -> DataFrame:
+    """What the session's own user may see of a stored table: two regions, one of them granted twice."""
+    database = _registered(s)
+    grants = s.table("region").where("r_name IN ('ASIA', 'EUROPE')").select(F.session_user().alias("user_name"), F.col("r_name").alias("region"))
+    others = s.table("region").select(F.lit("somebody else").alias("user_name"), F.col("r_name").alias("region"))
+    catalog.materialize(
+        grants.union(grants.where("region = 'ASIA'")).union(others), f"{database}.grants", scratch_path(s.spark, "grants")
+    )
+    view = catalog.create_secured_view(
+        s.spark, f"{database}.my_transactions", f"{database}.sales_transactions", f"{database}.grants"
+    )
+    return region.regional_monthly(view)
+
+
 def _validation_gate(s: Star) -> DataFrame:
     results = checks.validation_results(
         s.customers(), s.products(), s.transactions(), ALLOWED_REGIONS, ALLOWED_SEGMENTS
@@ -371,6 +397,7 @@ QUERIES: dict[str, Q] = {
     "rollup_kpi_totals": lambda s: _rollups(s).kpi_totals(),
     "rollup_quarterly_revenue": lambda s: _rollups(s).quarterly_revenue(),
     "row_level_filter": _row_level_filter,
+    "secured_view": _secured_view,
     "scoped_filter": _scoped_filter,
     # cleaning
     "dedupe_by_key": _dedupe_by_key,
@@ -405,6 +432,8 @@ QUERIES: dict[str, Q] = {
     "clean_products": lambda s: _shown(cleaning.clean_products(s.raw_products())),
     "clean_transactions": _clean_transactions,
     "cleaning_audit": _cleaning_audit,
+    "clean_and_audit": _clean_and_audit,
+    "written_clean_transactions": _written_clean_transactions,
     # audits
     "row_counts": lambda s: audits.row_counts(s.customers(signup=False), s.products(), s.transactions(region=False)),
     "null_audit_customers": lambda s: audits.null_audit(s.customers(), audits.NULL_AUDIT["customers"]),
