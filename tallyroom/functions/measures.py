@@ -68,12 +68,17 @@ def by_customer_group(txn: DataFrame, customers: DataFrame, *keys: str) -> DataF
     """Revenue, customers and orders per ``keys`` of the customer.
 
     Where the transaction id is declared unique, revenue and orders are added up per customer before the
-    join. Otherwise an id may occur under several customers of a group and rows are joined first: the fact is
-    read once, and an order counts once in a group.
+    join. Otherwise an id may occur under several customers of a group: revenue is added up per customer and
+    id, which reads the fact once, and an order counts once in a group.
     """
     located = customers.select("customer_id", *keys)
     if not txn.schema["transaction_id"].metadata.get(_UNIQUE):
-        return measure(txn.join(located, "customer_id"), keys, "revenue", "customers", "orders")
+        orders = measure(txn, ["customer_id", "transaction_id"], "revenue").join(located, "customer_id")
+        return orders.groupBy(*keys).agg(
+            F.sum("revenue").alias("revenue"),
+            F.countDistinct("customer_id").alias("customers"),
+            F.countDistinct("transaction_id").alias("orders"),
+        )
     names = ("revenue", "orders")
     return (
         measure(txn, ["customer_id"], *names)
