@@ -208,8 +208,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.sum("n_ids").alias("n"))
         .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     )
+    # one row per range that was written, so it may be broadcast; the payloads are then never shuffled
     return (
-        segments.join(shards, "shard")
+        segments.join(F.broadcast(shards), "shard")
         .select("base", "first", "doc_ids", "counts", "payload")
         .mapInArrow(_read_segments, "doc_id long, start long, n_tokens long, ids binary")
     )

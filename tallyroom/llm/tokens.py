@@ -35,7 +35,7 @@ _PATTERN = {
 WORD = re.compile(r"\s+\S*|\S+")
 #: White space next to a blank: the blank is then not a word's own first character.
 _WIDE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
-KNOWN = 500_000
+KNOWN = 1_000_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -45,16 +45,31 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)}
 
 
+#: Packs so many ids as little-endian unsigned 32-bit integers.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Known(dict):
-    """word -> ids as little-endian unsigned 32-bit bytes; the full table becomes the older half."""
+    """word -> ids as little-endian unsigned 32-bit bytes; the full table becomes the older half.
+
+    Most different words are rare, so most of the time goes into words that are not here yet.
+    """
 
-    def __init__(self, encode):
+    def __init__(self, encode, merge, blank: bytes, end: bytes):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.merge, self.blank, self.end, self.older = encode, merge, blank, end, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
+        older = self.older
+        if word in older:
+            ids = older[word]
+        elif self.merge and word.isalpha():  # one pre-token
+            ids = _packed(self.merge(self.blank + word.encode() + self.end))
+        else:
             ids = self.encode(word)
         if len(self) >= KNOWN // 2:
             self.older = dict(self)
@@ -78,7 +93,7 @@ class Encoder:
             self._merge = self._ranks(json.load(f)["model"]["vocab"])
         self._blank = "" if self.kind == "lower" else " "
         self._marks = {m: self._encode_word(m) for m in ",.!?;:"}
-        self.known = _Known(self._new_word)
+        self.known = _Known(self._new_word, self._merge, self._blank.encode(), self._end)
 
     def _ranks(self, vocabulary: dict[str, int]):
         """The vocabulary as byte ranks; a word's end becomes the byte 255, which UTF-8 never uses."""
@@ -92,7 +107,8 @@ class Encoder:
         for b in range(256):
             ranks.setdefault(bytes([b]), len(vocabulary) + b)
         merge = tiktoken.Encoding("words", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
-        return merge._encode_single_piece if self.check_ranks(merge._encode_single_piece, ranks) else None
+        piece = merge._core_bpe.encode_single_piece
+        return piece if self.check_ranks(piece, ranks) else None
 
     def check_ranks(self, merge, ranks: dict[bytes, int]) -> bool:
         """Every whole-word entry of the vocabulary, and pairs of entries, by both ways."""
@@ -119,7 +135,7 @@ class Encoder:
 
     def _one(self, piece: bytes) -> bytes:
         ids = self._merge(piece + self._end) if self._merge else self._by_model(piece)
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed(ids)
 
     def plain(self, text: str) -> bool:
         return _OTHER.search(text) is None and not any(s in text for s in self.special)
