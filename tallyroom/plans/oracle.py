@@ -1275,6 +1275,11 @@ FROM tp GROUP BY category"""
 }
 ORACLE["materialize"] = ORACLE["monthly_sales"]
 ORACLE["indexed_load"] = ORACLE["incremental_load"]
+for _name in ("customer_ltv", "cohort_retention", "rfm_scores"):
+    ORACLE[f"bucketed_{_name}"] = ORACLE[_name]
+ORACLE["cap_outliers_by_sketch"] = ORACLE["cap_outliers"]
+ORACLE["profile_by_load"] = f"""SELECT "column", dtype, null_count, null_pct, true AS close
+FROM ({ORACLE['column_profile']}) WHERE table_name = 'sales_transactions'"""
 ORACLE["clean_and_audit"] = f"SELECT * FROM ({ORACLE['cleaning_audit']}) WHERE table_name = 'sales_transactions'"
 ORACLE["written_clean_transactions"] = ORACLE["clean_transactions"]
 ORACLE["secured_view"] = f"SELECT * FROM ({ORACLE['regional_monthly']}) WHERE region IN ('ASIA', 'EUROPE')"

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyroom.functions import sketches
 from tallyroom.functions.durable import scratch_path
 from tallyroom.operators import (
     audits,
@@ -340,6 +341,39 @@ def _written_clean_transactions(s: Star) -> DataFrame:
     return readers.read_parquet_table(s.spark, folder, "sales_transactions")
 
 
+def _bucketed(s: Star) -> tuple[DataFrame, DataFrame]:
+    """Transactions and customers of tables bucketed by customer."""
+    folder = scratch_path(s.spark, "bucketed")
+    database = f"tallyroom_{uuid.uuid4().hex[:12]}"
+    catalog.create_database(s.spark, database, f"{folder}/db")
+    txn = s.transactions().select(*SALES_TRANSACTIONS.fieldNames())
+    products = s.products().select(*PRODUCTS.fieldNames())
+    catalog.create_bucketed_tables(s.spark, database, folder, _customers_contract(s), products, txn, 3)
+    return s.spark.table(f"{database}.sales_transactions"), s.spark.table(f"{database}.customers")
+
+
+def _cap_by_sketch(s: Star) -> DataFrame:
+    """Prices capped by the sketches of two loads."""
+    priced = _priced_products(s)
+    kept = sketches.LoadSketches(s.spark, scratch_path(s.spark, "sketches"))
+    amounts = priced.select("unit_cost", "unit_price")
+    kept.add(amounts.where("unit_price < 1000"), "first")
+    kept.add(amounts.where("unit_price >= 1000"), "second")
+    return _shown(sketches.cap_outliers(priced, sketches=kept)).select("product_id", "unit_cost", "unit_price")
+
+
+def _profile_by_load(s: Star) -> DataFrame:
+    """Profile merged from one sketch a year, beside the exact counts of distinct values."""
+    txn = s.transactions().select(*SALES_TRANSACTIONS.fieldNames())
+    kept = sketches.LoadSketches(s.spark, scratch_path(s.spark, "sketches"))
+    for r in txn.select("year").distinct().collect():
+        kept.add(txn.where(F.col("year") == r.year), str(r.year))
+    exact = checks.column_profile(txn).select("column", F.col("unique").alias("exact"))
+    # six standard errors
+    close = F.abs(F.col("unique") - F.col("exact")) <= F.col("exact") * 6 * 1.04 / 2 ** (sketches.HLL_LG_K / 2)
+    return kept.profile().join(exact, "column").select("column", "dtype", "null_count", "null_pct", close.alias("close"))
+
+
 def _secured_view(s: Star) -> DataFrame:
     """What the session's own user may see of a stored table: two regions, one of them granted twice."""
     database = _registered(s)
@@ -397,6 +431,9 @@ QUERIES: dict[str, Q] = {
     "rollup_kpi_totals": lambda s: _rollups(s).kpi_totals(),
     "rollup_quarterly_revenue": lambda s: _rollups(s).quarterly_revenue(),
     "row_level_filter": _row_level_filter,
+    "bucketed_customer_ltv": lambda s: customer.customer_ltv(*_bucketed(s)),
+    "bucketed_cohort_retention": lambda s: customer.cohort_retention(*_bucketed(s)),
+    "bucketed_rfm_scores": lambda s: customer.rfm_scores(*_bucketed(s)),
     "secured_view": _secured_view,
     "scoped_filter": _scoped_filter,
     # cleaning
@@ -411,6 +448,7 @@ QUERIES: dict[str, Q] = {
     "cap_outliers": lambda s: _shown(cleaning.cap_outliers(_priced_products(s))).select(
         "product_id", "unit_cost", "unit_price"
     ),
+    "cap_outliers_by_sketch": _cap_by_sketch,
     "derive_margin_pct": lambda s: cleaning.derive_margin_pct(s.products().drop("margin_pct")).select(
         "product_id", "margin_pct"
     ),
@@ -509,6 +547,7 @@ QUERIES: dict[str, Q] = {
     ),
     "validation_gate": _validation_gate,
     "column_profile": _column_profile,
+    "profile_by_load": _profile_by_load,
     # headline figures
     "kpi_totals": lambda s: kpi.kpi_totals(s.transactions(region=False), s.products()),
     "quarterly_revenue": lambda s: kpi.quarterly_revenue(s.transactions(region=False)),

@@ -51,6 +51,44 @@ def create_external_tables(spark: SparkSession, database: str, folder: str) -> D
     return out
 
 
+def bucket_skew(df: DataFrame, key: str, buckets: int) -> float:
+    """Rows of the fullest bucket over the mean; each key is one row per task before it is dealt out."""
+    number = F.pmod(F.hash(key), F.lit(buckets))  # the hash that buckets and hash partitions use
+    sizes = df.groupBy(number.alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    fullest, rows = sizes.agg(F.max("c"), F.sum("c")).first()
+    return 0.0 if not rows else fullest * buckets / rows
+
+
+def create_bucketed_tables(
+    spark: SparkSession,
+    database: str,
+    folder: str,
+    customers: DataFrame,
+    products: DataFrame,
+    txn: DataFrame,
+    buckets: int,
+    most_skew: float = 4.0,
+) -> None:
+    """The three tables with customers and transactions bucketed and sorted by customer, and column statistics.
+
+    Whatever is grouped or joined by customer then needs no shuffle of the transactions, again and again. A
+    bucket is read by one task, so a customer with a large share of all rows would make one task as
+    large: where the fullest bucket holds more than ``most_skew`` times the mean, the table is refused
+    (``create_external_tables`` is the layout for it). Months stay folders; each has at most ``buckets`` files.
+    """
+    skew = bucket_skew(txn.where(F.col("customer_id").isNotNull()), "customer_id", buckets)
+    if skew > most_skew:
+        raise ValueError(f"a bucket would hold {skew:.1f} times the mean: too uneven for {buckets} buckets by customer_id")
+    for name, df in (("customers", customers), ("products", products), ("sales_transactions", txn)):
+        writer = df.write
+        if name != "products":
+            writer = df.repartition(buckets, "customer_id").write.bucketBy(buckets, "customer_id").sortBy("customer_id")
+        if PARTITIONS[name]:
+            writer = writer.partitionBy(*PARTITIONS[name])
+        writer.mode("overwrite").format("parquet").option("path", f"{folder}/{name}").saveAsTable(f"`{database}`.{name}")
+        spark.sql(f"ANALYZE TABLE `{database}`.{name} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
 def repair_partitions(spark: SparkSession, database: str, table: str = "sales_transactions") -> DataFrame:
     """Register directories that appeared since the table was created; lists what is known."""
     spark.sql(f"MSCK REPAIR TABLE `{database}`.{table}")
