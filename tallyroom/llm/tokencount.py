@@ -22,11 +22,14 @@ from .store import sliced, text_or_empty
 from .tokens import KNOWN, encoder
 
 _SYNC = re.compile(r"(?<=\S)(?=[ \t\n\r])")
-_HOST = r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+_HOST = r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+#: A local part starts where no longer one is cut, or where the last match ended: the matches are the leftmost
+#: ones, and a long run of such characters is read once and not from each of its places.
+_LOCAL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++"
 #: Personal data that the query masks, and what stands for it. A full stop may precede or follow a
 #: network address, a further number may not; one that begins a mail address is left to that.
 MASKS = (
-    (Rule("mail", rf"[A-Za-z0-9._%+-]+{_HOST}", 1), "@", "<mail>"),
+    (Rule("mail", rf"{_LOCAL}{_HOST}", 1), "@", "<mail>"),
     (
         Rule(
             "ip",
