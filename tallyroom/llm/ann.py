@@ -21,7 +21,8 @@ from .store import Scratch
 
 #: Most vectors that centroids, probe counts and first bounds are fitted on; every vector is indexed.
 SAMPLE = 20_000
-LISTS = 1024
+#: Lists grow with the root of the table up to a quarter of the sample.
+SHARE = 4
 #: Share of a sample's true neighbours that must lie in the visited lists.
 COVER = 0.97
 COLUMNS = 16
@@ -29,6 +30,8 @@ E = 2.1
 BLOCK = 1024
 CHUNK = 256
 K = 10
+#: Rank in the sample whose distance bounds a query.
+NEAREST = 3 * K
 
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
@@ -48,14 +51,14 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
 
 
 class Plan:
-    """What is fitted on the bounded sample: rotation, centroids, how many lists to visit, the sample."""
+    """What is fitted on the bounded sample: rotation, centroids, how many lists to visit, first bounds."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, total: int, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.ids, self.x = ids, x
         q, r = np.linalg.qr(rng.normal(size=(x.shape[1], x.shape[1])))
         self.rotation = q * np.sign(np.diag(r))
-        lists = int(min(LISTS, max(1, round(total**0.5)), len(x)))
+        lists = int(max(1, min(round(total**0.5), len(x) // SHARE)))
         self.centroids = self._means(lists, rng)
         self.probes = self._probes()
 
@@ -84,23 +87,16 @@ class Plan:
         needed = np.sort(np.concatenate(needed))
         return int(needed[min(len(needed) - 1, int(COVER * len(needed)))]) + 1
 
-    def firsts(self, ids: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The sample's K nearest of each query: they are what the bound rests on, so they are found."""
-        d = squared(q, self.x)
-        d[ids[:, None] == self.ids[None, :]] = np.inf
-        near = np.argpartition(d, min(K, d.shape[1]) - 1, axis=1)[:, :K]
-        at_q = np.repeat(np.arange(len(ids)), near.shape[1])
-        at_x = near.ravel()
-        other = self.ids[at_x] != ids[at_q]
-        at_q, at_x = at_q[other], at_x[other]
-        gap = q[at_q] - self.x[at_x]
-        return ids[at_q], self.ids[at_x], np.sqrt((gap * gap).sum(axis=1))
-
     def bound(self, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Squared distance to the K-th nearest of the sample: no less than that of all vectors."""
+        """Squared distance to the NEAREST-th of the sample, within which any table has at least as many vectors.
+
+        They are more than K, so that K are found though some lie in lists that are not visited.
+        """
         d = squared(q, self.x)
         d[ids[:, None] == self.ids[None, :]] = np.inf
-        return np.partition(d, K - 1, axis=1)[:, K - 1] * (1 + 1e-9) + 1e-12 if d.shape[1] >= K else np.full(len(q), np.inf)
+        if d.shape[1] < NEAREST:
+            return np.full(len(q), np.inf)
+        return np.partition(d, NEAREST - 1, axis=1)[:, NEAREST - 1] * (1 + 1e-9) + 1e-12
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -149,14 +145,6 @@ def _visits(plan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _firsts(plan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    p: Plan = plan.value
-    for b in batches:
-        if b.num_rows:
-            made = p.firsts(np.asarray(b.column(0)), _matrix(b.column(1), p.x.shape[1]))
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in made], ["query_id", "vec_id", "score"])
-
-
 def scan(ids: np.ndarray, columns: np.ndarray, plain: np.ndarray, own: np.ndarray, q: np.ndarray, turned: np.ndarray, bound: np.ndarray):
     """The up to K nearest of one block for each query: (query row, vector row, distance)."""
     dimension = len(columns)
@@ -259,8 +247,6 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, sample: int = S
         .select("ids", "columns", "plain", "asked")
         .mapInArrow(partial(_search, plan), "query_id long, vec_id long, score double")
     )
-    firsts = asked.mapInArrow(partial(_firsts, plan), "query_id long, vec_id long, score double")
-    found = found.unionByName(firsts).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))

@@ -166,3 +166,22 @@ def test_nearest_odd_rows(spark):
     got = [(r.query_id, r.rank, r.vec_id) for r in ann.search(frame).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 3), (0, 2, 100), (100, 1, 0), (100, 2, 3)]
     assert ann.search(frame.limit(0)).count() == 0
+
+
+def test_nearest_through_lists_on_a_sample_smaller_than_the_table(spark):
+    """Unclustered vectors, the hardest case: nothing but visited lists can have found these."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got: dict = {}
+    for r in ann.search(df, sample=1500).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hits = 0
+    for i in range(0, 6000, 100):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        near = set(np.argsort(d)[:10].tolist())
+        assert sorted(k for k, _, _ in got[i]) == list(range(1, 11))
+        assert all(abs(s - d[v]) < 1e-12 for _, v, s in got[i])
+        hits += len(near & {v for _, v, _ in got[i]})
+    assert hits >= 0.9 * 600
