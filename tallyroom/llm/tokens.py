@@ -35,7 +35,7 @@ _PATTERN = {
 WORD = re.compile(r"\s+\S*|\S+")
 #: White space next to a blank: the blank is then not a word's own first character.
 _WIDE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
-KNOWN = 1_000_000
+KNOWN = 500_000
 
 
 def _byte_letters() -> dict[int, str]:
