@@ -44,6 +44,7 @@ def _tokenise(path: str, end: int, batches: Iterator[pa.RecordBatch]) -> Iterato
             ],
             ["row", "doc_id", "source", "n", "ids"],
         )
+    code.rest()
 
 
 def running(scratch: Scratch, df: DataFrame, order: list[str], size: str, out: str, name: str) -> DataFrame:

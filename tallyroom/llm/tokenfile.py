@@ -158,6 +158,7 @@ def _write_segments(path: str, end: int, batches: Iterator[pa.RecordBatch]) -> I
                 yield flush()
     if docs:
         yield flush()
+    code.rest()
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:

@@ -13,12 +13,14 @@ library when an encoder is made, and without agreement the library's own model i
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import json
 import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -159,6 +161,14 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.packed(text), dtype="<u4")
 
+    def rest(self) -> None:
+        """At the end of a task: forget the older words and give freed memory back, since the worker lives on."""
+        self.known.older = {}
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
