@@ -30,8 +30,9 @@ def brute(rows, length):
     return sorted(out)
 
 
-def result(docs, length):
-    return sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring.repeats(docs, length).collect())
+def result(docs, length, shortest=2):
+    found = substring.repeats(docs, length, shortest).collect()
+    return sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in found)
 
 
 @settings(max_examples=200, deadline=None)
@@ -70,3 +71,40 @@ def test_odd_rows(spark, docs_of):
 
 def test_covered():
     assert substring.covered(6, np.array([1, 2]), 2).tolist() == [False, True, True, True, False, False]
+
+
+def test_lengths_double():
+    assert substring.levels(50) == [13, 25, 50]
+    assert substring.levels(50, 2) == [2, 4, 7, 13, 25, 50]
+    assert substring.levels(5, 2) == [2, 3, 5]
+    assert substring.levels(8) == [8] and substring.levels(1, 1) == [1]
+
+
+def test_levels_narrow_the_candidates_and_stop_without_any(spark, docs_of, monkeypatch):
+    counts: dict = {}
+    write = substring.Scratch.write
+
+    def counting(self, df, name):
+        out = write(self, df, name)
+        if name == "texts" or name.startswith("level_"):
+            counts.setdefault(name.split("_")[0], []).append(out.count())
+        return out
+
+    monkeypatch.setattr(substring.Scratch, "write", counting)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i, n in enumerate((12, 13, 14, 24, 25, 26, 49, 50, 51, 80)):  # passages shared by two documents
+        passage = " ".join(words[i * 30 : i * 30 + n])
+        for d in (100 + i, 200 + i):
+            rows.append((d, f"{' '.join(f'd{d}x{j}' for j in range(60))} {passage} {' '.join(f'e{d}x{j}' for j in range(60))}"))
+    rows += [(300, " ".join(words[:50])), (301, "z " * 70), (302, "z " * 55)]
+    want = brute(rows, 50)
+    assert result(docs_of(*rows), 50, 10) == want and any(n for _, _, n, _ in want)
+    alive = counts["texts"]
+    assert len(counts["level"]) == 2 and alive[0] > alive[1] > 0
+    assert result(docs_of(*rows), 50, 50) == want
+
+    counts.clear()
+    lone = [(i, f"{' '.join(f'e{i}x{j}' for j in range(60))} {' '.join(words[:5])}") for i in range(6)]
+    assert result(docs_of(*lone), 50, 10) == brute(lone, 50)
+    assert counts["texts"] == [0] and len(counts["level"]) == 1
