@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -46,7 +47,7 @@ def words_of(text: str) -> list[str]:
     return (_WORD if text.isascii() else _ANY_WORD).findall(text.lower())
 
 
-def shingles(words: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
+def shingles(words: list, size: int = SHINGLE) -> set[tuple]:
     """Shingles of ``size`` words; the whole sequence if it is shorter, none if it is empty."""
     if len(words) < size:
         return {tuple(words)} if words else set()
@@ -62,7 +63,7 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return words[: (len(words) + 1) // 2], words[(len(words) + 1) // 2 :]
 
 
-def _sides(whole: list[str], question: int) -> tuple[set, set]:
+def _sides(whole: list, question: int) -> tuple[set, set]:
     """Shingles of the question, and those that reach into the answer; each at least one, if there are any."""
     if len(whole) < SHINGLE:
         return shingles(whole), shingles(whole)
@@ -71,7 +72,7 @@ def _sides(whole: list[str], question: int) -> tuple[set, set]:
     return set(in_order[:inside]), set(in_order[inside:] or in_order[-1:])
 
 
-def parts_of(whole: list[str]) -> list[Counter]:
+def parts_of(whole: list) -> list[Counter]:
     """Terms of the parts of an item, which are of about one size and no longer than half a passage."""
     size = math.ceil(len(whole) / math.ceil(len(whole) / STRIDE)) if whole else 1
     return [Counter(whole[i : i + size]) for i in range(0, len(whole), size)]
@@ -88,70 +89,92 @@ class Tally(NamedTuple):
 class Index:
     """Postings by term: part numbers ascending, their shares, and the largest share of each block.
 
-    Shares follow ``tally``, which must cover ``items``; without it the items are the whole benchmark.
+    Everything that grows with the items lies in flat arrays, one after the other: the postings of term t
+    are those from ``first[t]`` to ``first[t + 1]``, its blocks those from ``block[t]`` on, an item's
+    words are term numbers. Shingles are made of an item's words when it is retrieved. Shares follow
+    ``tally``, which must cover ``items``; without it the items are the whole benchmark.
     """
 
-    def __init__(self, items: list[tuple[int, str]], tally: Tally | None = None):
-        self.items, parts, self.item_of = [], [], []
-        self.size_of: list[int] = []  # of an item's shingles: an item of fewer than five words is one
+    def __init__(self, items: Iterable[tuple[int, str]], tally: Tally | None = None):
+        self.terms: dict[str, int] = {}
+        self.names, self.questions, self.item_of = array("q"), array("i"), array("i")
+        self.words, self.ends = array("i"), array("q", [0])  # of the items
+        term, tf, sizes, lengths = array("i"), array("i"), array("i"), array("i")  # sizes, lengths: of the parts
         for item, text in items:
             question, answer = question_and_answer(text)
-            whole = question + answer
+            whole = [self.terms.setdefault(w, len(self.terms)) for w in question + answer]
             if not whole:
                 continue
-            number = len(self.items)
-            self.size_of.append(min(SHINGLE, len(whole)))
-            self.items.append((item, shingles(whole), *_sides(whole, len(question))))
-            made = parts_of(whole)
-            parts += made
-            self.item_of += [number] * len(made)
+            for part in parts_of(whole):
+                term.extend(part.keys())
+                tf.extend(part.values())
+                sizes.append(len(part))
+                lengths.append(part.total())
+                self.item_of.append(len(self.names))
+            self.names.append(item)
+            self.questions.append(len(question))
+            self.words.extend(whole)
+            self.ends.append(len(self.words))
+        self._weigh(_view(term), _view(tf), _view(sizes), _view(lengths), tally)
+        self._essential(len(sizes))
+
+    def _weigh(self, term: np.ndarray, tf: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, tally: Tally | None) -> None:
+        """Postings from the terms of all parts, part by part."""
+        count = np.bincount(term, minlength=len(self.terms))
         if tally is None:
-            tally = Tally(len(parts), sum(p.total() for p in parts), Counter(t for p in parts for t in p))
-        total, found = tally.parts, tally.found
-        mean = tally.words / max(1, total)
-        lists: dict[str, list[tuple[int, float]]] = defaultdict(list)
-        for number, part in enumerate(parts):
-            norm = _K1 * (1 - _B + _B * part.total() / mean)
-            weight = {
-                t: math.log(1 + (total - found[t] + 0.5) / (found[t] + 0.5)) * tf * (_K1 + 1) / (tf + norm)
-                for t, tf in part.items()
-            }
-            whole = sum(weight.values())
-            for t, w in weight.items():
-                lists[t].append((number, w / whole))
-        self.terms = {t: i for i, t in enumerate(lists)}
-        self.postings = [
-            (
-                [n for n, _ in p],
-                [s for _, s in p],
-                [max(s for _, s in p[i : i + POSTINGS_PER_BLOCK]) for i in range(0, len(p), POSTINGS_PER_BLOCK)],
-            )
-            for p in lists.values()
-        ]
-        self.most = [max(blocks) for _, _, blocks in self.postings]
-        self._essential(len(parts))
+            total, words, found = len(sizes), int(lengths.sum()), count
+        else:
+            total, words = tally.parts, tally.words
+            found = np.fromiter((tally.found[t] for t in self.terms), np.int64, len(self.terms))
+        part = np.repeat(np.arange(len(sizes)), sizes)
+        norm = _K1 * (1 - _B + _B * lengths / (words / max(1, total)))
+        rare = np.log(1 + (total - found + 0.5) / (found + 0.5))
+        weight = rare[term] * tf * (_K1 + 1) / (tf + norm[part])
+        share = weight / np.bincount(part, weight, len(sizes))[part]
+        order = np.argsort(term, kind="stable")
+        first = np.concatenate(([0], np.cumsum(count)))
+        blocks = -(-count // POSTINGS_PER_BLOCK)
+        block = np.concatenate(([0], np.cumsum(blocks)))
+        inside = np.arange(block[-1]) - np.repeat(block[:-1], blocks)
+        starts = np.repeat(first[:-1], blocks) + inside * POSTINGS_PER_BLOCK
+        share = share[order]
+        top = np.maximum.reduceat(share, starts) if len(starts) else share
+        self.first, self.block = array("q", first.astype(np.int64).tobytes()), array("q", block.astype(np.int64).tobytes())
+        self.part, self.share = array("i", part[order].astype(np.int32).tobytes()), array("d", share.tobytes())
+        self.top = array("d", top.tobytes())
+        self.most = array("d", (np.maximum.reduceat(share, first[:-1]) if len(count) else share).tobytes())
+
+    def postings(self, term: int) -> tuple[array, array, array]:
+        """Part numbers, shares and the blocks' largest shares of a term."""
+        held, blocks = slice(*self.first[term : term + 2]), slice(*self.block[term : term + 2])
+        return self.part[held], self.share[held], self.top[blocks]
+
+    def item(self, number: int) -> tuple[int, set, set, set, int]:
+        """An item's id, its shingles, those of its question and of its answer, and their size."""
+        whole = self.words[self.ends[number] : self.ends[number + 1]].tolist()
+        size = min(SHINGLE, len(whole))  # an item of fewer than five words is one shingle
+        return self.names[number], shingles(whole), *_sides(whole, self.questions[number]), size
+
+    def n_bytes(self) -> int:
+        """Bytes of the flat arrays; the table of terms comes on top."""
+        arrays = (a for a in vars(self).values() if isinstance(a, (array, np.ndarray)))
+        return sum(a.nbytes if isinstance(a, np.ndarray) else a.itemsize * len(a) for a in arrays)
 
     def _essential(self, parts: int) -> None:
         """Leaves the commonest terms out of the first bound as long as no part owes them much.
 
-        ``owed`` is what a part can get from them; the postings of all other terms lie end to end.
+        ``owed`` is what a part can get from them; ``length`` is how many postings of a term count.
         """
-        order = sorted(range(len(self.postings)), key=lambda t: -len(self.postings[t][0]))
+        self.length = np.append(np.diff(_view(self.first, np.int64)), 0)  # last: words outside the index
+        numbers, shares = _view(self.part), _view(self.share, np.float64)
         self.owed = np.zeros(parts)
-        left_out = set()
-        for t in order:
-            numbers, shares, _ = self.postings[t]
-            after = self.owed.copy()
-            after[numbers] += shares
+        for t in np.argsort(-self.length[:-1], kind="stable").tolist():
+            held = slice(*self.first[t : t + 2])
+            after = self.owed[numbers[held]] + shares[held]
             if after.max(initial=0.0) > COMMON:
                 break
-            self.owed = after
-            left_out.add(t)
-        kept = [([], []) if t in left_out else p[:2] for t, p in enumerate(self.postings)]
-        self.length = np.array([len(n) for n, _ in kept] + [0], dtype=np.int64)  # last: words outside the index
-        self.first = np.concatenate(([0], np.cumsum(self.length)))[:-1]
-        self.flat_part = np.array([n for p, _ in kept for n in p], dtype=np.int64)
-        self.flat_share = np.array([x for _, p in kept for x in p], dtype=np.float64)
+            self.owed[numbers[held]] = after
+            self.length[t] = 0
 
     def promising(self, terms: np.ndarray, windows: int, share: float) -> list[int]:
         """Passages in which some part could reach ``share``: all others need no search.
@@ -164,8 +187,9 @@ class Index:
         stretch, term = np.divmod(pairs, len(self.length))
         count = self.length[term]
         inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        place = np.repeat(self.first[term], count) + inside
-        part, gain, stretch = self.flat_part[place], self.flat_share[place], np.repeat(stretch, count)
+        place = np.repeat(_view(self.first, np.int64)[term], count) + inside
+        part, gain = _view(self.part)[place].astype(np.int64), _view(self.share, np.float64)[place]
+        stretch = np.repeat(stretch, count)
         key = np.concatenate((stretch * len(self.owed) + part, (stretch - 1) * len(self.owed) + part))
         known, where = np.unique(key, return_inverse=True)
         sums = np.bincount(where, np.concatenate((gain, gain)), len(known))
@@ -176,7 +200,7 @@ class Index:
     def retrieve(self, terms: list[int], share: float) -> dict[int, float]:
         """All parts that score at least ``share`` for the different ``terms``: block-max WAND."""
         share -= 1e-9
-        cursors = [[self.postings[t][0][0], 0, t] for t in terms]  # part, position, term
+        cursors = [[self.part[self.first[t]], self.first[t], t] for t in terms]  # part, place, term
         found = {}
         while cursors:
             cursors.sort()
@@ -193,19 +217,19 @@ class Index:
                 pivot += 1
             at_block, border = 0.0, math.inf
             for c in cursors[: pivot + 1]:
-                numbers, _, blocks = self.postings[c[2]]
-                block = self._block(numbers, c[1], part)
-                if block < len(blocks):
-                    at_block += blocks[block]
-                    last = min(len(numbers), (block + 1) * POSTINGS_PER_BLOCK) - 1
-                    border = min(border, numbers[last] + 1)
+                start, end = self.first[c[2]], self.first[c[2] + 1]
+                block = self._block(c[2], c[1], part)
+                if start + block * POSTINGS_PER_BLOCK < end:
+                    at_block += self.top[self.block[c[2]] + block]
+                    last = min(end, start + (block + 1) * POSTINGS_PER_BLOCK) - 1
+                    border = min(border, self.part[last] + 1)
             if at_block < share:
                 # no part up to the nearest block border can do it; nor before the next cursor's part
                 goal = min(border, cursors[pivot + 1][0] if pivot + 1 < len(cursors) else math.inf)
                 goal = max(goal, part + 1)
                 cursors = self._advance(cursors, pivot, goal)
             elif cursors[0][0] == part:
-                score = sum(self.postings[t][1][at] for p, at, t in cursors[: pivot + 1] if p == part)
+                score = sum(self.share[at] for p, at, _ in cursors[: pivot + 1] if p == part)
                 if score >= share:
                     found[part] = score
                 cursors = self._advance(cursors, pivot, part + 1)
@@ -213,11 +237,11 @@ class Index:
                 cursors = self._advance(cursors, pivot, part)
         return found
 
-    @staticmethod
-    def _block(numbers: list[int], at: int, part: int) -> int:
-        """The block that would hold ``part``, not before position ``at``."""
-        block = at // POSTINGS_PER_BLOCK
-        while (block + 1) * POSTINGS_PER_BLOCK <= len(numbers) and numbers[(block + 1) * POSTINGS_PER_BLOCK - 1] < part:
+    def _block(self, term: int, at: int, part: float) -> int:
+        """The block of a term that would hold ``part``, not before place ``at``."""
+        start, size = self.first[term], self.first[term + 1] - self.first[term]
+        block = (at - start) // POSTINGS_PER_BLOCK
+        while (block + 1) * POSTINGS_PER_BLOCK <= size and self.part[start + (block + 1) * POSTINGS_PER_BLOCK - 1] < part:
             block += 1
         return block
 
@@ -225,13 +249,13 @@ class Index:
         out = []
         for i, c in enumerate(cursors):
             if i <= pivot and c[0] < goal:
-                numbers = self.postings[c[2]][0]
-                at = max(c[1], self._block(numbers, c[1], goal) * POSTINGS_PER_BLOCK)
-                while at < len(numbers) and numbers[at] < goal:
+                term, end = c[2], self.first[c[2] + 1]
+                at = max(c[1], self.first[term] + self._block(term, c[1], goal) * POSTINGS_PER_BLOCK)
+                while at < end and self.part[at] < goal:
                     at += 1
-                if at == len(numbers):
+                if at >= end:
                     continue
-                c = [numbers[at], at, c[2]]
+                c = [self.part[at], at, term]
             out.append(c)
         return out
 
@@ -247,15 +271,18 @@ class Index:
         windows = max(1, -(-(len(words) - STRIDE) // STRIDE))
         best: dict[int, float] = {}
         seen: dict[int, set] = defaultdict(set)
+        items: dict[int, tuple] = {}
         for s in (w * STRIDE for w in self.promising(terms, windows, share)):
             here = set(terms[s : s + PASSAGE].tolist()) - {none}
             for part, score in self.retrieve(list(here), share).items():
                 item = self.item_of[part]
                 best[item] = max(score, best.get(item, 0.0))
-                seen[item] |= shingles(words[s : s + PASSAGE], self.size_of[item])
+                if item not in items:
+                    items[item] = self.item(item)
+                seen[item] |= shingles(terms[s : s + PASSAGE].tolist(), items[item][-1])
         out = []
         for item, score in best.items():
-            name, whole, question, answer = self.items[item]
+            name, whole, question, answer, _ = items[item]
             held = seen[item]
             in_question, in_answer = (len(s & held) / len(s) if s else 1.0 for s in (question, answer))
             both = in_question >= overlap and in_answer >= overlap
@@ -264,6 +291,11 @@ class Index:
         return out
 
 
+def _view(values: array, kind: type = np.int32) -> np.ndarray:
+    """A flat array for numpy, without a copy."""
+    return np.frombuffer(values, dtype=kind)
+
+
 def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> Iterator[Index]:
     """Indexes of at most about ``most`` bytes of item texts each; null and wordless items are left out.
 
@@ -285,8 +317,8 @@ def indexes(benchmark: DataFrame, most: int = INDEX_BYTES) -> Iterator[Index]:
     try:
         for i in range(shards):
             tally = None if counted is None else _tally(counted.where(F.col("shard") == i))
-            rows = numbered.where(F.col("shard") == i).orderBy("item_id", "text").collect()
-            yield Index([(r["item_id"], r["text"]) for r in rows], tally)
+            rows = numbered.where(F.col("shard") == i).orderBy("item_id", "text").toLocalIterator()
+            yield Index(((r["item_id"], r["text"]) for r in rows), tally)
     finally:
         if scratch is not None:
             scratch.clean()

@@ -14,10 +14,10 @@ def test_wand_retrieves_what_full_scoring_retrieves():
     items = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(rng.randint(3, 70)))) for i in range(400)]
     index = decontaminate.Index(items)
     for _ in range(150):
-        terms = rng.sample(range(len(index.postings)), min(60, len(index.postings)))
+        terms = rng.sample(range(len(index.terms)), min(60, len(index.terms)))
         score: dict = {}
         for t in terms:
-            for part, share in zip(*index.postings[t][:2], strict=True):
+            for part, share in zip(*index.postings(t)[:2], strict=True):
                 score[part] = score.get(part, 0) + share
         for share in (0.05, 0.2, 0.5):
             got = index.retrieve(terms, share)
@@ -69,7 +69,7 @@ def test_items_without_latin_letters(spark, docs_of):
     docs = docs_of(*rows)
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()) == [(1, 1), (2, 2)]
     assert sorted(r.doc_id for r in decontaminate.drop_leaky(docs, bench).collect()) == [3, 4]
-    assert sum(len(p.items) for p in decontaminate.indexes(bench)) == 2
+    assert sum(len(p.names) for p in decontaminate.indexes(bench)) == 2
 
 
 def test_short_items(spark, docs_of):
@@ -93,7 +93,7 @@ def test_short_items(spark, docs_of):
 def test_many_small_indexes_find_the_same(spark):
     bench, docs = table(spark, SMALL, "benchmark"), table(spark, SMALL, "documents")
     parts = list(decontaminate.indexes(bench, 4_000))
-    assert len(parts) > 1 and sum(len(p.items) for p in parts) == bench.count()
+    assert len(parts) > 1 and sum(len(p.names) for p in parts) == bench.count()
     found = {(d.doc_id, leak[0]) for d in docs.collect() for p in parts for leak in p.leaks(d.text)}
     assert found == {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
 
@@ -105,10 +105,10 @@ def test_shares_do_not_depend_on_the_number_of_indexes(spark):
         out = {}
         for index in indexes:
             terms = list(index.terms)
-            for t, (numbers, held, _) in enumerate(index.postings):
-                for number, share in zip(numbers, held, strict=True):
+            for t in range(len(terms)):
+                for number, share in zip(*index.postings(t)[:2], strict=True):
                     item = index.item_of[number]
-                    out[index.items[item][0], number - index.item_of.index(item), terms[t]] = share
+                    out[index.names[item], number - index.item_of.index(item), terms[t]] = share
         return out
 
     many = list(decontaminate.indexes(bench, 4_000))
