@@ -606,7 +606,9 @@ QUERIES: dict[str, Q] = {
     ),
     # customers
     "customer_ltv": lambda s: customer.customer_ltv(s.transactions(region=False), s.customers()),
-    "ltv_by_segment": lambda s: customer.ltv_by_segment(s.transactions(region=False), s.customers(signup=False)),
+    "ltv_by_segment": lambda s: customer.ltv_by_segment(
+        s.transactions(region=False), s.customers(signup=False), with_orders=True
+    ),
     "rfm_scores": lambda s: customer.rfm_scores(s.transactions(region=False), s.customers(signup=False)),
     "rfm_scores_sql": lambda s: customer.rfm_scores_sql(s.transactions(region=False), s.customers(signup=False)),
     "rfm_scores_quantile": lambda s: customer.rfm_scores_quantile(s.transactions(region=False)),

@@ -97,6 +97,15 @@ def test_orders_of_a_segment_are_counted_on_request(spark):
     assert "transaction_id" not in _plan(without).replace("l_", "")
 
 
+def test_the_registered_segment_report_counts_orders(spark):
+    made = {r.segment: (r.customers, r.avg_orders) for r in build("ltv_by_segment", spark, SMALL).collect()}
+    star = Star(spark, SMALL)
+    sold = star.transactions(region=False).join(star.customers(signup=False), "customer_id").groupBy("segment")
+    want = sold.agg(F.countDistinct("customer_id").alias("c"), F.countDistinct("transaction_id").alias("o")).collect()
+    assert {k: n for k, (n, _) in made.items()} == {r.segment: r.c for r in want}
+    assert all(abs(made[r.segment][1] - r.o / r.c) <= 0.005 + 1e-9 for r in want)
+
+
 # -- cleaning
 
 
