@@ -59,10 +59,11 @@ class Star:
         )
 
     def _with_region(self, orders: DataFrame) -> DataFrame:
-        """Add the buyer's region, one lookup at a time.
+        """Add the buyer's region, one lookup at a time, before the orders meet their lines.
 
         Every right side is a plain table, whose size Catalyst knows; the size of
-        tables joined beforehand would be estimated as a product.
+        tables joined beforehand would be estimated as a product.  Customers too
+        many to broadcast then shuffle the orders once more, never the lines.
         """
         return (
             orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -134,8 +135,9 @@ class Star:
     def transactions(self, region: bool = True) -> DataFrame:
         """Transactions; without ``region`` the customer join is left out."""
         order_date = F.col("o_orderdate").cast("date")
+        orders = self.table("orders")
         joined = self.table("lineitem").join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+            self._with_region(orders) if region else orders, F.col("l_orderkey") == F.col("o_orderkey")
         )
         cols = [
             F.concat_ws(
@@ -156,7 +158,6 @@ class Star:
             (_net_cents() / F.lit(100.0)).alias("net_revenue"),
         ]
         if region:
-            joined = self._with_region(joined)
             cols.append(F.col("region"))
         return joined.select(
             *cols, F.year(order_date).alias("year"), F.month(order_date).alias("month")
@@ -243,9 +244,10 @@ class Star:
         unit_price = F.round((F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(28,10)"), 2)
         odd_discount = F.col("l_discount").cast("decimal(4,2)") * 15 - F.lit(0.1).cast("decimal(4,2)")
         units = (F.col("l_quantity").cast("int") - 3).cast("string")
-        lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        orders = self._with_region(self.table("orders"))
         return (
-            self._with_region(lines)
+            self.table("lineitem")
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
                     "transaction_id"
