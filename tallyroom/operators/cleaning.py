@@ -37,6 +37,12 @@ MISSING = (
 )
 #: Date texts that are read besides ISO dates and timestamps.
 DATE_FORMATS = ("yyyy/M/d", "M/d/yyyy", "d MMM yyyy")
+#: What every text of a format looks like: others are not tried, since a failing try costs an exception each.
+DATE_SHAPES = {
+    "yyyy/M/d": "^[+-]?[0-9]{4,}/[0-9]+/[0-9]+$",
+    "M/d/yyyy": "^[0-9]+/[0-9]+/[+-]?[0-9]{4,}$",
+    "d MMM yyyy": "^[0-9]+ [^ ]+ [+-]?[0-9]{4,}$",
+}
 
 
 def mark_missing(df: DataFrame) -> DataFrame:
@@ -48,13 +54,19 @@ def mark_missing(df: DataFrame) -> DataFrame:
 def day_of(c: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """A text as DATE, by ISO first and then by ``formats`` in turn; unreadable gives NULL."""
     texts = F.trim(F.col(c).cast("string"))
-    others = [F.try_to_timestamp(texts, F.lit(f)).cast("date") for f in formats]
+    others = [_tried(texts, f) for f in formats]
     return F.coalesce(texts.try_cast("date"), *others)
 
 
+def _tried(texts: Column, f: str) -> Column:
+    day = F.try_to_timestamp(texts, F.lit(f)).cast("date")
+    return F.when(texts.rlike(DATE_SHAPES[f]), day) if f in DATE_SHAPES else day
+
+
 def number_of(c: str) -> Column:
     """A text as DOUBLE; unreadable, NaN and infinite give NULL."""
-    x = F.trim(F.col(c).cast("string")).try_cast("double")
+    texts = F.trim(F.col(c).cast("string"))
+    x = F.when(texts.rlike("[0-9]"), texts.try_cast("double"))  # a failing cast costs an exception
     return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
 
 
@@ -200,20 +212,31 @@ def clean_products(
     )
 
 
-def clean_transaction_rows(raw: DataFrame) -> DataFrame:
-    """The row-by-row transaction rules: no shuffle, no state."""
+def read_transaction_values(raw: DataFrame) -> DataFrame:
+    """Texts of raw transactions as values; no row is dropped."""
+    return raw.transform(coerce_numbers, ["unit_price", "discount"], ["quantity"]).transform(
+        coerce_dates, (), ["order_date", "ship_date"]
+    )
+
+
+def _sellable(txn: DataFrame) -> DataFrame:
+    return txn.transform(drop_missing, TRANSACTION_REQUIRED).transform(filter_positive_quantity)
+
+
+def _finished(txn: DataFrame) -> DataFrame:
     return (
-        raw.transform(coerce_numbers, ["unit_price", "discount"], ["quantity"])
-        .transform(drop_missing, TRANSACTION_REQUIRED)
-        .transform(coerce_dates, ["order_date"], ["ship_date"])
-        .transform(filter_positive_quantity)
-        .transform(clip_discount)
+        txn.transform(clip_discount)
         .transform(fix_ship_date)
         .transform(derive_net_revenue)
         .transform(derive_partitions)
     )
 
 
+def clean_transaction_rows(raw: DataFrame) -> DataFrame:
+    """The row-by-row transaction rules: no shuffle, no state."""
+    return raw.transform(read_transaction_values).transform(_sellable).transform(_finished)
+
+
 def clean_transactions(
     raw: DataFrame,
     customers: DataFrame,
@@ -223,17 +246,40 @@ def clean_transactions(
     """Deduplicate, apply the row rules, keep rows with known keys.
 
     The first row of a key wins even if a later rule drops it, so the
-    deduplication has to come before the row rules.
+    deduplication has to come before the rules that drop.  Columns are derived
+    behind the last shuffle.
     """
     return (
-        raw.transform(mark_missing)
-        .transform(dedupe_by_key, "transaction_id", order)
-        .transform(clean_transaction_rows)
+        _first_rows(raw, order)
+        .drop(*[f"{name}_unreadable" for name in _READ])
+        .transform(_sellable)
         .transform(drop_orphans, customers, products)
+        .transform(_finished)
         .drop("ingest_seq")
     )
 
 
+#: Columns of a raw transaction that are read from text, and how.
+_READ = {"unit_price": number_of, "discount": number_of, "quantity": whole_of, "order_date": day_of, "ship_date": day_of}
+
+
+def _first_rows(raw: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Deduplicated transactions, values read, with a flag ``<column>_unreadable`` beside each; no other row is dropped.
+
+    Texts are read before the shuffle of the deduplication, once and into narrower rows, unless its order
+    may depend on them.
+    """
+
+    def read(df: DataFrame) -> DataFrame:
+        flags = {f"{name}_unreadable": _unreadable(name, of(name)) for name, of in _READ.items()}
+        return df.withColumns(flags | {name: of(name) for name, of in _READ.items()})
+
+    texts = mark_missing(raw)
+    if all(isinstance(o, str) and o not in _READ for o in order):
+        return dedupe_by_key(read(texts), "transaction_id", order)
+    return read(dedupe_by_key(texts, "transaction_id", order))
+
+
 def _audit(table: str, steps: DataFrame) -> DataFrame:
     """(step, rows) counts of one table as rows."""
     pairs = F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).cast("bigint").alias("rows")) for c in steps.columns])
@@ -244,24 +290,13 @@ def _count(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
 
 
-#: Columns of a raw transaction that are read from text, and how.
-_READ = {"unit_price": number_of, "discount": number_of, "quantity": whole_of, "order_date": day_of, "ship_date": day_of}
-
-
 def _linked(
     raw: DataFrame, customers: DataFrame, products: DataFrame, order: Sequence[str | Column]
 ) -> DataFrame:
     """Deduplicated transactions, none dropped yet: values read, what was unreadable, which parents exist."""
-    first = dedupe_by_key(mark_missing(raw), "transaction_id", order)
     return (
-        first.select(
-            "transaction_id",
-            "customer_id",
-            "product_id",
-            "region",
-            *[_unreadable(name, read(name)).alias(f"{name}_unreadable") for name, read in _READ.items()],
-            *[read(name).alias(name) for name, read in _READ.items()],
-        )
+        _first_rows(raw, order)
+        .select("transaction_id", "customer_id", "product_id", "region", *[f"{name}_unreadable" for name in _READ], *_READ)
         .join(customers.select("customer_id", F.lit(True).alias("has_customer")), "customer_id", "left")
         .join(products.select("product_id", F.lit(True).alias("has_product")), "product_id", "left")
     )

@@ -44,3 +44,33 @@ def test_lines_are_shuffled_once_to_find_the_region(spark, no_broadcast, table):
     plan = _plan(getattr(Star(spark, SMALL), table)())
     above = _above(plan, "FileScan parquet [l_orderkey")
     assert sum("Exchange" in line for line in above) == 1
+
+
+def test_texts_are_read_before_the_deduplication_shuffles_them(spark):
+    star = Star(spark, SMALL)
+    plan = _plan(cleaning.clean_transactions(star.raw_transactions(), star.customers(signup=False), star.products()))
+    above = _above(plan, "Exchange hashpartitioning(transaction_id")
+    assert not any("yyyy/M/d" in line for line in above) and "yyyy/M/d" in plan
+
+
+def test_shapes_of_dates_and_numbers_refuse_nothing_that_is_read(spark):
+    days = ["2020-1-5", "2020/1/05", "2020/01/05 ", "1/5/2020", "12/31/2020", "5 Jan 2020", "05 Jan 2020", "5 jan 2020", "not a date"]
+    days += ["2021/13/45", "13/45/2021", "+12020/1/5", "-2020/1/5", "1/5/20", "20/1/5", "5 January 2020", "5  Jan 2020", "", " ", None]
+    df = spark.createDataFrame([(d,) for d in days], "t string")
+    free = [F.try_to_timestamp(F.trim("t"), F.lit(f)).cast("date") for f in cleaning.DATE_FORMATS]
+    made = df.select(cleaning.day_of("t").cast("string"), F.coalesce(F.trim("t").try_cast("date"), *free).cast("string")).collect()
+    assert all(a == b for a, b in made) and sum(a is not None for a, _ in made) >= 7
+    numbers = ["1", "-1.5", "1e3", ".5", "5.", "1d", "2F", "0x1p3", "+7", "x", "much", "Infinity", "-inf", "NaN", "1e999", "", None]
+    df = spark.createDataFrame([(x,) for x in numbers], "t string")
+    x = F.trim("t").try_cast("double")
+    made = df.select(cleaning.number_of("t"), F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)).collect()
+    assert all(a == b for a, b in made) and sum(a is not None for a, _ in made) >= 6
+
+
+def test_a_deduplication_by_texts_sees_the_texts(spark):
+    names = ["transaction_id", "customer_id", "product_id", "order_date", "ship_date", "quantity", "unit_price", "discount", "region"]
+    rows = [("t", "c", "p", "2020-01-05", None, "10", "1", "0", "West"), ("t", "c", "p", "2020-01-05", None, "9", "1", "0", "West")]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    parents = spark.createDataFrame([("c",)], "customer_id string"), spark.createDataFrame([("p",)], "product_id string")
+    for order, want in ((["quantity"], 10), ([F.desc("quantity")], 9), ([F.col("quantity").cast("int")], 9)):
+        assert [r.quantity for r in cleaning.clean_transactions(raw, *parents, order).collect()] == [want]
