@@ -364,7 +364,9 @@ def _cap_by_sketch(s: Star) -> DataFrame:
 
 def _profile_by_load(s: Star) -> DataFrame:
     """Profile merged from one sketch a year, beside the exact counts of distinct values."""
-    txn = s.transactions().select(*SALES_TRANSACTIONS.fieldNames())
+    path = scratch_path(s.spark, "loads")
+    s.transactions().select(*SALES_TRANSACTIONS.fieldNames()).write.partitionBy("year").parquet(path)  # a load is a folder
+    txn = s.spark.read.schema(SALES_TRANSACTIONS).parquet(path)
     kept = sketches.LoadSketches(s.spark, scratch_path(s.spark, "sketches"))
     for r in txn.select("year").distinct().collect():
         kept.add(txn.where(F.col("year") == r.year), str(r.year))

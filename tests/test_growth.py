@@ -74,3 +74,7 @@ def test_a_deduplication_by_texts_sees_the_texts(spark):
     parents = spark.createDataFrame([("c",)], "customer_id string"), spark.createDataFrame([("p",)], "product_id string")
     for order, want in ((["quantity"], 10), ([F.desc("quantity")], 9), ([F.col("quantity").cast("int")], 9)):
         assert [r.quantity for r in cleaning.clean_transactions(raw, *parents, order).collect()] == [want]
+
+
+def test_loads_are_profiled_from_what_is_stored(spark):
+    assert "lineitem" not in _plan(registry.build("profile_by_load", spark, SMALL))
