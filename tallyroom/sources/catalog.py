@@ -107,9 +107,12 @@ def materialize(df: DataFrame, table: str, path: str | None = None) -> DataFrame
 def row_level_filter(
     df: DataFrame, entitlements: DataFrame, user: str, column: str = "region"
 ) -> DataFrame:
-    """Rows of the regions the entitlement table (``user_name``, ``column``) grants to ``user``."""
-    granted = entitlements.where(F.col("user_name") == user).select(column)
-    return df.join(granted, column, "left_semi")
+    """Rows of the regions the entitlement table (``user_name``, ``column``) grants to ``user``.
+
+    The regions of one user are few and broadcast; a shuffle by region would put each region's rows into one task.
+    """
+    granted = entitlements.where(F.col("user_name") == user).select(column).distinct()
+    return df.join(F.broadcast(granted), column, "left_semi")
 
 
 def create_secured_view(

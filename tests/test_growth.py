@@ -78,3 +78,12 @@ def test_a_deduplication_by_texts_sees_the_texts(spark):
 
 def test_loads_are_profiled_from_what_is_stored(spark):
     assert "lineitem" not in _plan(registry.build("profile_by_load", spark, SMALL))
+
+
+def test_a_row_filter_never_gathers_a_region_in_one_task(spark, no_broadcast):
+    star = Star(spark, SMALL)
+    grants = star._places().select(F.col("country").alias("user_name"), "region")
+    seen = catalog.row_level_filter(star.transactions(), grants, "NATION_3")
+    above = _above(_plan(seen), "FileScan parquet [l_orderkey")
+    assert not any("hashpartitioning(region" in line for line in above)
+    assert 0 < seen.count() < star.transactions().count()
