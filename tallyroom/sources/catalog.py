@@ -59,6 +59,25 @@ def bucket_skew(df: DataFrame, key: str, buckets: int) -> float:
     return 0.0 if not rows else fullest * buckets / rows
 
 
+#: Rows that a bucket holds on average before the buckets double, and how often they may double.
+ROWS_PER_BUCKET, MOST_DOUBLINGS = 2_000_000, 12
+
+
+def fitting_buckets(df: DataFrame, key: str, fewest: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[int, float]:
+    """``fewest``, doubled until a bucket holds at most ``rows_per_bucket`` rows on average, and the skew there.
+
+    One pass: rows are counted by the largest number of buckets, of which every smaller one is a divisor.
+    """
+    numbers = [fewest << i for i in range(MOST_DOUBLINGS + 1)]
+    fine = df.groupBy(F.pmod(F.hash(key), F.lit(numbers[-1])).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    sizes = fine.select(F.explode(F.array(*map(F.lit, numbers))).alias("n"), "b", "c").groupBy("n", F.col("b") % F.col("n")).agg(F.sum("c").alias("c"))
+    found = sizes.groupBy("n").agg(F.max("c").alias("fullest"), F.sum("c").alias("rows")).orderBy("n").collect()
+    if not found:
+        return fewest, 0.0
+    best = next((r for r in found if r["rows"] <= r.n * rows_per_bucket), found[-1])
+    return best.n, best.fullest * best.n / best["rows"]
+
+
 def create_bucketed_tables(
     spark: SparkSession,
     database: str,
@@ -68,15 +87,18 @@ def create_bucketed_tables(
     txn: DataFrame,
     buckets: int,
     most_skew: float = 4.0,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> None:
     """The three tables with customers and transactions bucketed and sorted by customer, and column statistics.
 
     Whatever is grouped or joined by customer then needs no shuffle of the transactions, again and again. A
     bucket is read by one task, so a customer with a large share of all rows would make one task as
     large: where the fullest bucket holds more than ``most_skew`` times the mean, the table is refused
-    (``create_external_tables`` is the layout for it). Months stay folders; each has at most ``buckets`` files.
+    (``create_external_tables`` is the layout for it). ``buckets`` is the least number: it doubles until a bucket
+    holds at most ``rows_per_bucket`` rows on average, so a task does not grow with the table. Months stay folders;
+    each has at most as many files as there are buckets.
     """
-    skew = bucket_skew(txn.where(F.col("customer_id").isNotNull()), "customer_id", buckets)
+    buckets, skew = fitting_buckets(txn.where(F.col("customer_id").isNotNull()), "customer_id", buckets, rows_per_bucket)
     if skew > most_skew:
         raise ValueError(f"a bucket would hold {skew:.1f} times the mean: too uneven for {buckets} buckets by customer_id")
     for name, df in (("customers", customers), ("products", products), ("sales_transactions", txn)):

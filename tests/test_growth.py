@@ -80,6 +80,26 @@ def test_loads_are_profiled_from_what_is_stored(spark):
     assert "lineitem" not in _plan(registry.build("profile_by_load", spark, SMALL))
 
 
+def test_buckets_double_with_the_table(spark, tmp_path):
+    star = Star(spark, SMALL)
+    txn = star.transactions(region=False)
+    rows = txn.count()
+    made = [catalog.fitting_buckets(txn, "customer_id", 3, rows // n) for n in (1, 3, 4, 20)]
+    assert [n for n, _ in made] == [3, 3, 6, 24]
+    assert all(abs(skew - catalog.bucket_skew(txn, "customer_id", n)) < 1e-9 for n, skew in made)
+    assert catalog.fitting_buckets(txn.where("false"), "customer_id", 3) == (3, 0.0)
+    database = f"growth_{uuid.uuid4().hex[:8]}"
+    catalog.create_database(spark, database, f"{tmp_path}/db")
+    names = registry.SALES_TRANSACTIONS.fieldNames()
+    stored = star.transactions().select(*names)
+    catalog.create_bucketed_tables(
+        spark, database, str(tmp_path), registry._customers_contract(star), star.products(), stored, 3, rows_per_bucket=rows // 4
+    )
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED `{database}`.sales_transactions").collect()}
+    assert described["Num Buckets"] == "6"
+    assert spark.table(f"{database}.sales_transactions").count() == rows
+
+
 def test_a_row_filter_never_gathers_a_region_in_one_task(spark, no_broadcast):
     star = Star(spark, SMALL)
     grants = star._places().select(F.col("country").alias("user_name"), "region")
