@@ -80,6 +80,20 @@ def test_loads_are_profiled_from_what_is_stored(spark):
     assert "lineitem" not in _plan(registry.build("profile_by_load", spark, SMALL))
 
 
+@pytest.mark.parametrize("name", ["incremental_load", "indexed_load"])
+def test_batches_are_delivered_once(spark, monkeypatch, name):
+    plans = []
+
+    def load(batch, *args, **kw):
+        plans.append(_plan(batch))
+        raise StopIteration
+
+    monkeypatch.setattr(registry.incremental, name, load)
+    with pytest.raises(StopIteration):
+        registry.build(name, spark, SMALL)
+    assert plans and "lineitem" not in plans[0]
+
+
 def test_buckets_double_with_the_table(spark, tmp_path):
     star = Star(spark, SMALL)
     txn = star.transactions(region=False)
