@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroom.functions.money import cents, micros, profit_sum, ratio, rounded
@@ -64,20 +64,36 @@ def measure(df: DataFrame, keys: Sequence[str | Column], *names: str) -> DataFra
     return df.groupBy(*keys).agg(*made)
 
 
-def by_customer_group(txn: DataFrame, customers: DataFrame, *keys: str) -> DataFrame:
+def by_customer_group(txn: DataFrame, customers: DataFrame, *keys: str, within: Sequence[str] = ()) -> DataFrame:
     """Revenue, customers and orders per ``keys`` of the customer.
 
     Where the transaction id is declared unique, revenue and orders are added up per customer before the
-    join. Otherwise an id may occur under several customers of a group: revenue is added up per customer and
-    id, which reads the fact once, and an order counts once in a group.
+    join. Otherwise an id may occur under several customers of a group and still counts once in it. Only such
+    ids are carried on; those of one customer are counted where they meet, and numbers per customer go to the join.
+    ``within`` names columns that the id determines: rows that lie together by them meet without a shuffle.
     """
     located = customers.select("customer_id", *keys)
     if not txn.schema["transaction_id"].metadata.get(_UNIQUE):
-        orders = measure(txn, ["customer_id", "transaction_id"], "revenue").join(located, "customer_id")
-        return orders.groupBy(*keys).agg(
-            F.sum("revenue").alias("revenue"),
-            F.countDistinct("customer_id").alias("customers"),
-            F.countDistinct("transaction_id").alias("orders"),
+        sold = measure(txn.where(F.col("customer_id").isNotNull()), [*within, "transaction_id", "customer_id"], "revenue")
+        shared = F.count(F.lit(1)).over(Window.partitionBy(*within, "transaction_id")) > 1
+        per_customer = (
+            sold.select("customer_id", "transaction_id", "revenue", shared.alias("shared"))
+            .groupBy("customer_id", F.when(F.col("shared"), F.col("transaction_id")).alias("shared_id"))
+            .agg(
+                F.sum("revenue").alias("revenue"),
+                F.count(F.when(~F.col("shared"), F.col("transaction_id"))).alias("own_ids"),
+            )
+        )
+        # a customer listed twice in a group sells twice, as in a plain join, but its ids count once
+        places = located.groupBy("customer_id", *keys).agg(F.count(F.lit(1)).alias("copies"))
+        return (
+            per_customer.join(places, "customer_id")
+            .groupBy(*keys)
+            .agg(
+                F.sum(F.col("revenue") * F.col("copies")).alias("revenue"),
+                F.countDistinct("customer_id").alias("customers"),
+                (F.sum("own_ids") + F.countDistinct("shared_id")).alias("orders"),
+            )
         )
     names = ("revenue", "orders")
     return (

@@ -446,12 +446,12 @@ def customer_features(txn: DataFrame) -> DataFrame:
     )
 
 
-def segment_overview(txn: DataFrame, customers: DataFrame) -> DataFrame:
+def segment_overview(txn: DataFrame, customers: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Revenue, customers, orders and revenue per customer of each segment.
 
-    Sales are added up per customer first, so the join is one to one.
+    Sales are added up per customer first, so the join is one to one. ``within`` as in ``by_customer_group``.
     """
-    m = by_customer_group(txn, customers, "segment")
+    m = by_customer_group(txn, customers, "segment", within=within)
     whole = F.sum("revenue").over(Window.partitionBy())
     return m.select(
         "segment",

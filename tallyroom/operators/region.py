@@ -80,12 +80,14 @@ def region_years(txn: DataFrame) -> DataFrame:
     ).orderBy("region", "year")
 
 
-def top_cities_by_region(txn: DataFrame, customers: DataFrame, top: int = 5) -> DataFrame:
+def top_cities_by_region(
+    txn: DataFrame, customers: DataFrame, top: int = 5, within: Sequence[str] = ()
+) -> DataFrame:
     """Best cities of each region, where region and city are the customer's.
 
-    Sales are added up per customer first, so the join is one to one.
+    Sales are added up per customer first, so the join is one to one. ``within`` as in ``by_customer_group``.
     """
-    m = by_customer_group(txn, customers, "region", "city")
+    m = by_customer_group(txn, customers, "region", "city", within=within)
     best = Window.partitionBy("region").orderBy(F.desc("revenue"), "city")
     return (
         m.withColumn("city_rank", F.row_number().over(best))

@@ -592,7 +592,7 @@ QUERIES: dict[str, Q] = {
     "regional_yoy": lambda s: region.regional_yoy(s.transactions()),
     "region_years": lambda s: region.region_years(s.transactions()),
     "top_cities_by_region": lambda s: region.top_cities_by_region(
-        s.transactions(region=False), s.customers(signup=False)
+        s.transactions(region=False, order_key=True), s.customers(signup=False), within=["order_key"]
     ),
     "regional_monthly": lambda s: region.regional_monthly(s.transactions()),
     "market_share_by_year": lambda s: region.market_share_by_year(s.transactions()),
@@ -659,7 +659,9 @@ QUERIES: dict[str, Q] = {
     "revenue_overview": lambda s: kpi.revenue_overview(s.transactions(region=False)),
     "region_overview": lambda s: region.region_overview(s.transactions()),
     "category_margin": lambda s: profit.category_margin(s.transactions(region=False), s.products()),
-    "segment_overview": lambda s: customer.segment_overview(s.transactions(region=False), s.customers(signup=False)),
+    "segment_overview": lambda s: customer.segment_overview(
+        s.transactions(region=False, order_key=True), s.customers(signup=False), within=["order_key"]
+    ),
     "discount_distribution": lambda s: profit.discount_distribution(s.transactions(region=False)),
     "discount_margin": lambda s: profit.discount_margin(s.transactions(region=False), s.products()),
     "yearly_by_region": lambda s: region.yearly_by_region(s.transactions()),

@@ -132,8 +132,11 @@ class Star:
             )
         )
 
-    def transactions(self, region: bool = True) -> DataFrame:
-        """Transactions; without ``region`` the customer join is left out."""
+    def transactions(self, region: bool = True, order_key: bool = False) -> DataFrame:
+        """Transactions; without ``region`` the customer join is left out.
+
+        ``order_key`` adds the order's number. Transaction ids begin with it, so an id occurs in one order only.
+        """
         order_date = F.col("o_orderdate").cast("date")
         orders = self.table("orders")
         joined = self.table("lineitem").join(
@@ -159,6 +162,8 @@ class Star:
         ]
         if region:
             cols.append(F.col("region"))
+        if order_key:
+            cols.append(F.col("l_orderkey").alias("order_key"))
         return joined.select(
             *cols, F.year(order_date).alias("year"), F.month(order_date).alias("month")
         )

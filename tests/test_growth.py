@@ -8,6 +8,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from tallyroom.functions.measures import by_customer_group
 from tallyroom.operators import cleaning
 from tallyroom.plans import registry
 from tallyroom.sources import catalog
@@ -121,3 +122,45 @@ def test_a_row_filter_never_gathers_a_region_in_one_task(spark, no_broadcast):
     above = _above(_plan(seen), "FileScan parquet [l_orderkey")
     assert not any("hashpartitioning(region" in line for line in above)
     assert 0 < seen.count() < star.transactions().count()
+
+
+# -- orders of customers' groups
+
+
+@pytest.mark.parametrize("name", ["top_cities_by_region", "segment_overview"])
+def test_ids_of_one_customer_are_counted_where_their_lines_met(spark, no_broadcast, name):
+    plan = _plan(registry.build(name, spark, SMALL))
+    above = _above(plan, "FileScan parquet [l_orderkey")
+    shuffles = [line for line in above if "Exchange" in line]
+    assert "l_orderkey" in shuffles[0] and not any("transaction_id" in line for line in shuffles)
+    assert "customer_id" in shuffles[1]
+
+
+@pytest.mark.parametrize("within", [[], ["order_key"]])
+def test_orders_of_groups_on_odd_rows(spark, within):
+    rows = [
+        (1, "1-a", "c1", 1.0), (1, "1-a", "c1", 2.0), (1, "1-a", "c2", 4.0), (1, "1-b", "c1", 8.0), (2, "2-a", "c3", 16.0),
+        (2, "2-a", "cx", 32.0), (2, "2-b", "cx", 64.0), (3, "3-a", None, 128.0), (3, "3-a", "c2", 256.0), (4, None, "c1", 512.0),
+        (5, None, "c1", 1024.0), (5, None, "c3", 2048.0), (6, "6-a", "c4", None), (7, "7-a", "c5", 4096.0), (7, "7-a", "c1", 1.5),
+        (8, None, "c6", 2.5),
+    ]
+    txn = spark.createDataFrame(rows, "order_key int, transaction_id string, customer_id string, net_revenue double")
+    # c2 is listed twice in a group, c3 in two groups, c4 and c5 in a group without a name
+    listed = [("c1", "A"), ("c2", "A"), ("c2", "A"), ("c3", "A"), ("c3", "B"), ("c4", None), ("c5", None), ("c6", "C"), (None, "A")]
+    customers = spark.createDataFrame(listed, "customer_id string, segment string")
+    plain = txn.join(customers, "customer_id").groupBy("segment").agg(
+        F.sum(F.rint(F.col("net_revenue") * 100).cast("bigint")),
+        F.countDistinct("customer_id"),
+        F.countDistinct("transaction_id"),
+    )
+    made = by_customer_group(txn, customers, "segment", within=within).select("segment", "revenue", "customers", "orders")
+    want = {r[0]: tuple(r)[1:] for r in plain.collect()}
+    assert {r[0]: tuple(r)[1:] for r in made.collect()} == want
+    assert want["A"][1:] == (3, 5) and want["C"][1:] == (1, 0)
+
+
+def test_an_id_names_its_order(spark):
+    star = Star(spark, SMALL)
+    txn = star.transactions(region=False, order_key=True)
+    assert txn.where(F.substring_index("transaction_id", "-", 1) != F.col("order_key").cast("string")).isEmpty()
+    assert txn.drop("order_key").columns == star.transactions(region=False).columns
