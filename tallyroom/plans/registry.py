@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.functions import sketches
-from tallyroom.functions.durable import durable, scratch_path
+from tallyroom.functions.durable import durable, freed_shuffles, release, scratch_path
 from tallyroom.operators import (
     audits,
     checks,
@@ -150,10 +150,12 @@ def _incremental_load(s: Star) -> DataFrame:
     folder = scratch_path(s.spark, "incremental")
     path = f"{folder}/sales_transactions"
     customers, products = s.customers(signup=False), s.products()
-    raw = durable(s.raw_transactions().withColumn("transaction_id", F.concat_ws("-", "transaction_id", "product_id")))
+    with freed_shuffles(s.spark):
+        raw = durable(s.raw_transactions().withColumn("transaction_id", F.concat_ws("-", "transaction_id", "product_id")))
     shipped = raw.where(F.col("ship_date").isNotNull())
     for batch in (shipped, raw, raw):
         incremental.incremental_load(batch, customers, products, path, regions=None)
+    release(raw)
     return readers.read_parquet_table(s.spark, folder, "sales_transactions")
 
 
@@ -162,11 +164,13 @@ def _indexed_load(s: Star) -> DataFrame:
     folder = scratch_path(s.spark, "indexed")
     path = f"{folder}/sales_transactions"
     customers, products = s.customers(signup=False), s.products()
-    raw = durable(s.raw_transactions().withColumn("transaction_id", F.concat_ws("-", "transaction_id", "product_id")))
+    with freed_shuffles(s.spark):
+        raw = durable(s.raw_transactions().withColumn("transaction_id", F.concat_ws("-", "transaction_id", "product_id")))
     shipped = raw.where(F.col("ship_date").isNotNull())
     ids = IdIndex(s.spark, f"{folder}/ids", keys_per_bucket=10_000)  # so that folders double on small tables
     for batch in (shipped, raw, raw):
         incremental.indexed_load(batch, customers, products, path, regions=None, index=ids)
+    release(raw)
     return readers.read_parquet_table(s.spark, folder, "sales_transactions")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyroom.functions.durable import durable, remove
+from tallyroom.functions.durable import durable, freed_shuffles, release, remove
 from tallyroom.operators import checks
 from tallyroom.operators.cleaning import clean_transactions
 from tallyroom.schemas import RAW, REGIONS, SALES_TRANSACTIONS
@@ -60,6 +60,7 @@ def _months(rows: DataFrame) -> tuple[tuple[int, int], ...]:
 def _valid_batch(
     raw: DataFrame, customers: DataFrame, products: DataFrame, order: Sequence[str], regions: Sequence[str] | None
 ) -> DataFrame:
+    """The cleaned batch, stored; whoever asks for it releases it."""
     batch = durable(clean_transactions(raw, customers, products, order))
     suite = checks.run_checks(
         batch,
@@ -72,7 +73,11 @@ def _valid_batch(
             *([checks.in_domain("transactions", "region", regions)] if regions is not None else []),
         ],
     ).unionByName(checks.check_unique(batch, "transactions", "transaction_id"))
-    checks.validation_gate(suite)
+    try:
+        checks.validation_gate(suite)
+    except checks.ValidationFailed:
+        release(batch)
+        raise
     return batch
 
 
@@ -94,19 +99,22 @@ def incremental_load(
     just in the months the batch covers, which suffices when a repeated id keeps
     its order month.  ``indexed_load`` needs neither.  Returns the number of rows added.
     """
-    batch = _valid_batch(raw, customers, products, order, regions)
-    stored = _existing(raw.sparkSession, path)
-    fresh = batch
-    if stored is not None:
-        if only_touched:
-            stored = stored.where(month_filter(_months(batch)))
-        # one column of the stored table is scanned; AQE broadcasts the batch's ids if they measure small
-        repeats = stored.select("transaction_id").join(batch.select("transaction_id"), "transaction_id", "left_semi")
-        fresh = durable(batch.join(repeats, "transaction_id", "left_anti"))
-    added = fresh.count()
-    if added:
-        names = SALES_TRANSACTIONS.fieldNames()
-        write_partitioned(fresh.select(*names), path, mode="append")
+    with freed_shuffles(raw.sparkSession):
+        fresh = _valid_batch(raw, customers, products, order, regions)
+        stored = _existing(raw.sparkSession, path)
+        if stored is not None:
+            batch = fresh
+            if only_touched:
+                stored = stored.where(month_filter(_months(batch)))
+            # one column of the stored table is scanned; AQE broadcasts the batch's ids if they measure small
+            repeats = stored.select("transaction_id").join(batch.select("transaction_id"), "transaction_id", "left_semi")
+            fresh = durable(batch.join(repeats, "transaction_id", "left_anti"))
+            release(batch)
+        added = fresh.count()
+        if added:
+            names = SALES_TRANSACTIONS.fieldNames()
+            write_partitioned(fresh.select(*names), path, mode="append")
+        release(fresh)
     return added
 
 
@@ -127,8 +135,10 @@ def _recover(index: IdIndex, path: str, pending: str, then: AfterLoad | None) ->
     months = _months(listed)
     if stored is not None and months:
         arrived = stored.where(month_filter(months)).select("transaction_id").join(listed, "transaction_id", "left_semi")
-        missing = durable(arrived.join(index.known(arrived), "transaction_id", "left_anti").distinct())
-        index.add(missing, missing.count())
+        with freed_shuffles(spark):
+            missing = durable(arrived.join(index.known(arrived), "transaction_id", "left_anti").distinct())
+            index.add(missing, missing.count())
+            release(missing)
         if then is not None:
             then(Load(0, months))
     remove(spark, pending)
@@ -158,15 +168,19 @@ def indexed_load(
     pending = f"{path.rstrip('/')}_pending"
     if not ids.exists():
         stored = _existing(spark, path)
-        ids.build(stored if stored is not None else spark.createDataFrame([], SALES_TRANSACTIONS))
+        with freed_shuffles(spark):
+            ids.build(stored if stored is not None else spark.createDataFrame([], SALES_TRANSACTIONS))
     _recover(ids, path, pending, then)
-    batch = _valid_batch(raw, customers, products, order, regions)
-    fresh = durable(batch.join(ids.known(batch.select("transaction_id")), "transaction_id", "left_anti"))
-    fresh.select("transaction_id", "year", "month").write.mode("overwrite").parquet(pending)
-    done = Load(fresh.count(), _months(fresh))
-    if done.added:
-        write_partitioned(fresh.select(*SALES_TRANSACTIONS.fieldNames()), path, mode="append")
-        ids.add(fresh, done.added)
+    with freed_shuffles(spark):
+        batch = _valid_batch(raw, customers, products, order, regions)
+        fresh = durable(batch.join(ids.known(batch.select("transaction_id")), "transaction_id", "left_anti"))
+        release(batch)
+        fresh.select("transaction_id", "year", "month").write.mode("overwrite").parquet(pending)
+        done = Load(fresh.count(), _months(fresh))
+        if done.added:
+            write_partitioned(fresh.select(*SALES_TRANSACTIONS.fieldNames()), path, mode="append")
+            ids.add(fresh, done.added)
+        release(fresh)
     if then is not None:
         then(done)
     remove(spark, pending)
