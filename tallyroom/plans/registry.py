@@ -193,7 +193,8 @@ def _rollups(s: Star) -> rollups.Rollups:
 def _incremental_stream(s: Star) -> DataFrame:
     folder = scratch_path(s.spark, "stream")
     raw = s.raw_transactions().drop("ingest_seq")
-    raw.write.option("header", True).csv(f"{folder}/inbox")
+    with freed_shuffles(s.spark):
+        raw.write.option("header", True).option("compression", "gzip").csv(f"{folder}/inbox")
     customers, products = s.customers(signup=False), s.products()
     for _ in range(2):  # the second run finds no new file
         incremental.incremental_stream(

@@ -232,16 +232,23 @@ def incremental_stream(
     aside = quarantine or f"{path.rstrip('/')}_quarantine"
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if is_csv:
-            batch = durable(batch)  # parsed once, read for both sides
-            _set_aside(batch, batch_id, aside)
-            batch = readable(batch, "sales_transactions").drop("file")
         # within a batch the first row by content wins
-        ordered = batch.withColumn("ingest_seq", F.struct(*batch.columns))
+        if not is_csv:
+            add(batch.withColumn("ingest_seq", F.struct(*batch.columns)), ["ingest_seq"])
+            return
+        with freed_shuffles(batch.sparkSession):
+            parsed = durable(batch)  # parsed once, read for both sides
+            _set_aside(parsed, batch_id, aside)
+            rows = readable(parsed, "sales_transactions").drop("file")
+        # missing-value tokens are NULL already, so the texts themselves are the order and travel once
+        add(rows, rows.columns)
+        release(parsed)
+
+    def add(rows: DataFrame, order: Sequence[str]) -> None:
         if indexed:
-            indexed_load(ordered, customers, products, path, regions=regions, then=then)
+            indexed_load(rows, customers, products, path, order=order, regions=regions, then=then)
         else:
-            incremental_load(ordered, customers, products, path, regions=regions, only_touched=only_touched)
+            incremental_load(rows, customers, products, path, order=order, regions=regions, only_touched=only_touched)
 
     return (
         files.writeStream.foreachBatch(load)

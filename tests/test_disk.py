@@ -92,3 +92,62 @@ def test_delivered_batches_go_when_they_are_loaded(spark, name):
     tables = _tables(spark)
     assert registry.build(name, spark, SMALL).count() > 0
     assert _tables(spark) == tables
+
+
+def test_a_stream_leaves_its_table_and_what_it_set_aside(spark, parents, tmp_path):
+    """Of rows that share an id the first by content stays, missing-value tokens and NULLs before all texts."""
+    rows = [
+        _row("a", price="20"), _row("a", price="10"), _row("a", price="NA", quantity="5"),
+        _row("b", price="9"), _row("b", price="10"), _row("b", "2020-02-01", "1"),
+        _row("c", quantity="2", price="5"), _row("c", quantity="2.0", price="4"),
+        _row("d", customer_id="NA"), _row("d", customer_id="c2"), _row("e", discount="x"), _row("e", discount="0.5"),
+        _row("NA"), _row(None, "2020-05-01"),
+    ]
+    inbox, path = str(tmp_path / "inbox"), str(tmp_path / "sales_transactions")
+    _raw(spark, rows).repartition(3).write.option("header", True).csv(inbox)
+    tables, known = _tables(spark), _shuffle_files(spark)
+    incremental.incremental_stream(spark, inbox, *parents, path, str(tmp_path / "progress")).awaitTermination()
+    missing = lambda r: {n: None if r.get(n) in ("NA", None) else r[n] for n in NAMES}
+    first: dict = {}
+    for r in sorted(map(missing, rows), key=lambda r: [(r[n] is not None, r[n] or "") for n in NAMES]):
+        first.setdefault(r["transaction_id"], r)
+    want = {i: r["unit_price"] for i, r in first.items() if i and r["customer_id"] and r["unit_price"]}
+    stored = {r.transaction_id: r.unit_price for r in spark.read.schema(SALES_TRANSACTIONS).parquet(path).collect()}
+    assert stored == {i: float(p) for i, p in want.items()} and stored["b"] == 10.0 and "d" not in stored
+    assert _tables(spark) == tables and not _left(spark, known)
+
+
+@pytest.mark.parametrize("indexed", [False, True])
+def test_texts_of_a_stream_travel_once(spark, parents, tmp_path, monkeypatch, indexed):
+    given = []
+    take = lambda rows, *a, order, **kw: given.append((rows.columns, list(order)))
+    monkeypatch.setattr(incremental, "indexed_load" if indexed else "incremental_load", take)
+    inbox = str(tmp_path / "inbox")
+    _raw(spark, [_row("a")]).write.option("header", True).csv(inbox)
+    incremental.incremental_stream(
+        spark, inbox, *parents, str(tmp_path / "t"), str(tmp_path / "progress"), indexed=indexed
+    ).awaitTermination()
+    assert given == [(NAMES, NAMES)]
+
+
+def test_other_formats_are_ordered_by_the_texts_as_they_came(spark, parents, tmp_path):
+    inbox, path = str(tmp_path / "inbox"), str(tmp_path / "sales_transactions")
+    _raw(spark, [_row("a", quantity="N/A"), _row("a", quantity="5")]).write.parquet(inbox)
+    incremental.incremental_stream(
+        spark, inbox, *parents, path, str(tmp_path / "progress"), file_format="parquet"
+    ).awaitTermination()
+    assert [r.quantity for r in spark.read.schema(SALES_TRANSACTIONS).parquet(path).collect()] == [5]
+
+
+def test_the_inbox_holds_packed_files(spark, monkeypatch):
+    seen = []
+
+    class Ended:
+        def awaitTermination(self):  # noqa: N802
+            pass
+
+    monkeypatch.setattr(registry.incremental, "incremental_stream", lambda s, inbox, *a, **kw: seen.append(inbox) or Ended())
+    monkeypatch.setattr(registry.readers, "read_parquet_table", lambda *a: None)
+    registry.build("incremental_stream", spark, SMALL)
+    files = [n for n in os.listdir(seen[0].removeprefix("file://")) if n.startswith("part-")]
+    assert files and all(n.endswith(".csv.gz") for n in files)
