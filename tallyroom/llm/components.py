@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import Scratch
+from .store import Scratch, unless_many
 
 
 def connected(scratch: Scratch, links: DataFrame, a: str, b: str) -> DataFrame:
@@ -27,9 +27,9 @@ def connected(scratch: Scratch, links: DataFrame, a: str, b: str) -> DataFrame:
         least = scratch.write(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "large"
         )
-        large = scratch.write(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "wide")
+        large = scratch.write(both.where("v > u").join(unless_many(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "wide")
         low = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), "small")
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(unless_many(low), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = scratch.write(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
         scratch.drop(edges, least, large, low)
         edges = after

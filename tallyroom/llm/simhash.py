@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .store import Scratch, fresh, sliced, text_or_empty
+from .store import Scratch, fresh, sliced, text_or_empty, unless_many
 
 SHINGLE = 4
 SEED = 42
@@ -135,7 +135,7 @@ def links(scratch: Scratch, fp: DataFrame, bucket: int = BUCKET) -> DataFrame:
     two = busy.where(f"n = 2 and bit_count(a ^ b) <= {MAX_BITS}").select("a", "b")
     # most buckets hold one fingerprint or two: what is left is often small enough to be broadcast
     crowded = scratch.write(busy.where("n > 2").select("key", "n"), "crowded")
-    members = scratch.write(keys.join(crowded, "key"), "members")
+    members = scratch.write(keys.join(unless_many(crowded), "key"), "members")
     few = (
         members.where(F.col("n") <= bucket)
         .groupBy("key")
@@ -152,7 +152,7 @@ def links(scratch: Scratch, fp: DataFrame, bucket: int = BUCKET) -> DataFrame:
         .select(F.explode(F.transform(signed, lambda m: F.col("fp").bitwiseXOR(m))).alias("hub"), "fp")
     )
     met = scratch.write(hubs.groupBy("hub").agg(F.count("*").alias("n"), F.min("fp").alias("a")).where("n > 1"), "hubs")
-    many = hubs.join(met.select("hub", "a"), "hub").where("fp <> a").select("a", F.col("fp").alias("b"))
+    many = hubs.join(unless_many(met).select("hub", "a"), "hub").where("fp <> a").select("a", F.col("fp").alias("b"))
     out = scratch.write(two.unionByName(few).unionByName(many).distinct(), "pairs")
     scratch.drop(busy, crowded, members, met)
     return out
@@ -166,15 +166,15 @@ def _components(docs: DataFrame, bucket: int) -> DataFrame:
     pairs = links(scratch, distinct.select("fp"), bucket)
     star = scratch.write(connected(scratch, pairs, "a", "b"), "star")
     rooted = scratch.write(
-        distinct.join(star.withColumnRenamed("node", "fp"), "fp", "left").select(
+        distinct.join(unless_many(star).withColumnRenamed("node", "fp"), "fp", "left").select(
             "fp", "first", F.coalesce("root", "fp").alias("root")
         ),
         "rooted",
     )
     smallest = scratch.write(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    label = scratch.write(rooted.join(smallest, "root").select("fp", "root", "component_id"), "labels")
+    label = scratch.write(rooted.join(unless_many(smallest), "root").select("fp", "root", "component_id"), "labels")
     scratch.drop(distinct, pairs, star, rooted, smallest)
-    return marked.join(label, "fp")
+    return marked.join(unless_many(label), "fp")
 
 
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -210,7 +210,7 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     same = hashed["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (hashed[text_hash] == kept["_kept_hash"])
     once = Window.partitionBy("doc_id", text_hash).orderBy(F.lit(0))
     return (
-        hashed.join(kept, same, "left_semi")
+        hashed.join(unless_many(kept), same, "left_semi")
         .withColumn(row, F.row_number().over(once))
         .where(F.col(row) == 1)
         .select(*docs.columns)

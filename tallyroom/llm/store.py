@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tallyroom.functions.durable import shared_dir
 
 
+#: Most rows of a stored table that a join may broadcast.
+FEW = 100_000
+
+
 class Scratch:
     """Parquet tables of one operator run below ``spark.checkpoint.dir``.
 
@@ -46,6 +50,15 @@ class Scratch:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def unless_many(table: DataFrame, most: int = FEW) -> DataFrame:
+    """A stored table as the right side of a join: with more than ``most`` rows it is merged, never broadcast.
+
+    What is broadcast passes through the driver as a hash table, several times as large as the files by
+    whose size Spark decides. The rows are counted from the files' footers.
+    """
+    return table.hint("merge") if table.count() > most else table
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
